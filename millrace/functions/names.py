@@ -19,11 +19,6 @@ def last_segment(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 
 
-def parent_path(path: Column) -> Column:
-    """The text before the last slash, or NULL when there is none."""
-    return F.when(path.contains("/"), F.regexp_replace(path, "/[^/]*$", ""))
-
-
 def table_id_parts(table_id: Column) -> Column:
     """``[[project.]dataset.]table`` as a struct; missing parts are NULL, more than three give NULL."""
     parts = F.split(table_id, r"\.")

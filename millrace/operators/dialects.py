@@ -52,13 +52,14 @@ SPARK_TYPES = {
     "timestamp": T.TimestampType(), "datetime": T.TimestampNTZType(), "date": T.DateType(),
     "time": T.TimeType(6), "bytes": T.BinaryType(), "null": T.NullType(),
 }
-# Warehouse spelling of a nested record.
-RECORD = "RECORD"
+# Further names of a dialect that are read but not written.
+ALIASES = {"warehouse": {"RECORD": "struct"}}
 
 
 def _inverse(dialect: str) -> dict[str, str]:
     """Type name to canonical name; of several canonical names the last one counts."""
-    return {name: canonical for canonical, name in DIALECTS[dialect].items()}
+    names = {name: canonical for canonical, name in DIALECTS[dialect].items()}
+    return names | ALIASES.get(dialect, {})
 
 
 def mapping_table(spark: SparkSession) -> DataFrame:

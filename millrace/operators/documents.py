@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.names import last_segment, parent_path
+from millrace.functions.names import last_segment
 from millrace.functions.predicates import as_list
 from millrace.functions.text import JSON_OPTIONS, to_json_text
 from millrace.operators.dialects import spark_type
@@ -120,7 +120,9 @@ def one_document(df: DataFrame, key: str, doc_id, schema: dict | None = None) ->
 
 def collection(df: DataFrame, path: str, name: str) -> DataFrame:
     """The documents directly under collection ``name``, keyed by their last path segment."""
-    members = df.where(parent_path(F.col(path)) == F.lit(name.strip("/")))
+    prefix = name.strip("/") + "/"
+    rest = F.substr(path, F.lit(len(prefix) + 1))
+    members = df.where(F.col(path).startswith(prefix) & ~rest.contains("/"))
     kept = [c for c in df.columns if c != path]
     return members.select(last_segment(F.col(path)).alias("doc_id"), *kept)
 

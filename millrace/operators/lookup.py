@@ -68,9 +68,12 @@ def lookup_join(left: DataFrame, right: DataFrame, on, how: str = "inner", right
 
 
 def missing_keys(left: DataFrame, right: DataFrame, on) -> DataFrame:
-    """The distinct keys of ``left`` that ``right`` lacks."""
+    """The distinct keys of ``left`` that ``right`` lacks.
+
+    Both sides are reduced to distinct keys before they meet, so a hot key is one row.
+    """
     keys = as_list(on)
-    return left.select(*keys).distinct().join(right.select(*keys), keys, "left_anti")
+    return left.select(*keys).distinct().join(right.select(*keys).distinct(), keys, "left_anti")
 
 
 def resolve_chain(rows: DataFrame, hops: list[tuple[DataFrame, str]], missing: str = "drop") -> DataFrame:

@@ -189,7 +189,7 @@ def folder_listing(spark, sf_dir):
 
 @query(
     "src_13_ingest",
-    """SELECT c_custkey, c_mktsegment, label, weight FROM customer
+    """SELECT c_custkey, c_mktsegment, label, CAST(weight AS DOUBLE) AS weight FROM customer
        JOIN (VALUES ('BUILDING', 'b', 1.5), ('MACHINERY', 'm', 2.0), ('HOUSEHOLD', 'h', NULL)) AS s(seg, label, weight)
        ON c_mktsegment = seg""",
 )

@@ -99,7 +99,7 @@ def wrap_scalars(spark, sf_dir):
 @query(
     "rsh_07_pack",
     """WITH n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i FROM conversations)
-       SELECT conv_id, 0 AS chunk, count(*) AS n_rows, max(CASE WHEN i = 1 THEN role END) AS first_role,
+       SELECT conv_id, CAST(0 AS BIGINT) AS chunk, count(*) AS n_rows, max(CASE WHEN i = 1 THEN role END) AS first_role,
               max(CASE WHEN i = 2 THEN text END) AS second_text, 'int64' AS turn_dtype, 'object' AS text_dtype
        FROM n GROUP BY conv_id""",
 )

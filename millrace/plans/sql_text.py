@@ -94,7 +94,7 @@ acceptance(
 _SUM = "CAST(sum(CAST(l_quantity AS DECIMAL(18, 2))) AS DOUBLE) AS quantity"
 acceptance(
     "sql_d_rollup", ["lineitem"],
-    f"SELECT l_returnflag, l_linestatus, grouping(l_linestatus) AS all_status, {_SUM} FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)",
+    f"SELECT l_returnflag, l_linestatus, CAST(grouping(l_linestatus) AS INT) AS all_status, {_SUM} FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)",
 )
 acceptance(
     "sql_d_cube", ["lineitem"],
@@ -110,8 +110,8 @@ _MONTHS = """WITH m AS (SELECT o_orderpriority, date_trunc('month', o_orderdate)
 acceptance(
     "sql_e_windows", ["orders"],
     f"""{_MONTHS} SELECT o_orderpriority, CAST(month AS DATE) AS month, n,
-        row_number() OVER (PARTITION BY o_orderpriority ORDER BY n DESC, month) AS place,
-        rank() OVER (PARTITION BY o_orderpriority ORDER BY n DESC) AS rnk,
+        CAST(row_number() OVER (PARTITION BY o_orderpriority ORDER BY n DESC, month) AS BIGINT) AS place,
+        CAST(rank() OVER (PARTITION BY o_orderpriority ORDER BY n DESC) AS BIGINT) AS rnk,
         lag(n) OVER (PARTITION BY o_orderpriority ORDER BY month) AS before,
         CAST(sum(n) OVER (PARTITION BY o_orderpriority ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS BIGINT) AS quarter FROM m""",
 )
@@ -135,12 +135,13 @@ acceptance(
 acceptance(
     "sql_g_cte", ["orders"],
     """WITH totals AS (SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS total FROM orders GROUP BY o_custkey),
-       top AS (SELECT max(total) AS best FROM totals) SELECT o_custkey, total, total = best AS is_best FROM totals , top""",
+       big AS (SELECT o_custkey, total FROM totals WHERE total > 1000000.0)
+       SELECT o_custkey, total, total = (SELECT max(total) FROM big ) AS is_best FROM big""",
 )
 acceptance(
     "sql_h_scalars", ["orders"],
     """SELECT o_orderkey, upper(o_orderpriority) AS priority, substring(o_orderpriority, 3) AS label, round(o_totalprice / 1000.0, 0) AS thousands,
-       CAST(date_trunc('month', o_orderdate) AS DATE) AS month, year(o_orderdate) AS year, abs(o_custkey - o_orderkey) AS gap,
+       CAST(date_trunc('month', o_orderdate) AS DATE) AS month, CAST(year(o_orderdate) AS BIGINT) AS year, abs(o_custkey - o_orderkey) AS gap,
        coalesce(nullif(o_orderstatus, 'P'), 'none') AS status FROM orders""",
 )
 acceptance(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.predicates import where, where_file
-from millrace.operators.dialects import spark_type
+from millrace.operators.dialects import spark_type, type_of_values
 from millrace.operators.relation import limit_rows, project
 from millrace.operators.schema import enforce
 
@@ -149,8 +149,6 @@ def list_folder(inventory: DataFrame, root: str) -> DataFrame:
 
 def ingest_rows(spark: SparkSession, data, schema=None) -> DataFrame:
     """Rows the caller holds: a dict of columns, one dict, a list of dicts or a pandas frame."""
-    from millrace.operators.dialects import type_of_values
-
     expected = struct_type(schema)
     if hasattr(data, "iloc"):  # a pandas frame
         return spark.createDataFrame(data, expected) if expected is not None else spark.createDataFrame(data)

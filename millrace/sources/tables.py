@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from millrace.functions.predicates import as_list, where
 from millrace.operators.relation import limit_rows, project
 from millrace.operators.schema import add_missing, enforce
-from millrace.sources.files import infer_format, struct_type
+from millrace.functions.names import url_decode
+from millrace.sources.files import file_inventory, infer_format, open_files, struct_type
 from millrace.sources.layout import (
     RangePartition,
     TimePartition,
@@ -19,6 +20,9 @@ from millrace.sources.layout import (
 )
 from millrace.sources.sinks import partitioned_writer
 
+# Fixed value: the folder name of a NULL partition.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 
 def quoted(name: str) -> str:
     """A dotted name with each part in backticks."""
@@ -32,6 +36,10 @@ def table_properties(spark: SparkSession, table: str) -> dict[str, str]:
     return {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {quoted(table)}").collect()}
 
 
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [column.name for column in spark.catalog.listColumns(quoted(table)) if column.isPartition]
+
+
 def ensure_database(spark: SparkSession, table: str, location: str | None = None) -> None:
     """Create the database that ``table`` names, when it is missing."""
     parts = quoted(table).split(".")
@@ -64,18 +72,17 @@ def create_external(
     """A table over existing files; the format comes from the suffix, a given schema is honoured.
 
     Dropping the table leaves the files. Partition columns become strings
-    unless ``string_partitions`` is off.
+    unless ``string_partitions`` is off. A table that exists is left as it is,
+    or is an error without ``exists_ok``.
     """
-    from millrace.sources.files import open_files
-
     ensure_database(spark, table)
-    if exists_ok:
-        spark.sql(f"DROP TABLE IF EXISTS {quoted(table)}")
+    if exists_ok and spark.catalog.tableExists(quoted(table)):
+        return spark.table(quoted(table))
     fmt = infer_format(path)
     options = {"header": "true"} if fmt == "csv" else {}
     shape = open_files(spark, path, fmt, schema, string_partitions).schema
     spark.catalog.createTable(quoted(table), path=path, source=fmt, schema=shape, **options)
-    if any(column.isPartition for column in spark.catalog.listColumns(quoted(table))):
+    if partition_columns(spark, table):
         spark.sql(f"MSCK REPAIR TABLE {quoted(table)}")
     return spark.table(quoted(table))
 
@@ -93,6 +100,9 @@ def insert(df: DataFrame, table: str, schema: dict | None = None) -> None:
     if extra:
         raise ValueError(f"{table} has no column {', '.join(extra)}")
     rows = add_missing(df, {f.name: f.dataType for f in target.schema.fields}).select(target.columns)
+    partitions = partition_columns(spark, table)
+    if partitions:
+        rows = rows.hint("rebalance", *partitions)
     spark.sql(f"INSERT INTO {quoted(table)} BY NAME SELECT * FROM {{rows}}", rows=rows)
 
 
@@ -135,9 +145,12 @@ def write_table(
 def create_table(
     spark: SparkSession, table: str, schema, rows: DataFrame | None = None, exists_ok: bool = True, **layout
 ) -> None:
-    """An empty table of the given schema, its database made when missing; then ``rows`` are inserted."""
-    empty = spark.createDataFrame([], struct_type(schema))
-    write_table(empty, table, "replace" if exists_ok else "fail", **layout)
+    """An empty table of the given schema, its database made when missing; then ``rows`` are inserted.
+
+    A table that exists is kept and inserted into, or is an error without ``exists_ok``.
+    """
+    if not (exists_ok and spark.catalog.tableExists(quoted(table))):
+        write_table(spark.createDataFrame([], struct_type(schema)), table, "fail", **layout)
     if rows is not None:
         insert(rows, table)
 
@@ -148,7 +161,7 @@ def copy_table(spark: SparkSession, source: str, target: str, if_exists: str = "
         raise ValueError("a table cannot be copied onto itself")
     if if_exists != "replace" and spark.catalog.tableExists(quoted(target)):
         raise ValueError(f"table already exists: {target}")
-    partitions = [c.name for c in spark.catalog.listColumns(quoted(source)) if c.isPartition]
+    partitions = partition_columns(spark, source)
     layout = layout_from_properties(table_properties(spark, source))
     write_table(spark.table(quoted(source)), target, "replace", partition_by=partitions or None)
     if layout is not None:
@@ -175,25 +188,21 @@ def add_columns(spark: SparkSession, table: str, columns: dict) -> None:
 
 def table_partitions(spark: SparkSession, table: str) -> DataFrame:
     """The partition values of a table as columns, from the catalog alone."""
-    keys = [c.name for c in spark.catalog.listColumns(quoted(table)) if c.isPartition]
+    keys = partition_columns(spark, table)
     types = {f.name: f.dataType for f in spark.table(quoted(table)).schema.fields}
     listed = spark.sql(f"SHOW PARTITIONS {quoted(table)}")
     parts = F.split("partition", "/")
-    decoded = [F.substring_index(parts[i], "=", -1) for i in range(len(keys))]
-    from millrace.functions.names import url_decode
-
-    return listed.select(*[url_decode(d).cast(types[k]).alias(k) for d, k in zip(decoded, keys)])
+    values = [F.nullif(F.substring_index(parts[i], "=", -1), F.lit(NULL_PARTITION)) for i in range(len(keys))]
+    return listed.select(*[url_decode(v).cast(types[k]).alias(k) for v, k in zip(values, keys)])
 
 
 def table_stats(spark: SparkSession, table: str) -> DataFrame:
     """``(table_name, num_rows, num_bytes)`` of a file-backed table."""
-    from millrace.sources.files import file_inventory
-
-    location = next(
-        row["data_type"] for row in spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(table)}").collect()
-        if row["col_name"] == "Location"
-    )
-    rows = spark.table(quoted(table)).agg(F.count(F.lit(1)).alias("num_rows"))
-    size = file_inventory(spark, location).agg(F.sum("length").alias("num_bytes"))
-    both = rows.withColumn("table_name", F.lit(table)).join(size.withColumn("table_name", F.lit(table)), "table_name")
-    return both.select("table_name", "num_rows", "num_bytes")
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(table)}").collect()
+    # The details follow the columns, so the last row of this name is the folder.
+    location = [row["data_type"] for row in described if row["col_name"] == "Location"][-1]
+    nothing = F.lit(None).cast("bigint")
+    rows = spark.table(quoted(table)).agg(F.count(F.lit(1)).alias("num_rows"), F.max(nothing).alias("num_bytes"))
+    size = file_inventory(spark, location).agg(F.max(nothing).alias("num_rows"), F.sum("length").alias("num_bytes"))
+    both = rows.unionByName(size).agg(F.max("num_rows").alias("num_rows"), F.max("num_bytes").alias("num_bytes"))
+    return both.select(F.lit(table).alias("table_name"), "num_rows", "num_bytes")

@@ -43,6 +43,12 @@ def normalised(columns: list[str], rows) -> list[tuple]:
     return sorted(tuple(_cell(row[i]) for i in order) for row in rows)
 
 
+SAME_TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP", "date": "DATE", "float": "FLOAT", "tinyint": "TINYINT",
+}
+
+
 def compare(spark, connection, sf_dir: str, name: str, function, sql: str | None) -> str:
     """Empty when equal, else what differs. Without SQL the query must only run."""
     df = function(spark, sf_dir)
@@ -53,6 +59,10 @@ def compare(spark, connection, sf_dir: str, name: str, function, sql: str | None
     names = [d[0] for d in result.description]
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} against {sorted(names)}"
+    theirs = {d[0]: str(d[1]) for d in result.description}
+    for field in df.schema.fields:
+        if SAME_TYPES.get(field.dataType.simpleString()) != theirs[field.name]:
+            return f"type of {field.name}: {field.dataType.simpleString()} against {theirs[field.name]}"
     want = normalised(names, result.fetchall())
     if len(got) != len(want):
         return f"{len(got)} rows against {len(want)}"
