@@ -14,20 +14,30 @@ from millrace.functions.predicates import as_list
 # A right side of at most this many rows is joined without salting: Spark
 # broadcasts it when its size in bytes allows, and AQE sees to the rest.
 SMALL_ROWS = 10_000
-# Every key outside the HOT_KEYS most frequent ones holds less than 1/HOT_KEYS of the rows.
+# A key is hot from this many rows on; a key outside the HOT_KEYS most
+# frequent ones holds less than 1/HOT_KEYS of the rows.
+HOT_ROWS = 1_000_000
 HOT_KEYS = 64
 SALTS = 64
 
 
-def hot_keys(df: DataFrame, on, n: int = HOT_KEYS) -> DataFrame:
-    """The ``n`` most frequent keys, so never more than ``n`` rows."""
+def hot_keys(df: DataFrame, on, min_rows: int = HOT_ROWS, n: int = HOT_KEYS) -> DataFrame | None:
+    """The most frequent keys, at most ``n``, as a frame of their own; None when no key is hot.
+
+    Only the key columns are read, counted per task first, and at most ``n``
+    keys come back. Both sides of a join must see the same keys, so they are
+    fetched once and not planned twice.
+    """
     keys = as_list(on)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.orderBy(F.col("_rows").desc(), *keys).limit(n).select(*keys)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") >= min_rows)
+    found = counts.orderBy(F.col("_rows").desc()).limit(n).select(*keys)
+    rows = found.collect()
+    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
 
 
 def salted_join(
-    left: DataFrame, right: DataFrame, on, how: str = "inner", n_hot: int = HOT_KEYS, salts: int = SALTS
+    left: DataFrame, right: DataFrame, on, how: str = "inner",
+    min_rows: int = HOT_ROWS, n_hot: int = HOT_KEYS, salts: int = SALTS,
 ) -> DataFrame:
     """An equi-join that spreads the hot keys of ``left`` over ``salts`` tasks.
 
@@ -35,11 +45,15 @@ def salted_join(
     of those few keys are repeated once per salt, all other rows have salt 0.
     Rows with a NULL key match nothing and are spread as well. The salt is a
     hash, not a random number, so a task that runs again gives the same rows.
+    Without a hot key this is a plain join.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join does not support {how}")
     keys = as_list(on)
-    hot = F.broadcast(hot_keys(left, keys, n_hot).withColumn("_hot", F.lit(True)))  # at most n_hot rows
+    hot = hot_keys(left, keys, min_rows, n_hot)
+    if hot is None:
+        return left.join(right, keys, how)
+    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))  # at most n_hot rows
     hashed = [f.name for f in left.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     row_hash = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashed]), F.lit(salts)).cast("int")
     spread = reduce(or_, [F.col(k).isNull() for k in keys], F.col("_hot"))
@@ -81,14 +95,26 @@ def resolve_chain(rows: DataFrame, hops: list[tuple[DataFrame, str]], missing: s
 
     Each table holds one row per key and the key of the next hop. Rows whose
     key is absent are dropped, kept with NULLs (``"keep"``), or an error (``"raise"``).
+    The tables are joined with one another from the last hop back, so the rows
+    are joined once.
     """
     if missing not in ("drop", "keep", "raise"):
         raise ValueError(f"missing must be drop, keep or raise, not {missing}")
-    for table, key in hops:
-        if missing == "raise" and not (absent := missing_keys(rows, table, key)).isEmpty():
-            raise ValueError(f"no entry for {key} {absent.first()[0]}")
-        rows = lookup_join(rows, table, key, "left" if missing == "keep" else "inner")
-    return rows
+    how = "inner" if missing == "drop" else "left"
+    resolved, key = None, None
+    for place, (table, table_key) in reversed(list(enumerate(hops))):
+        table = table.withColumn(f"_found{place}", F.lit(True)) if missing == "raise" else table
+        resolved = table if resolved is None else lookup_join(table, resolved, key, how)
+        key = table_key
+    result = lookup_join(rows, resolved, key, how)
+    if missing == "raise":
+        flags = [F.col(f"_found{place}") for place in range(len(hops))]
+        lost = result.where(reduce(or_, [flag.isNull() for flag in flags]))
+        if not lost.isEmpty():
+            keys = [name for _, name in hops]
+            raise ValueError(f"no entry for {lost.select(*keys).first().asDict()}")
+        result = result.drop(*[f"_found{place}" for place in range(len(hops))])
+    return result
 
 
 def pointing_at(rows: DataFrame, targets: DataFrame, on) -> DataFrame:

@@ -41,7 +41,7 @@ def chunked_rows(df: DataFrame, by, order_by, columns: list[str], chunk_rows: in
     numbered = number_rows(df.select(*dict.fromkeys([*groups, *_names(order_by), *columns])), groups, order_by, "_position", 0)
     row = F.struct("_position", *columns)
     return (
-        numbered.withColumn("chunk", F.floor(F.col("_position") / chunk_rows).cast("bigint"))
+        numbered.withColumn("chunk", F.expr(f"_position div {int(chunk_rows)}"))
         .groupBy(*groups, "chunk")
         .agg(F.array_sort(F.collect_list(row)).alias("rows"))
     )

@@ -14,11 +14,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.casts import cast_or_null
 from millrace.functions.text import map_values
 from millrace.operators.dialects import SPARK_TYPES, _canonical_of, spark_type
 
-_DATE_TEXT = r"^\d{4}-\d{2}-\d{2}$"
-_TIMESTAMP_TEXT = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}"
+# Kinds of text from narrow to wide, each with the pattern of its texts; a bit stands for a kind.
+_KINDS = {
+    "int": r"^[+-]?[0-9]+$",
+    "float": r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$|^(?i:[+-]?inf(inity)?|nan)$",
+    "date": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$",
+    "datetime": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}",
+    "bool": r"^(?i:true|false)$",
+}
+_BITS = {kind: 1 << place for place, kind in enumerate([*_KINDS, "str"])}
+# A column has the first type that takes in all kinds found in it.
+_TYPES = {
+    "int": ["int"], "float": ["int", "float"], "date": ["date"], "datetime": ["date", "datetime"], "bool": ["bool"],
+}
 
 
 def per_element(function: Callable, returns) -> Callable[[Column], Column]:
@@ -62,7 +74,7 @@ def cast_failures(df: DataFrame, checks: list[tuple[str, object]]) -> list[int]:
     counted: list[Column] = []
     for name, target in checks:
         value = F.col(f"`{name}`")
-        attempt = value.try_cast(spark_type(target))
+        attempt = cast_or_null(value, df.select(value).schema[0].dataType, spark_type(target))
         try:
             df.select(attempt)
             counted.append(F.count_if(value.isNotNull() & attempt.isNull()))
@@ -131,36 +143,40 @@ def first_values(df: DataFrame, order_by: str | list[str], columns: list[str] |
     return df.agg(*[F.min_by(n, F.when(F.col(n).isNotNull(), key)).alias(n) for n in names])
 
 
+def _kind_bit(value: Column) -> Column:
+    """The bit of the narrowest kind of a text, NULL for NULL."""
+    bit = F.when(value.isNull(), None)
+    for kind, pattern in _KINDS.items():
+        fits = value.rlike(pattern)
+        if kind in ("int", "date", "datetime"):  # digits may be out of range
+            fits = fits & F.when(fits, value.try_cast(SPARK_TYPES[kind]).isNotNull())
+        bit = bit.when(fits, _BITS[kind])
+    return bit.otherwise(_BITS["str"])
+
+
 def infer_types(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """``(column_name, type)``: the narrowest canonical type that fits every value of a column.
 
     Text is tried as int, float, date, datetime and bool; columns of other
-    types keep theirs. A text column without values is ``null``.
+    types keep theirs. A text column without values is ``null``. Every value
+    is classed once and the classes of a column are or-ed together.
     """
     texts: list[Column] = []
     entries: list[Column] = []
     for name in columns or df.columns:
         dtype = df.schema[name].dataType
-        value = F.col(f"`{name}`")
-        if not isinstance(dtype, T.StringType):
-            entries.append(F.struct(F.lit(name).alias("column_name"), F.lit(_canonical_of(dtype)).alias("type")))
-            continue
-        fits = {
-            "int": value.try_cast("bigint").isNotNull() & ~value.contains("."),
-            "float": value.try_cast("double").isNotNull(),
-            "date": value.rlike(_DATE_TEXT) & value.try_cast("date").isNotNull(),
-            "datetime": value.rlike(_TIMESTAMP_TEXT) & value.try_cast("timestamp_ntz").isNotNull(),
-            "bool": F.lower(value).isin("true", "false"),
-        }
-        texts.append(F.count(value).alias(f"{name}#n"))
-        texts += [F.count_if(value.isNotNull() & fit).alias(f"{name}#{kind}") for kind, fit in fits.items()]
-        total = F.col(f"`{name}#n`")
-        choice = F.when(total == 0, "null")
-        for kind in fits:
-            choice = choice.when(F.col(f"`{name}#{kind}`") == total, kind)
-        entries.append(F.struct(F.lit(name).alias("column_name"), choice.otherwise("str").alias("type")))
-    counts = df.agg(F.count(F.lit(1)).alias("#rows"), *texts)
-    return counts.select(F.inline(F.array(*entries)))
+        if isinstance(dtype, T.StringType):
+            texts.append(F.bit_or(_kind_bit(F.col(f"`{name}`"))).alias(name))
+            found = F.col(f"`{name}`")
+            kind = F.when(found.isNull(), "null")
+            for canonical, kinds in _TYPES.items():
+                others = ~sum(_BITS[k] for k in kinds)
+                kind = kind.when(found.bitwiseAND(F.lit(others)) == 0, canonical)
+            kind = kind.otherwise("str")
+        else:
+            kind = F.lit(_canonical_of(dtype))
+        entries.append(F.struct(F.lit(name).alias("column_name"), kind.alias("type")))
+    return df.agg(F.count(F.lit(1)).alias("#rows"), *texts).select(F.inline(F.array(*entries)))
 
 
 def infer_json_type(df: DataFrame, column: str) -> DataFrame:

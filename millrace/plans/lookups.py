@@ -35,7 +35,8 @@ def resolve_chain(spark, sf_dir):
 @query("jn_01_salted_lookup", _CHAIN)
 def salted_lookup(spark, sf_dir):
     lines, versions, artifacts = _versions(spark, sf_dir)
-    return lookup.salted_join(lookup.salted_join(lines, versions, "version"), artifacts, "artifact", "left")
+    resolved = lookup.salted_join(versions, artifacts, "artifact", "left", min_rows=1)
+    return lookup.salted_join(lines, resolved, "version", min_rows=1)
 
 
 @query(

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions import names, text
+from millrace.functions.casts import cast_or_null
 from millrace.plans.registry import query, table
 
 
@@ -145,5 +147,5 @@ def casts(spark, sf_dir):
         F.col("o_totalprice").cast("bigint").alias("whole"),
         F.col("o_orderdate").cast("date").alias("day"),
         F.col("o_orderkey").cast("string").alias("key_text"),
-        F.col("o_orderstatus").try_cast("bigint").alias("no_number"),
+        cast_or_null(F.col("o_orderstatus"), T.StringType(), T.LongType()).alias("no_number"),
     )

@@ -111,6 +111,12 @@ def read_parquet(
     return df
 
 
+def path_partitions(spark: SparkSession, path: str) -> list[str]:
+    """The partition columns in the folder names below ``path``."""
+    listing = open_files(spark, path, "binaryFile", string_partitions=True)
+    return [name for name in listing.columns if name not in BINARY_COLUMNS]
+
+
 def read_partition_values(spark: SparkSession, path: str, schema: dict | None = None) -> DataFrame:
     """The distinct partition values of a hive-partitioned folder, without opening a data file.
 
@@ -119,7 +125,7 @@ def read_partition_values(spark: SparkSession, path: str, schema: dict | None =
     unless ``schema`` casts them.
     """
     listing = open_files(spark, path, "binaryFile", string_partitions=True)
-    keys = [name for name in listing.columns if name not in BINARY_COLUMNS]
+    keys = path_partitions(spark, path)
     if not keys:
         raise ValueError(f"{path} has no partition folders")
     return enforce(listing.select(*keys).distinct(), schema)

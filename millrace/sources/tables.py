@@ -9,7 +9,7 @@ from millrace.functions.predicates import as_list, where
 from millrace.operators.relation import limit_rows, project
 from millrace.operators.schema import add_missing, enforce
 from millrace.functions.names import url_decode
-from millrace.sources.files import file_inventory, infer_format, open_files, struct_type
+from millrace.sources.files import file_inventory, infer_format, open_files, path_partitions, struct_type
 from millrace.sources.layout import (
     RangePartition,
     TimePartition,
@@ -81,9 +81,14 @@ def create_external(
     fmt = infer_format(path)
     options = {"header": "true"} if fmt == "csv" else {}
     shape = open_files(spark, path, fmt, schema, string_partitions).schema
-    spark.catalog.createTable(quoted(table), path=path, source=fmt, schema=shape, **options)
-    if partition_columns(spark, table):
-        spark.sql(f"MSCK REPAIR TABLE {quoted(table)}")
+    keys = [name for name in path_partitions(spark, path) if name in shape.names]
+    if not keys:
+        return spark.catalog.createTable(quoted(table), path=path, source=fmt, schema=shape, **options)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in shape.fields)
+    settings = ", ".join(f"'{k}'='{v}'" for k, v in {**options, "path": path}.items())
+    by = ", ".join(f"`{name}`" for name in keys)
+    spark.sql(f"CREATE TABLE {quoted(table)} ({columns}) USING {fmt} OPTIONS ({settings}) PARTITIONED BY ({by})")
+    spark.sql(f"MSCK REPAIR TABLE {quoted(table)}")
     return spark.table(quoted(table))
 
 

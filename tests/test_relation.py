@@ -1,0 +1,144 @@
+import datetime as dt
+
+import pytest
+from conftest import plan, rows
+from pyspark.sql import functions as F
+
+from millrace.operators import logs, lookup, relation as R
+
+
+def test_project(pairs):
+    assert R.project(pairs, None).columns == ["a", "b"]
+    assert R.project(pairs, "*").columns == ["a", "b"]
+    assert R.project(pairs, ["*", "b"]).columns == ["b"]
+    assert R.project(pairs, "a").columns == ["a"]
+    with pytest.raises(ValueError):
+        R.project(pairs, ["z"])
+
+
+@pytest.mark.parametrize("n,count", [(1, 1), (5, 3), (0, 3), (-1, 3), (None, 3), (True, 3), ("1", 3)])
+def test_only_positive_whole_limits_apply(pairs, n, count):
+    assert R.limit_rows(pairs, n).count() == count
+
+
+def test_fetch(pairs):
+    assert [r["a"] for r in R.fetch(pairs, order_by="-b", limit=2).collect()] == [3, 2]
+    assert [r["a"] for r in R.fetch(pairs, {"b": 5}).collect()] == [2]
+    assert [tuple(r) for r in R.fetch_one(pairs, order_by="b desc").collect()] == [(3, 6)]
+    assert R.fetch_one(pairs, {"a": 99}).isEmpty()
+
+
+def test_newest_rows_split_each_group(spark):
+    data = [(f"g{i % 3}", dt.datetime(2024, 1, 1 + i // 6), i) for i in range(30)] + [("hot", dt.datetime(2024, 1, 1), 100 + i) for i in range(20)]
+    df = spark.createDataFrame(data, "g string, t timestamp_ntz, id int")
+    kept, dropped = R.keep_newest(df, "g", "t", "id", 2), R.drop_newest(df, "g", "t", "id", 2)
+    assert kept.columns == df.columns and set(dropped.columns) == set(df.columns)
+    assert rows(kept.unionByName(dropped)) == rows(df)
+    newest = sorted((r["id"] for r in kept.collect()))
+    assert newest == [24, 25, 26, 27, 28, 29, 118, 119]
+    assert R.keep_newest(df, "g", "t", "id", 100).count() == 50 and R.drop_newest(df, "g", "t", "id", 100).isEmpty()
+
+
+def test_newest_rows_are_limited_before_the_shuffle(spark):
+    df = spark.range(100).selectExpr("id % 3 as g", "id as t", "id")
+    text = plan(R.keep_newest(df, "g", "t", "id", 2))
+    assert "Arguments: [g#" in text and text.count("WindowGroupLimit") >= 2
+
+
+def test_counts_and_groups(spark, pairs):
+    assert rows(R.row_count(pairs, "t")) == [("t", 3)]
+    df = spark.createDataFrame([("x", 1), ("x", 0), ("y", 2), ("z", None)], "g string, v int")
+    assert rows(R.all_rows_pass(df, "g", F.col("v") > 0)) == [("x", False), ("y", True), ("z", False)]
+    docs = spark.createDataFrame([("c/a", 1), ("c/b", 2)], "path string, v int")
+    assert rows(R.keyed(docs, "path")) == [("a", 1), ("b", 2)]
+
+
+@pytest.fixture
+def refs(spark):
+    left = spark.createDataFrame(
+        [(None, i) for i in range(30)] + [(1, i) for i in range(60)] + [(k, k) for k in range(2, 12)], "k int, v int"
+    )
+    right = spark.createDataFrame([(k, f"n{k}") for k in range(1, 9)] + [(1, "again"), (99, "other")], "k int, name string")
+    return left, right
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("salts", [1, 7])
+def test_salted_join_equals_a_plain_join(refs, how, salts):
+    left, right = refs
+    salted = lookup.salted_join(left, right, "k", how, min_rows=5, n_hot=4, salts=salts)
+    plain = left.join(right, "k", how)
+    assert salted.columns == plain.columns and rows(salted) == rows(plain)
+
+
+def test_salts_spread_a_hot_key(spark, refs):
+    left, right = refs
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(lookup.salted_join(left, right, "k", min_rows=5, salts=8))
+        none = plan(lookup.salted_join(left, right, "k", min_rows=1000))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(k" in text and "_salt" in text and "_salt" not in none
+
+
+def test_hot_keys_are_bounded(refs):
+    left, _ = refs
+    assert rows(lookup.hot_keys(left, "k", min_rows=5, n=1)) == [(1,)]
+    assert lookup.hot_keys(left, "k", min_rows=1, n=3).count() == 3
+    assert lookup.hot_keys(left, "k", min_rows=1000) is None
+
+
+def test_multi_column_lookup(spark):
+    left = spark.createDataFrame([(1, "a", i) for i in range(50)] + [(2, "b", 0)], "x int, y string, v int")
+    right = spark.createDataFrame([(1, "a", "hit"), (2, "c", "miss")], "x int, y string, name string")
+    salted = lookup.salted_join(left, right, ["x", "y"], "left", min_rows=10, salts=4)
+    assert rows(salted) == rows(left.join(right, ["x", "y"], "left"))
+    assert rows(lookup.lookup_join(left, right, ["x", "y"], right_is_small=False)) == rows(left.join(right, ["x", "y"]))
+
+
+def test_chain_of_lookups(spark):
+    tags = spark.createDataFrame([("t1", "v1"), ("t2", "v2"), ("t3", "v9")], "tag string, version string")
+    versions = spark.createDataFrame([("v1", "a1"), ("v2", "a9")], "version string, artifact string")
+    artifacts = spark.createDataFrame([("a1", 10)], "artifact string, size int")
+    hops = [(versions, "version"), (artifacts, "artifact")]
+    one = lambda df: rows(df.select("tag", "size"))
+    assert one(lookup.resolve_chain(tags, hops)) == [("t1", 10)]
+    assert one(lookup.resolve_chain(tags, hops, "keep")) == [("t1", 10), ("t2", None), ("t3", None)]
+    with pytest.raises(ValueError, match="no entry"):
+        lookup.resolve_chain(tags, hops, "raise")
+    found = lookup.resolve_chain(tags.where("tag = 't1'"), hops, "raise")
+    assert sorted(found.columns) == ["artifact", "size", "tag", "version"] and one(found) == [("t1", 10)]
+    assert rows(lookup.missing_keys(tags, versions, "version")) == [("v9",)]
+    assert rows(lookup.pointing_at(tags, versions, "version").select("tag")) == [("t1",), ("t2",)]
+
+
+def test_hierarchy_from_any_level(spark):
+    lakes = spark.createDataFrame([("l1",), ("l2",)], "lake string")
+    zones = spark.createDataFrame([("l1", "z1"), ("l1", "z2"), ("l3", "z3")], "lake string, zone string")
+    assets = spark.createDataFrame([("z1", "a1"), ("z2", "a2"), ("z3", "a3")], "zone string, asset string")
+    assert rows(lookup.expand_hierarchy(lakes, [(zones, "lake"), (assets, "zone")]).select("lake", "zone", "asset")) == [
+        ("l1", "z1", "a1"), ("l1", "z2", "a2"),
+    ]
+    assert rows(lookup.expand_hierarchy(zones.where("zone = 'z3'"), [(assets, "zone")]).select("asset")) == [("a3",)]
+
+
+@pytest.fixture
+def entries(spark):
+    data = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), "error" if i % 4 == 0 else "info", f"m{i}") for i in range(150)]
+    return spark.createDataFrame(data, "id int, timestamp timestamp_ntz, severity string, message string")
+
+
+def test_log_search(entries):
+    ids = lambda df: [r["id"] for r in df.collect()]
+    assert ids(logs.search_logs(entries)) == list(range(149, 49, -1))
+    assert len(ids(logs.search_logs(entries, severity="error"))) == 38
+    assert ids(logs.search_logs(entries, severity="error", limit=2)) == [148, 144]
+    start, end = dt.datetime(2024, 1, 1, 3), dt.datetime(2024, 1, 1, 5)
+    assert ids(logs.search_logs(entries, time_start=start, time_end=end, order_by="timestamp")) == [3, 4, 5]
+    assert ids(logs.search_logs(entries, time_range=2, now=dt.datetime(2024, 1, 1, 10))) == [10, 9, 8]
+    assert ids(logs.search_logs(entries, query="message like 'm14_'", severity="error")) == [148, 144, 140]
+
+
+def test_newest_first_takes_the_top_without_a_full_sort(entries):
+    assert "TakeOrderedAndProject" in plan(R.newest_first(entries, "timestamp", "id", 5))
