@@ -95,8 +95,10 @@ def json_depth(text: Column) -> Column:
 
 
 def _max_depth(df: DataFrame, column: str) -> int:
-    """The depth of the deepest text; one small aggregation row."""
-    return df.agg(F.max(json_depth(F.col(column)))).first()[0] or 0
+    """The depth of the deepest text that is JSON; one small aggregation row."""
+    text = F.col(column)
+    valid = F.when(F.try_parse_json(text).isNotNull(), text)
+    return df.agg(F.max(json_depth(valid))).first()[0] or 0
 
 
 def _children(rows: DataFrame, kept: list[str], outer: bool) -> DataFrame:

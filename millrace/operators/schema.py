@@ -21,12 +21,12 @@ from millrace.operators.dialects import SPARK_TYPES, _canonical_of, spark_type
 # Kinds of text from narrow to wide, each with the pattern of its texts; a bit stands for a kind.
 _KINDS = {
     "int": r"^[+-]?[0-9]+$",
-    "float": r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$|^(?i:[+-]?inf(inity)?|nan)$",
+    "float": r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$",
     "date": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$",
     "datetime": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}",
-    "bool": r"^(?i:true|false)$",
 }
-_BITS = {kind: 1 << place for place, kind in enumerate([*_KINDS, "str"])}
+_WORDS = {"float": ["inf", "+inf", "-inf", "infinity", "+infinity", "-infinity", "nan"], "bool": ["true", "false"]}
+_BITS = {kind: 1 << place for place, kind in enumerate([*_KINDS, "bool", "str"])}
 # A column has the first type that takes in all kinds found in it.
 _TYPES = {
     "int": ["int"], "float": ["int", "float"], "date": ["date"], "datetime": ["date", "datetime"], "bool": ["bool"],
@@ -145,13 +145,19 @@ def first_values(df: DataFrame, order_by: str | list[str], columns: list[str] |
 
 def _kind_bit(value: Column) -> Column:
     """The bit of the narrowest kind of a text, NULL for NULL."""
-    bit = F.when(value.isNull(), None)
+    word = F.lower(value)
+    words = F
+    for kind, texts in _WORDS.items():
+        words = words.when(word.isin(texts), _BITS[kind])
+    words = words.otherwise(_BITS["str"])
+    numbers = F
     for kind, pattern in _KINDS.items():
         fits = value.rlike(pattern)
-        if kind in ("int", "date", "datetime"):  # digits may be out of range
-            fits = fits & F.when(fits, value.try_cast(SPARK_TYPES[kind]).isNotNull())
-        bit = bit.when(fits, _BITS[kind])
-    return bit.otherwise(_BITS["str"])
+        if kind != "float":  # digits may be out of range
+            fits = F.when(fits, value.try_cast(SPARK_TYPES[kind]).isNotNull())
+        numbers = numbers.when(fits, _BITS[kind])
+    # Digits and signs sort before the colon, so most other text skips the patterns.
+    return F.when(value.isNull(), None).when(value < ":", numbers.otherwise(words)).otherwise(words)
 
 
 def infer_types(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import documents, reshape
 from millrace.plans.registry import query, table
+from millrace.session import materialise
 
 _CHUNK = 500
 
@@ -119,7 +120,7 @@ def pack(spark, sf_dir):
 @query("rsh_08_unpack", "SELECT o_custkey, o_orderkey, o_totalprice, o_orderstatus, o_orderdate FROM orders")
 def unpack(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").drop("o_orderpriority")
-    packed = documents.pack_documents(orders, "o_custkey", "o_orderkey", chunk_rows=4)
+    packed = materialise(documents.pack_documents(orders, "o_custkey", "o_orderkey", chunk_rows=4), "packed")
     return documents.unpack_documents(packed).drop("chunk")
 
 
@@ -135,7 +136,7 @@ def document_schema(spark, sf_dir):
         "c_custkey", F.col("c_nationkey").alias("n_nationkey"), F.col("c_acctbal").cast("string").alias("balance")
     )
     rows = customer.join(nation, "n_nationkey")
-    packed = documents.pack_documents(rows, "n_regionkey", "c_custkey")
+    packed = materialise(documents.pack_documents(rows, "n_regionkey", "c_custkey"), "packed")
     frame = documents.unpack_documents(packed).drop("chunk")
     whole = frame.withColumn("balance", F.when(F.col("n_regionkey") == 1, F.substring_index("balance", ".", 1)).otherwise(F.col("balance")))
     return documents.cast_documents(whole, "n_regionkey", {1: {"balance": int}})
