@@ -11,10 +11,16 @@ from pyspark.sql import types as T
 
 from millrace.functions.predicates import as_list, literal
 
+_DAY_SECONDS = 86_400
+
 
 @dataclass(frozen=True)
 class TimePartition:
-    """One partition per day of a date or timestamp column."""
+    """One partition per day of a date or timestamp column.
+
+    Days of timestamps with a zone are days in UTC, whatever the session's
+    zone, so that a table can be written in one zone and read in another.
+    """
 
     column: str
 
@@ -22,15 +28,18 @@ class TimePartition:
     def partition(self) -> str:
         return f"{self.column}__day"
 
-    def derive(self, value: Column) -> Column:
+    def derive(self, value: Column, dtype: T.DataType) -> Column:
+        if isinstance(dtype, T.TimestampType):
+            return F.date_from_unix_date(F.floor(F.unix_seconds(value) / _DAY_SECONDS).cast("int"))
         return F.to_date(value)
 
     def implied(self, op: str, value, dtype: T.DataType) -> Column | None:
         """The partition predicate that follows from ``column op value``."""
         day = F.col(self.partition)
+        days = [self.derive(literal(v, dtype).cast(dtype), dtype) for v in as_list(value)]
         if op == "IN":
-            return day.isin([F.to_date(literal(v, dtype)) for v in as_list(value)])
-        bound = F.to_date(literal(value, dtype))
+            return day.isin(days)
+        bound = days[0]
         return {"=": day == bound, ">": day >= bound, ">=": day >= bound, "<": day <= bound, "<=": day <= bound}.get(op)
 
     def describe(self) -> str:
@@ -57,10 +66,9 @@ class RangePartition:
     def partition(self) -> str:
         return f"{self.column}__range"
 
-    def derive(self, value: Column) -> Column:
+    def derive(self, value: Column, dtype: T.DataType | None = None) -> Column:
         inside = (value >= self.start) & (value < self.end)
-        step = F.floor((value - self.start) / self.interval)
-        return F.when(inside, (step * self.interval + self.start).cast("bigint"))
+        return F.when(inside, (value - F.pmod(value - self.start, F.lit(self.interval))).cast("bigint"))
 
     def implied(self, op: str, value, dtype: T.DataType) -> Column | None:
         lower, values = F.col(self.partition), as_list(value)
@@ -80,6 +88,12 @@ class RangePartition:
         return f"{self.column},{self.start},{self.end},{self.interval}"
 
 
+def with_layout(df: DataFrame, layout) -> DataFrame:
+    """``df`` with the derived partition column."""
+    dtype = df.schema[layout.column].dataType
+    return df.withColumn(layout.partition, layout.derive(F.col(layout.column), dtype))
+
+
 # Table properties that record a derived partition column.
 TIME_PROPERTY = "millrace.time_partition"
 RANGE_PROPERTY = "millrace.range_partition"

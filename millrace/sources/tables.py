@@ -17,6 +17,7 @@ from millrace.sources.layout import (
     layout_from_properties,
     layout_properties,
     prune,
+    with_layout,
 )
 from millrace.sources.sinks import partitioned_writer
 
@@ -99,7 +100,7 @@ def insert(df: DataFrame, table: str, schema: dict | None = None) -> None:
     df = enforce(df, schema)
     layout = layout_from_properties(table_properties(spark, table))
     if layout is not None and layout.partition not in df.columns:
-        df = df.withColumn(layout.partition, layout.derive(F.col(layout.column)))
+        df = with_layout(df, layout)
     known = {name.lower() for name in target.columns}
     extra = [name for name in df.columns if name.lower() not in known]
     if extra:
@@ -134,7 +135,7 @@ def write_table(
     layout = TimePartition(time_partition) if time_partition else range_partition
     partitions, cluster = as_list(partition_by) if partition_by else [], as_list(cluster_by) if cluster_by else []
     if layout is not None:
-        df = df.withColumn(layout.partition, layout.derive(F.col(layout.column)))
+        df = with_layout(df, layout)
         partitions = [*partitions, layout.partition]
     if partitions:
         writer = partitioned_writer(df, partitions, cluster)

@@ -85,6 +85,22 @@ def test_time_partition_prunes_on_the_source_column(spark, database):
     assert spark.table(name).where("ts__day = date '2024-02-01'").count() == 1
 
 
+def test_days_do_not_depend_on_the_session_zone(spark, database):
+    name, zone = f"{database}.t", spark.conf.get("spark.sql.session.timeZone")
+    stamps = spark.range(96).select("id", F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 3600).alias("ts"))
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        W.write_table(stamps, name, time_partition="ts")
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        for hour in range(0, 96, 5):
+            bound = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(hours=hour)
+            for op in (">=", "<", "="):
+                found = W.read_table(spark, name, ["id"], [("ts", op, bound)])
+                assert rows(found) == rows(where(stamps, [("ts", op, bound)]).select("id")), (op, bound)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_range_partition_keeps_values_outside(spark, database):
     name = f"{database}.t"
     df = spark.createDataFrame([(i,) for i in [-5, 0, 9, 10, 55, 99, 100, 1000]] + [(None,)], "k bigint")
