@@ -82,9 +82,8 @@ def invert_pairs(df: DataFrame, key: str, value: str, order_by) -> DataFrame:
 
 def json_depth(text: Column) -> Column:
     """How deep objects and arrays nest in a JSON text; 0 for a scalar."""
-    bare = F.regexp_replace(text, r"\\.", "")
-    bare = F.regexp_replace(bare, r'"[^"]*"', "")
-    brackets = F.regexp_replace(bare, r"[^\[\]{}]+", "")
+    unescaped = F.when(text.contains("\\"), F.regexp_replace(text, r"(?s)\\.", "")).otherwise(text)
+    brackets = F.regexp_replace(unescaped, r'"[^"]*"|[^\[\]{}"]+', "")
     start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("deepest"))
 
     def step(state: Column, bracket: Column) -> Column:
@@ -113,36 +112,45 @@ def _children(rows: DataFrame, kept: list[str], outer: bool) -> DataFrame:
     )
 
 
-def _roots(df: DataFrame, column: str, kept: list[str]) -> DataFrame:
-    return df.select(
+def _roots(df: DataFrame, column: str, kept: list[str], errors: str) -> DataFrame:
+    if errors not in ("raise", "skip"):
+        raise ValueError(f"errors must be raise or skip, not {errors}")
+    parse = F.parse_json if errors == "raise" else F.try_parse_json
+    roots = df.select(
         *kept,
         F.array().cast(T.ArrayType(T.IntegerType())).alias("_place"),
         F.lit(None).cast("string").alias("_member"),
-        F.try_parse_json(column).alias("_value"),
+        parse(column).alias("_value"),
     )
+    return roots.where(F.col("_value").isNotNull())
 
 
-def flatten_values(df: DataFrame, column: str, keep: list[str], depth: int | None = None) -> DataFrame:
+def flatten_values(
+    df: DataFrame, column: str, keep: list[str], depth: int | None = None, errors: str = "raise"
+) -> DataFrame:
     """``(keep.., place, value)``: the scalars of a JSON column, as text, at any depth.
 
     ``place`` lists the member numbers on the way down, so ordering by it is
     depth-first; members of an object are numbered by key. Without ``depth``,
-    the deepest nesting is measured first.
+    the deepest nesting is measured first. A text that is not JSON is an error,
+    or left out with ``errors="skip"``.
     """
     depth = _max_depth(df, column) if depth is None else depth
-    rows = _roots(df, column, keep)
+    rows = _roots(df, column, keep, errors)
     for _ in range(depth):
         rows = _children(rows, keep, outer=True)
-    empty = F.to_json("_value").isin("{}", "[]")
-    return rows.where(~empty).select(
-        *keep, F.col("_place").alias("place"), F.expr("variant_get(_value, '$', 'string')").alias("value")
-    )
+    leaves = rows.select(*keep, F.col("_place").alias("place"), "_value", F.expr("variant_get(_value, '$', 'string')").alias("value"))
+    # A text of two brackets is a scalar only if its JSON has quotes.
+    braces = F.coalesce(F.col("value").isin("{}", "[]"), F.lit(False))
+    return leaves.where(~(braces & F.to_json("_value").isin("{}", "[]"))).drop("_value")
 
 
-def flatten_keys(df: DataFrame, column: str, keep: list[str], depth: int | None = None) -> DataFrame:
-    """``(keep.., place, key)``: the object keys of a JSON column, at any depth."""
+def flatten_keys(
+    df: DataFrame, column: str, keep: list[str], depth: int | None = None, errors: str = "raise"
+) -> DataFrame:
+    """``(keep.., place, key)``: the object keys of a JSON column, at any depth; as ``flatten_values``."""
     depth = _max_depth(df, column) if depth is None else depth
-    rows, found = _roots(df, column, keep), []
+    rows, found = _roots(df, column, keep, errors), []
     for _ in range(depth):
         rows = _children(rows, keep, outer=False)
         found.append(rows.where(F.col("_member").isNotNull()))

@@ -59,6 +59,8 @@ def nested(spark):
         (2, '{"a": 1, "b": [1, [2, [3, 4]]]}'),
         (3, '{"s": "a [b] {c} \\"q\\" \\\\", "n": null, "t": true, "x": {}, "y": []}'),
         (4, "7"),
+        (6, '["[]", "{}", [], {"k": []}, ""]'),
+        (7, '[[[['),
         (5, None),
     ]
     return spark.createDataFrame(texts, "id int, j string")
@@ -66,24 +68,31 @@ def nested(spark):
 
 def test_flattened_values_are_depth_first(nested):
     found = {}
-    for row in R.flatten_values(nested, "j", ["id"]).orderBy("id", "place").collect():
+    for row in R.flatten_values(nested, "j", ["id"], errors="skip").orderBy("id", "place").collect():
         found.setdefault(row["id"], []).append(row["value"])
     assert found[1] == ["1", "2", "3", "4"]
     assert found[2] == ["1", "1", "2", "3", "4"]
     assert found[3] == [None, 'a [b] {c} "q" \\', "true"]  # members come by key: n, s, t
     assert found[4] == ["7"]
+    assert found[6] == ["[]", "{}", ""]
+    assert 5 not in found and 7 not in found
+
+
+def test_texts_that_are_not_json_raise(nested):
+    with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING"):
+        R.flatten_values(nested, "j", ["id"]).collect()
 
 
 def test_flattened_keys(nested):
     found = {}
-    for row in R.flatten_keys(nested, "j", ["id"]).orderBy("id", "place").collect():
+    for row in R.flatten_keys(nested, "j", ["id"], errors="skip").orderBy("id", "place").collect():
         found.setdefault(row["id"], []).append(row["key"])
-    assert found == {1: ["a", "b", "c", "d", "e"], 2: ["a", "b"], 3: ["n", "s", "t", "x", "y"]}
+    assert found == {1: ["a", "b", "c", "d", "e"], 2: ["a", "b"], 3: ["n", "s", "t", "x", "y"], 6: ["k"]}
 
 
 def test_depth_ignores_brackets_in_texts(nested):
     found = {r["id"]: r["d"] for r in nested.select("id", R.json_depth(F.col("j")).alias("d")).collect()}
-    assert found == {1: 3, 2: 4, 3: 2, 4: 0, 5: None}
+    assert found == {1: 3, 2: 4, 3: 2, 4: 0, 5: None, 6: 3, 7: 4}
 
 
 def test_maps_turn_round(spark):
