@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,26 +13,48 @@ from millrace.functions.predicates import as_list
 
 # A right side of at most this many rows is joined without salting: Spark
 # broadcasts it when its size in bytes allows, and AQE sees to the rest.
-SMALL_ROWS = 10_000
+SMALL_ROWS = 100_000
 # A key is hot from this many rows on; a key outside the HOT_KEYS most
 # frequent ones holds less than 1/HOT_KEYS of the rows.
 HOT_ROWS = 1_000_000
 HOT_KEYS = 64
 SALTS = 64
+# Keys tracked per task when counting; any key above 1/1000 of the rows is found.
+_TRACKED = 10_000
 
 
-def hot_keys(df: DataFrame, on, min_rows: int = HOT_ROWS, n: int = HOT_KEYS) -> DataFrame | None:
-    """The most frequent keys, at most ``n``, as a frame of their own; None when no key is hot.
+def is_small(df: DataFrame) -> bool:
+    """Whether there are at most ``SMALL_ROWS`` rows; counting stops there."""
+    return df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS
 
-    Only the key columns are read, counted per task first, and at most ``n``
-    keys come back. Both sides of a join must see the same keys, so they are
-    fetched once and not planned twice.
+
+def _key_hash(schema: T.StructType, keys: list[str]) -> Column:
+    """A hash of the join keys that does not depend on the width of whole numbers."""
+    whole = [isinstance(schema[k].dataType, T.IntegralType) for k in keys]
+    return F.xxhash64(*[F.col(k).cast("bigint") if w else F.col(k) for k, w in zip(keys, whole)])
+
+
+def _same_hash(left: T.StructType, right: T.StructType, keys: list[str]) -> bool:
+    """Whether equal keys have equal hashes on both sides."""
+    for key in keys:
+        a, b = left[key].dataType, right[key].dataType
+        if isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType):
+            continue
+        if a != b or isinstance(a, (T.FloatType, T.DoubleType, T.ArrayType, T.StructType)):
+            return False
+    return True
+
+
+def hot_hashes(df: DataFrame, on, min_rows: int = HOT_ROWS, n: int = HOT_KEYS) -> list[int]:
+    """The hashes of the most frequent keys with ``min_rows`` rows or more, at most ``n``.
+
+    Only the key columns are read, and every task counts in a sketch of fixed
+    size, so nothing is shuffled but the sketches. The counts choose what is
+    salted; the result of a join does not depend on them.
     """
-    keys = as_list(on)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") >= min_rows)
-    found = counts.orderBy(F.col("_rows").desc()).limit(n).select(*keys)
-    rows = found.collect()
-    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
+    hashes = df.select(_key_hash(df.schema, as_list(on)).alias("hash"))
+    top = hashes.agg(F.expr(f"approx_top_k(hash, {n}, {_TRACKED})")).first()[0]
+    return [entry["item"] for entry in top if entry["count"] >= min_rows]
 
 
 def salted_join(
@@ -50,20 +72,15 @@ def salted_join(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join does not support {how}")
     keys = as_list(on)
-    hot = hot_keys(left, keys, min_rows, n_hot)
-    if hot is None:
+    hot = hot_hashes(left, keys, min_rows, n_hot) if _same_hash(left.schema, right.schema, keys) else []
+    if not hot:
         return left.join(right, keys, how)
-    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))  # at most n_hot rows
     hashed = [f.name for f in left.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     row_hash = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashed]), F.lit(salts)).cast("int")
-    spread = reduce(or_, [F.col(k).isNull() for k in keys], F.col("_hot"))
-    salted_left = left.join(hot, keys, "left").withColumn(
-        "_salt", F.when(spread, row_hash).otherwise(F.lit(0))
-    ).drop("_hot")
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    salted_right = right.join(hot, keys, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0))))
-    ).drop("_hot")
+    spread = reduce(or_, [F.col(k).isNull() for k in keys], _key_hash(left.schema, keys).isin(hot))
+    salted_left = left.withColumn("_salt", F.when(spread, row_hash).otherwise(F.lit(0)))
+    copies = F.when(_key_hash(right.schema, keys).isin(hot), F.sequence(F.lit(0), F.lit(salts - 1)))
+    salted_right = right.withColumn("_salt", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
     return salted_left.join(salted_right, keys + ["_salt"], how).drop("_salt")
 
 
@@ -74,9 +91,7 @@ def lookup_join(left: DataFrame, right: DataFrame, on, how: str = "inner", right
     leaves the choice to Spark's own size checks, a large one is joined with
     the hot keys of ``left`` salted.
     """
-    if right_is_small is None:
-        right_is_small = right.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS
-    if right_is_small:
+    if is_small(right) if right_is_small is None else right_is_small:
         return left.join(right, as_list(on), how)
     return salted_join(left, right, on, how)
 
@@ -101,12 +116,14 @@ def resolve_chain(rows: DataFrame, hops: list[tuple[DataFrame, str]], missing: s
     if missing not in ("drop", "keep", "raise"):
         raise ValueError(f"missing must be drop, keep or raise, not {missing}")
     how = "inner" if missing == "drop" else "left"
-    resolved, key = None, None
+    resolved, key, small = None, None, None
     for place, (table, table_key) in reversed(list(enumerate(hops))):
+        # What a table resolves to has no more rows than the table.
+        table_is_small = is_small(table)
         table = table.withColumn(f"_found{place}", F.lit(True)) if missing == "raise" else table
-        resolved = table if resolved is None else lookup_join(table, resolved, key, how)
-        key = table_key
-    result = lookup_join(rows, resolved, key, how)
+        resolved = table if resolved is None else lookup_join(table, resolved, key, how, small)
+        key, small = table_key, table_is_small
+    result = lookup_join(rows, resolved, key, how, small)
     if missing == "raise":
         flags = [F.col(f"_found{place}") for place in range(len(hops))]
         lost = result.where(reduce(or_, [flag.isNull() for flag in flags]))
@@ -128,7 +145,9 @@ def expand_hierarchy(start: DataFrame, levels: list[tuple[DataFrame, str]]) -> D
     ``start`` may hold rows of any level; pass the levels below it. The
     children are the large side, so they lead the join.
     """
-    rows = start
-    for children, parent_key in levels:
-        rows = lookup_join(children, rows, parent_key)
+    rows, small = start, is_small(start)
+    for place, (children, parent_key) in enumerate(levels):
+        rows = lookup_join(children, rows, parent_key, right_is_small=small)
+        # A child has one parent, so there are no more rows than children.
+        small = place + 1 < len(levels) and is_small(children)
     return rows

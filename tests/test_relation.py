@@ -84,9 +84,17 @@ def test_salts_spread_a_hot_key(spark, refs):
 
 def test_hot_keys_are_bounded(refs):
     left, _ = refs
-    assert rows(lookup.hot_keys(left, "k", min_rows=5, n=1)) == [(1,)]
-    assert lookup.hot_keys(left, "k", min_rows=1, n=3).count() == 3
-    assert lookup.hot_keys(left, "k", min_rows=1000) is None
+    assert len(lookup.hot_hashes(left, "k", min_rows=5)) == 2  # the NULLs and key 1
+    assert len(lookup.hot_hashes(left, "k", min_rows=1, n=3)) == 3
+    assert lookup.hot_hashes(left, "k", min_rows=1000) == []
+
+
+def test_salted_join_of_keys_of_other_types(refs):
+    left, right = refs
+    for kind in ("bigint", "string", "double"):
+        other = right.withColumn("k", F.col("k").cast(kind))
+        salted = lookup.salted_join(left, other, "k", "left", min_rows=5, salts=3)
+        assert rows(salted) == rows(left.join(other, "k", "left")), kind
 
 
 def test_multi_column_lookup(spark):
