@@ -135,6 +135,28 @@ def enforce(df: DataFrame, schema: dict | None = None, dtypes: dict | None = Non
     return df.withColumns(changed) if changed else df
 
 
+def _storable_type(dtype: T.DataType) -> T.DataType:
+    if isinstance(dtype, T.NullType):
+        return T.BooleanType()
+    if isinstance(dtype, T.TimeType):
+        return T.StringType()
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(_storable_type(dtype.elementType), dtype.containsNull)
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, _storable_type(f.dataType), f.nullable) for f in dtype.fields])
+    return dtype
+
+
+def storable(df: DataFrame) -> DataFrame:
+    """``df`` with types that files hold: NULL-only columns as booleans, times as text, at any depth."""
+    changed = {
+        f.name: F.col(f"`{f.name}`").cast(_storable_type(f.dataType))
+        for f in df.schema.fields
+        if _storable_type(f.dataType) != f.dataType
+    }
+    return df.withColumns(changed) if changed else df
+
+
 def first_values(df: DataFrame, order_by: str | list[str], columns: list[str] | None = None) -> DataFrame:
     """One row: the first value of each column that is not NULL, in the given order."""
     order = [order_by] if isinstance(order_by, str) else list(order_by)

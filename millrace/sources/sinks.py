@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.predicates import as_list
 from millrace.functions.text import json_payload
 from millrace.operators.relation import project
-from millrace.operators.schema import enforce
+from millrace.operators.schema import enforce, storable
 from millrace.sources.files import FILLER
 from millrace.sources.layout import clustered
 
@@ -32,7 +32,7 @@ def write_parquet(
     Spark needs a data column, so when all columns are partition columns a
     filler column is added, which reading takes out again.
     """
-    df = enforce(df, schema)
+    df = storable(enforce(df, schema))
     if not partition_by:
         (clustered(df, cluster_by) if cluster_by else df).write.mode(mode).parquet(path)
         return

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.predicates import as_list, where
 from millrace.operators.relation import limit_rows, project
-from millrace.operators.schema import add_missing, enforce
+from millrace.operators.schema import add_missing, enforce, storable
 from millrace.functions.names import url_decode
 from millrace.sources.files import file_inventory, infer_format, open_files, path_partitions, struct_type
 from millrace.sources.layout import (
@@ -131,7 +131,7 @@ def write_table(
     if if_exists == "append" and spark.catalog.tableExists(quoted(table)):
         insert(df, table, schema)
         return
-    df = enforce(df, schema)
+    df = storable(enforce(df, schema))
     layout = TimePartition(time_partition) if time_partition else range_partition
     partitions, cluster = as_list(partition_by) if partition_by else [], as_list(cluster_by) if cluster_by else []
     if layout is not None:

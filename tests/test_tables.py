@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from millrace.functions.predicates import where
 from millrace.sources import tables as W
-from millrace.sources.files import open_files
+from millrace.sources.files import ingest_rows, open_files
 from millrace.sources.layout import RangePartition
+from millrace.sources.sinks import write_parquet
 
 
 def test_append_by_name_with_missing_columns(spark, pairs, database):
@@ -183,3 +184,17 @@ def test_names_are_checked(spark):
     for bad in ("a.b.c.d", "a..b", "a`; drop"):
         with pytest.raises(ValueError):
             W.quoted(bad)
+
+
+def test_nulls_are_stored_as_booleans_and_times_as_text(spark, scratch, database):
+    data = [
+        {"a": 1, "nested": {"n1": True, "n3": None}, "d": None, "at": dt.time(1, 2, 3)},
+        {"a": 2, "nested": {"n1": False, "n3": None}, "d": None, "at": None},
+    ]
+    df = ingest_rows(spark, data)
+    assert dict(df.dtypes)["nested"] == "struct<n1:boolean,n3:void>"
+    W.write_table(df, f"{database}.t")
+    found = W.read_table(spark, f"{database}.t")
+    assert found.dtypes == [("a", "bigint"), ("nested", "struct<n1:boolean,n3:boolean>"), ("d", "boolean"), ("at", "string")]
+    assert rows(found.select("a", "nested.n3", "d", "at")) == [(1, None, None, "01:02:03"), (2, None, None, None)]
+    write_parquet(df, scratch("f.parquet"))
