@@ -82,7 +82,7 @@ def invert_pairs(df: DataFrame, key: str, value: str, order_by) -> DataFrame:
 
 def json_depth(text: Column) -> Column:
     """How deep objects and arrays nest in a JSON text; 0 for a scalar."""
-    unescaped = F.when(text.contains("\\"), F.regexp_replace(text, r"(?s)\\.", "")).otherwise(text)
+    unescaped = F.regexp_replace(text, r"(?s)\\.", "")
     brackets = F.regexp_replace(unescaped, r'"[^"]*"|[^\[\]{}"]+', "")
     start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("deepest"))
 
@@ -95,9 +95,8 @@ def json_depth(text: Column) -> Column:
 
 def _max_depth(df: DataFrame, column: str) -> int:
     """The depth of the deepest text that is JSON; one small aggregation row."""
-    text = F.col(column)
-    valid = F.when(F.try_parse_json(text).isNotNull(), text)
-    return df.agg(F.max(json_depth(valid))).first()[0] or 0
+    valid = df.where(F.try_parse_json(column).isNotNull())
+    return valid.agg(F.max(json_depth(F.col(column)))).first()[0] or 0
 
 
 def _children(rows: DataFrame, kept: list[str], outer: bool) -> DataFrame:
@@ -139,10 +138,13 @@ def flatten_values(
     rows = _roots(df, column, keep, errors)
     for _ in range(depth):
         rows = _children(rows, keep, outer=True)
-    leaves = rows.select(*keep, F.col("_place").alias("place"), "_value", F.expr("variant_get(_value, '$', 'string')").alias("value"))
-    # A text of two brackets is a scalar only if its JSON has quotes.
-    braces = F.coalesce(F.col("value").isin("{}", "[]"), F.lit(False))
-    return leaves.where(~(braces & F.to_json("_value").isin("{}", "[]"))).drop("_value")
+    # The containers that are left are empty ones.
+    scalar = F.expr(
+        "try_variant_get(_value, '$', 'array<variant>') IS NULL AND try_variant_get(_value, '$', 'map<string, variant>') IS NULL"
+    )
+    return rows.where(scalar).select(
+        *keep, F.col("_place").alias("place"), F.expr("variant_get(_value, '$', 'string')").alias("value")
+    )
 
 
 def flatten_keys(

@@ -38,7 +38,7 @@ def rows_to_columns(spark, sf_dir):
 
 
 def nested_events(spark, sf_dir):
-    """Each event as a nested JSON text."""
+    """Each event as a nested JSON text, stored."""
     events = table(spark, sf_dir, "events")
     inner = F.struct(F.get_json_object("props", "$.k").cast("int").alias("e"))
     body = F.struct(
@@ -47,7 +47,7 @@ def nested_events(spark, sf_dir):
         F.array(F.to_json(inner), F.col("event_id").cast("string")).alias("d"),
         inner.alias("f"),
     )
-    return events.select("event_id", F.to_json(body).alias("doc"))
+    return materialise(events.select("event_id", F.to_json(body).alias("doc")), "nested")
 
 
 @query(
