@@ -39,14 +39,23 @@ def chunked_rows(df: DataFrame, by, order_by, columns: list[str], chunk_rows: in
     """
     groups = as_list(by)
     numbered = number_rows(df.select(*dict.fromkeys([*groups, *_names(order_by), *columns])), groups, order_by, "_position", 0)
+    # Positions differ, so the order of the structs is that of their first field.
+    # Maps and variants have no order, so then the positions are compared explicitly.
+    unordered = [c for c in columns if isinstance(df.schema[c].dataType, (T.MapType, T.VariantType))]
     row = F.struct("_position", *columns)
+    collected = F.collect_list(row)
+    in_order = F.array_sort(collected, _by_position) if unordered else F.array_sort(collected)
     return (
         numbered.withColumn("chunk", F.expr(f"_position div {int(chunk_rows)}"))
         .groupBy(*groups, "chunk")
-        .agg(F.array_sort(F.collect_list(row)).alias("rows"))
+        .agg(in_order.alias("rows"))
     )
 
 
+def _by_position(a: Column, b: Column) -> Column:
+    return F.signum(a["_position"] - b["_position"]).cast("int")
+
+
 def _names(order_by) -> list[str]:
     return [item.strip().partition(" ")[0].lstrip("-") for item in as_list(order_by)]
 

@@ -103,7 +103,7 @@ def enforce(df: DataFrame, schema: dict | None = None, dtypes: dict | None = Non
         return df
     have = {name.lower() for name in df.columns}
     absent = [name for name in rules if name.lower() not in have]
-    df = df.withColumns({name: F.lit(None).cast("string") for name in absent}) if absent else df
+    df = df.withColumns({name: F.lit(None) for name in absent}) if absent else df
 
     checks: list[tuple[str, object]] = []
     for name, rule in rules.items():

@@ -124,11 +124,11 @@ def document_write(spark, sf_dir):
 
 @query("snk_11_copy_table", "SELECT event_id, value, event_type FROM events")
 def copy_table(spark, sf_dir):
-    database = scratch_database(spark)
+    database, copies = scratch_database(spark), scratch_database(spark)
     rows = table(spark, sf_dir, "events").select("event_id", "value", "event_type")
     tables.write_table(rows, f"{database}.events", partition_by="event_type")
-    tables.copy_table(spark, f"{database}.events", f"{database}_copy.events")
-    return tables.read_table(spark, f"{database}_copy.events")
+    tables.copy_table(spark, f"{database}.events", f"{copies}.events")
+    return tables.read_table(spark, f"{copies}.events")
 
 
 @query(
@@ -137,12 +137,12 @@ def copy_table(spark, sf_dir):
        UNION ALL SELECT 'supplier', s_suppkey, s_name FROM supplier""",
 )
 def copy_database(spark, sf_dir):
-    database = scratch_database(spark)
+    database, copies = scratch_database(spark), scratch_database(spark)
     tables.write_table(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")), f"{database}.customer")
     tables.write_table(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")), f"{database}.supplier")
-    names = tables.copy_database(spark, database, f"{database}_copy")
+    names = tables.copy_database(spark, database, copies)
     return relation.concat(
-        [tables.read_table(spark, f"{database}_copy.{n}").select(F.lit(n).alias("source"), "id", "name") for n in names]
+        [tables.read_table(spark, f"{copies}.{n}").select(F.lit(n).alias("source"), "id", "name") for n in names]
     )
 
 

@@ -52,6 +52,23 @@ def test_chunks_are_bounded_whole_and_ordered(spark):
     assert sum((found[i] for i in range(7)), []) == list(range(2499, -1, -1))
 
 
+def test_chunks_of_columns_without_an_order(spark):
+    df = spark.range(20).select(F.lit("g").alias("g"), "id", F.create_map(F.lit("k"), F.col("id")).alias("m"))
+    found = R.rows_to_columns(df, "g", "-id", ["id", "m"], chunk_rows=8).orderBy("chunk").collect()
+    assert [r["id"] for r in found] == [list(range(19, 11, -1)), list(range(11, 3, -1)), [3, 2, 1, 0]]
+    assert [m["k"] for r in found for m in r["m"]] == list(range(19, -1, -1))
+
+
+def test_row_numbers_over_several_columns_and_over_all_rows(spark):
+    df = spark.range(500).selectExpr("id % 3 as a", "id % 2 as b", "id")
+    got = numbering.number_rows(df, ["a", "b"], "id", "n")
+    want = df.selectExpr("*", "row_number() over (partition by a, b order by id) as n")
+    assert rows(got) == rows(want)
+    whole = numbering.number_rows(df.select("id"), [], "id", "n", 0)
+    assert whole.count() == 500 and whole.where("id != n").isEmpty()
+    assert numbering.number_rows(df.where("id < 0"), "a", "id").isEmpty()
+
+
 @pytest.fixture
 def nested(spark):
     texts = [

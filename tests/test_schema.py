@@ -51,6 +51,8 @@ def test_errors_raise_or_leave_the_column(spark):
 def test_missing_columns_are_added_as_null(spark):
     df = spark.createDataFrame([(1,)], "a int")
     assert S.enforce(df, {"b": int, "c": {1: "one"}}).dtypes == [("a", "int"), ("b", "bigint"), ("c", "string")]
+    wide = S.enforce(df, {"l": "array<string>", "s": "struct<x: int>"})
+    assert wide.dtypes == [("a", "int"), ("l", "array<string>"), ("s", "struct<x:int>")]
     assert rows(S.add_missing(df, {"a": str, "b": [str]})) == [(1, None)]
 
 
