@@ -180,11 +180,15 @@ def file_inventory(spark, sf_dir):
     return found.select(last_segment(F.col("path")).alias("name"), "length")
 
 
-@query("src_12_folder_listing")
+@query(
+    "src_12_folder_listing",
+    "SELECT DISTINCT 'event_type=' || event_type AS name, true AS is_dir, true AS has_bytes FROM events",
+)
 def folder_listing(spark, sf_dir):
     path = scratch_path(spark, "events.parquet")
     sinks.write_parquet(table(spark, sf_dir, "events").drop("props"), path, partition_by="event_type")
-    return files.list_folder(files.file_inventory(spark, path, "*.parquet"), path)
+    listed = files.list_folder(files.file_inventory(spark, path, "*.parquet"), path)
+    return listed.select("name", "is_dir", (F.col("num_bytes") > 0).alias("has_bytes"))
 
 
 @query(

@@ -51,8 +51,8 @@ def messages(df: DataFrame, columns=None, payload: str | Column | None = None) -
     return df.select(json_payload(*[F.col(f"`{n}`") for n in names]).alias("value"))
 
 
-def publish(df: DataFrame, target: str, columns=None, payload=None, fmt: str = "text", mode: str = "append", **options) -> None:
-    """Rows as messages to a text folder, or to any sink that takes a ``value`` column."""
+def publish(df: DataFrame, target: str | None = None, columns=None, payload=None, fmt: str = "text", mode: str = "append", **options) -> None:
+    """Rows as messages to a text folder, or to any sink that takes a ``value`` column (a topic needs no target)."""
     messages(df, columns, payload).write.format(fmt).mode(mode).options(**options).save(target)
 
 

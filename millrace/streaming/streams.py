@@ -19,9 +19,17 @@ POLL_INTERVAL = "5 seconds"
 LATENCY = "10 seconds"
 
 
-def open_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_batch: int | None = None, **options) -> DataFrame:
-    """New files under ``path`` as a stream. A path pattern may name files as well as folders."""
-    reader = spark.readStream.format(fmt).schema(struct_type(schema)).options(**options)
+def open_stream(
+    spark: SparkSession, path: str | None = None, schema=None, fmt: str = "parquet",
+    files_per_batch: int | None = None, **options,
+) -> DataFrame:
+    """New files under ``path`` as a stream. A path pattern may name files as well as folders.
+
+    Files need a schema; sources with one of their own, such as a topic, take options only.
+    """
+    reader = spark.readStream.format(fmt).options(**options)
+    if schema is not None:
+        reader = reader.schema(struct_type(schema))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(path)
@@ -60,7 +68,7 @@ def _writer(stream: DataFrame, checkpoint: str, once: bool, interval: str):
     return writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)
 
 
-def to_files(stream: DataFrame, path: str, checkpoint: str, fmt: str = "json", once: bool = False, interval: str = POLL_INTERVAL, **options) -> StreamingQuery:
+def to_files(stream: DataFrame, path: str | None, checkpoint: str, fmt: str = "json", once: bool = False, interval: str = POLL_INTERVAL, **options) -> StreamingQuery:
     """The stream appended to files, each row exactly once."""
     return _writer(stream, checkpoint, once, interval).format(fmt).options(**options).start(path)
 
@@ -71,7 +79,7 @@ def to_table(stream: DataFrame, table: str, checkpoint: str, once: bool = False,
     return _writer(stream, checkpoint, once, interval).format("parquet").toTable(quoted(table))
 
 
-def publish_stream(stream: DataFrame, target: str, checkpoint: str, columns=None, payload=None,
+def publish_stream(stream: DataFrame, target: str | None, checkpoint: str, columns=None, payload=None,
                    fmt: str = "text", once: bool = False, interval: str = POLL_INTERVAL, **options) -> StreamingQuery:
     """Rows as messages to a text folder, or to any streaming sink that takes a ``value`` column."""
     return to_files(messages(stream, columns, payload), target, checkpoint, fmt, once, interval, **options)

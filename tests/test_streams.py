@@ -75,3 +75,21 @@ def test_subscriptions_and_topics(spark, pairs, scratch):
     topic = scratch("topic")
     S.publish_stream(stream, topic, scratch("checkpoint"), once=True).awaitTermination()
     assert rows(spark.read.text(topic)) == [('{"a":1,"b":4}',), ('{"a":2,"b":5}',), ('{"a":3,"b":6}',)]
+
+
+def test_a_running_stream_polls_for_new_files(spark, pairs, scratch):
+    folder, out = scratch("in"), scratch("out")
+    pairs.write.parquet(folder)
+    query = S.to_files(S.open_stream(spark, folder, "a bigint, b bigint"), out, scratch("checkpoint"), "parquet", interval="1 second")
+    try:
+        query.processAllAvailable()
+        assert spark.read.parquet(out).count() == 3
+        pairs.write.mode("append").parquet(folder)
+        query.processAllAvailable()
+        assert spark.read.parquet(out).count() == 6
+    finally:
+        query.stop()
+
+
+def test_sources_with_a_schema_of_their_own(spark):
+    assert S.open_stream(spark, fmt="rate", rowsPerSecond=1).columns == ["timestamp", "value"]
