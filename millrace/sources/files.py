@@ -148,7 +148,7 @@ def list_folder(inventory: DataFrame, root: str) -> DataFrame:
     """``(name, is_dir, num_bytes)``: the entries directly under ``root``, from an inventory below it."""
     prefix = root.rstrip("/") + "/"
     inside = inventory.where(F.col("path").contains(prefix))
-    rest = F.substring_index("path", prefix, -1)
+    rest = F.substring("path", F.instr("path", F.lit(prefix)) + len(prefix), F.length("path"))
     entries = inside.select(F.substring_index(rest, "/", 1).alias("name"), rest.contains("/").alias("is_dir"), "length")
     return entries.groupBy("name", "is_dir").agg(F.sum("length").alias("num_bytes"))
 

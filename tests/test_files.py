@@ -126,6 +126,8 @@ def test_objects_texts_and_inventory(spark, scratch):
     assert "ReadSchema: struct<length:bigint>" in plan(found.select("length"))
     assert rows(S.list_folder(found, path)) == [("k=1", True, 8), ("k=2", True, 6)]
     assert S.file_inventory(spark, path, "*.csv").isEmpty()
+    deep = spark.createDataFrame([("file:/x/y/x/y/z.txt", 3), ("file:/x/y/a.txt", 2)], "path string, length bigint")
+    assert rows(S.list_folder(deep, "/x/y")) == [("a.txt", False, 2), ("x", True, 3)]
 
 
 def test_messages(spark, pairs, scratch):
