@@ -70,18 +70,16 @@ def mapping_table(spark: SparkSession) -> DataFrame:
 
 def _match_counts(descriptions: DataFrame, table: str, type_name: str) -> DataFrame:
     """Per table: its column count, and per dialect how many of its type names the dialect has."""
-    names: dict[str, list[str]] = {}
-    for dialect in DIALECTS:
-        for name in _inverse(dialect):
-            names.setdefault(name, []).append(dialect)
-    lookup = descriptions.sparkSession.createDataFrame(
-        list(names.items()), "_name string, _dialects array<string>"
-    )
+    known_by = {dialect: _inverse(dialect) for dialect in DIALECTS}
+    names = dict.fromkeys(name for inverse in known_by.values() for name in inverse)
+    rows = [(name, *[name in inverse for inverse in known_by.values()]) for name in names]
+    flags = ", ".join(f"_{dialect} boolean" for dialect in DIALECTS)
+    lookup = descriptions.sparkSession.createDataFrame(rows, f"_name string, {flags}")
     # The lookup holds the fixed names above and nothing else, so it is always broadcast.
     known = descriptions.join(F.broadcast(lookup), F.col(type_name) == F.col("_name"), "left")
     return known.groupBy(table).agg(
         F.count(F.lit(1)).alias("n_columns"),
-        *[F.count_if(F.array_contains("_dialects", d)).alias(d) for d in DIALECTS],
+        *[F.count_if(F.col(f"_{d}")).alias(d) for d in DIALECTS],
     )
 
 
