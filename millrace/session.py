@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,17 +26,10 @@ def build_session(app_name: str = "millrace", master: str | None = None, **conf)
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of its own.
+    Where that is unset it is the warehouse folder, which a cluster shares too.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = getattr(spark, "_millrace_folder", None)
-    if folder is None:
-        folder = spark._millrace_folder = tempfile.mkdtemp(prefix="millrace-")
-    return folder
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -45,12 +37,26 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/millrace/{uuid.uuid4().hex}/{label}"
 
 
-def materialise(df: DataFrame, label: str = "rows") -> DataFrame:
+def materialise(df: DataFrame, label: str = "rows", **options) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and read it back.
 
     This cuts the lineage at a table that outlives any executor, so values
-    such as row ids are fixed from here on.
+    such as row ids are fixed from here on. ``options`` are the writer's.
+    ``discard`` removes what was written.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the files of a frame that ``materialise`` returned, once its results are used."""
+    files = df.inputFiles()
+    spark = df.sparkSession
+    if not files:
+        return
+    folder = files[0].rsplit("/", 1)[0]
+    if "/millrace/" not in folder:
+        raise ValueError(f"{folder} isn't a folder of intermediates")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

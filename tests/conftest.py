@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,7 +13,7 @@ from millrace.session import build_session, scratch_path  # noqa: E402
 def spark():
     session = build_session(
         "millrace-tests", "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
+        **{"spark.checkpoint.dir": tempfile.mkdtemp(prefix="millrace-"), "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

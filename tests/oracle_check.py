@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -78,7 +79,7 @@ def main() -> int:
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     chosen = sys.argv[2:]
-    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
+    spark = build_session(master="local[8]", **{"spark.checkpoint.dir": tempfile.mkdtemp(prefix="millrace-"), "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("OFF")
     connection, failed = duck(sf_dir), 0
     for name, function in entry.queries().items():
