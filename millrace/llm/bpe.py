@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 #: Encoded chunks of text that a worker remembers: so many new ones, and as many that were in use before them.
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS = 350_000
 #: Characters of texts that are encoded together.
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 1_000_000
 _LONG_CHUNK = 256
 #: Letters, digits and case of these code points are alike in every Unicode version in use; the rest goes through the library's own splitter.
 _SETTLED = re.compile("[\x00-\x7f\xa1-ɏ]+")
@@ -192,7 +192,7 @@ class Merges:
                 at -= sizes[at]
             ids.reverse()
             found[word], before = array("I", ids).tobytes(), word
-        if self._known > 3_000_000:
+        if self._known > 1_000_000:
             for answers in known:
                 answers.clear()
             self._known = 0
@@ -236,27 +236,51 @@ class Encoder:
         """Pieces of a text without special tokens that can be encoded alone."""
         return text.replace("\n", " ").split(" ") if self.drops_blanks else _CHUNK.findall(text)
 
+    def _symbols(self, word: str) -> str:
+        """A pre-token in byte symbols."""
+        if word.isascii() and word.isprintable():
+            word = word.replace(" ", self.blank)
+        else:
+            word = word.encode().decode("latin-1").translate(self.symbols)
+        return word[:-1] + chr(ord(word[-1]) + Merges.ENDING) if self.merges.suffix else word
+
     def words(self, chunk: str) -> list[str]:
         """The pre-tokens of a chunk, in byte symbols."""
         if _SETTLED.fullmatch(chunk):
-            found = self.split(chunk.lower() if self.lower else chunk)
-            if chunk.isascii() and chunk.isprintable():
-                found = [w.replace(" ", self.blank) for w in found]
-            else:
-                found = [w.encode().decode("latin-1").translate(self.symbols) for w in found]
-        else:
-            if self.library.normalizer is not None:
-                chunk = self.library.normalizer.normalize_str(chunk)
-            found = [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(chunk)]
+            return list(map(self._symbols, self.split(chunk.lower() if self.lower else chunk)))
+        if self.library.normalizer is not None:
+            chunk = self.library.normalizer.normalize_str(chunk)
+        found = [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(chunk)]
         if self.merges.suffix:
             found = [w[:-1] + chr(ord(w[-1]) + Merges.ENDING) for w in found]
         return found
 
     def _learn(self, chunks) -> None:
-        split = {c: self.words(c) for c in chunks}
-        ids = self.merges.encode_words({w for words in split.values() for w in words})
+        """Put the chunks' ids in the cache."""
+        split, plain, words, cache = {}, [], set(), self.cache
+        for chunk in chunks:
+            if self.drops_blanks:
+                # Nearly all chunks are a word, perhaps with a full stop or comma, whose bare form may be known.
+                body, stop = chunk.lower(), ""
+                if body[-1:] in (".", ","):
+                    body, stop = body[:-1], body[-1]
+                if body.isalpha() and _SETTLED.fullmatch(body):
+                    plain.append((chunk, body, stop))
+                    if body not in cache:
+                        words.add(self._symbols(body))
+                    continue
+            split[chunk] = self.words(chunk)
+            words.update(split[chunk])
+        if plain:
+            words.update(map(self._symbols, ".,"))
+        ids = self.merges.encode_words(words)
+        for chunk, body, stop in plain:
+            known = cache.get(body)
+            if known is None:
+                known = cache[body] = ids[self._symbols(body)]
+            cache[chunk] = known + ids[self._symbols(stop)] if stop else known
         for chunk, words in split.items():
-            self.cache[chunk] = b"".join([ids[w] for w in words])
+            cache[chunk] = b"".join([ids[w] for w in words])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as unsigned 32-bit numbers; none for NULL."""

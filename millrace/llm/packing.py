@@ -28,7 +28,7 @@ WINDOW = 2048
 #: Fewer empty ids than this at the end of a window are padding; for more, an item is cut.
 LEAST_CUT = 16
 _PIECE = "start long, length long, ids binary, doc_tokens long, part int, nth long"
-_OUT_BYTES = 16 << 20
+_OUT_BYTES = 4 << 20
 
 
 def fill(counts: dict[int, int], window: int) -> dict[int, int]:
