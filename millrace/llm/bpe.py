@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 #: Encoded chunks of text that a worker remembers: so many new ones, and as many that were in use before them.
-CACHE_CHUNKS = 350_000
+CACHE_CHUNKS = 250_000
 #: Characters of texts that are encoded together.
 BATCH_CHARS = 1_000_000
 _LONG_CHUNK = 256

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.bpe import encoder
-from millrace.llm.common import col, unused
+from millrace.llm.common import bound_batches, col, unused
 from millrace.session import materialise
 
 WINDOW = 2048
@@ -119,6 +119,7 @@ def cut(df: DataFrame, path: str, text: str = "text", columns: list[str] | None
     """
     made = [c.split()[0] for c in _PIECE.split(", ")]
     keep = [c for c in (df.columns if columns is None else columns) if c not in made]
+    bound_batches(df.sparkSession)
     carried = df.select(*[col(c) for c in keep])
     schema = T.StructType(carried.schema.fields + T.StructType.fromDDL(_PIECE).fields)
     body = unused(carried, "text__")[0]

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import bpe, chat, licences, packing, quality, secrets, sharding, simhash, topk, warc
+from millrace.llm.common import bound_batches
 from millrace.llm.oracles import OP3, OP5, OP7, OP8
 from millrace.session import scratch_path
 
@@ -85,6 +86,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_trie_bpe")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     path = public_tokenizers.path(BYTE_BPE)
     encoded = table(spark, sf_dir, "documents").select("doc_id", bpe.encode(F.col("text"), path).alias("ids"))
     decoded = encoded.select("doc_id", "ids", bpe.decode(F.col("ids"), path).alias("text"))

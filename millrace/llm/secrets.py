@@ -13,13 +13,14 @@ import math
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from heapq import heappush, heappushpop
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import col
+from millrace.llm.common import bound_batches, col
 
 #: The kinds in their order, and the base patterns.
 KINDS = ("assign", "access", "hex", "format")
@@ -193,7 +194,7 @@ def labelled(df: DataFrame, text: str = "text", labels: int = LABELS) -> DataFra
     distinct other candidates, ``labels`` of each with the smallest hashes. All
     texts are searched; each task hands on its own smallest ones only.
     """
-    from heapq import heappushpop, heappush
+    bound_batches(df.sparkSession)
 
     def smallest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heaps: dict[str, list] = {}

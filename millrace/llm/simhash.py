@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import col, tasks_for, unused
+from millrace.llm.common import bound_batches, col, tasks_for, unused
 from millrace.session import materialise
 
 BITS = 64
@@ -225,6 +225,7 @@ def near_groups(df: DataFrame, text: str = "text", member: Column | None = None,
     that are called ``fingerprint`` or ``first`` already are replaced.
     ``columns`` names those to keep (all). An empty table gives no rows.
     """
+    bound_batches(df.sparkSession)
     keep = [c for c in (columns or df.columns) if c not in ("fingerprint", "first")]
     print_, least = unused(df, "print__", "least__")
     rows = df.select(*[col(c) for c in keep], (col(df.columns[0]) if member is None else member).alias(least), fingerprints(col(text), words).alias(print_))
@@ -247,6 +248,7 @@ def keep_first(df: DataFrame, text: str = "text", order: str = "doc_id", words:
     The row with the smallest ``order`` stays (NULLs last); of rows that tie,
     one. Nothing else is dropped.
     """
+    bound_batches(df.sparkSession)
     row, member, print_ = unused(df, "row__", "member__", "print__")
     # Rows get an id when they are written, so one of several equal rows can be told.
     fixed = materialise(df.select("*", fingerprints(col(text), words).alias(print_), F.monotonically_increasing_id().alias(row)), "documents")
