@@ -41,17 +41,18 @@ def json_payload(*columns) -> Column:
     return to_json_text(F.struct(*(columns or ("*",))))
 
 
-def map_values(column: Column, mapping: dict) -> Column:
+def map_values(column: Column, mapping: dict, dtype: str | None = None) -> Column:
     """Values replaced through ``mapping``; others stay as they are.
 
-    When the replacements are texts and the column is not, the result is text.
+    When the replacements are texts and the column is not, the result is text;
+    so it is when the column is text, which ``dtype`` says, and they are not.
     """
     if not mapping:
         return column
-    textual = any(isinstance(value, str) for value in mapping.values())
+    textual = dtype == "string" or any(isinstance(value, str) for value in mapping.values())
     chain = F
     for key, value in mapping.items():
-        found = column.isNull() if key is None else column == F.lit(key)
+        found = column.isNull() if key is None else column == F.lit(str(key) if dtype == "string" else key)
         chain = chain.when(found, F.lit(str(value) if textual and value is not None else value))
     return chain.otherwise(column.cast("string") if textual else column)
 

@@ -7,9 +7,7 @@ A packed document is ``{"data": {column: {"0": value, ..}}, "metadata":
 
 from __future__ import annotations
 
-import json
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +17,7 @@ from millrace.functions.text import JSON_OPTIONS, to_json_text
 from millrace.operators.dialects import spark_type
 from millrace.operators.relation import project
 from millrace.operators.reshape import CHUNK_ROWS, chunked_rows
+from millrace.operators.schema import _is_type as is_type
 from millrace.operators.schema import enforce
 
 # The marker of a packed frame and the frame dtypes.
@@ -41,7 +40,11 @@ def frame_dtypes(schema: T.StructType, columns: list[str]) -> dict[str, str]:
 def pack_documents(
     df: DataFrame, by, order_by, columns: list[str] | None = None, chunk_rows: int = CHUNK_ROWS
 ) -> DataFrame:
-    """``(by.., chunk, document)``: the rows of each group as packed documents, in the given order."""
+    """``(by.., chunk, document)``: the rows of each group as packed documents, in the given order.
+
+    A group of more than ``chunk_rows`` rows becomes several documents, with
+    running row keys.
+    """
     groups = as_list(by)
     names = columns or [c for c in df.columns if c not in groups]
     chunks = chunked_rows(df, groups, order_by, names, chunk_rows)
@@ -57,44 +60,86 @@ def pack_documents(
 
 
 def stored_dtypes(df: DataFrame, document: str = "document") -> dict[str, str]:
-    """The dtypes all documents share; documents of different dtypes are an error."""
-    found = df.select(F.get_json_object(document, "$.metadata.dtypes").alias("d")).distinct().limit(2).collect()
-    if len(found) != 1 or found[0]["d"] is None:
-        raise ValueError("the documents do not share one set of dtypes: give a schema, or unpack them apart")
-    return json.loads(found[0]["d"])
+    """The columns of all documents with their dtypes, in the documents' order.
+
+    Where documents differ, numbers are float64 and all else is text; a column
+    without a stored dtype is text. One row for each column comes back.
+    """
+    shape = "data MAP<STRING, STRING>, metadata STRUCT<dtypes: MAP<STRING, STRING>>"
+    parsed = df.select(F.from_json(document, shape, JSON_OPTIONS).alias("d"))
+    columns = parsed.select(F.posexplode(F.map_keys("d.data")).alias("place", "name"), F.col("d.metadata.dtypes").alias("dtypes"))
+    found = columns.groupBy("name").agg(F.min("place").alias("place"), F.collect_set(F.coalesce(F.element_at("dtypes", F.col("name")), F.lit("object"))).alias("dtypes"))
+    rows = sorted(found.collect(), key=lambda r: (r["place"], r["name"]))
+    return {r["name"]: _common_dtype(r["dtypes"]) for r in rows}
+
+
+def _common_dtype(dtypes: list[str]) -> str:
+    if len(dtypes) == 1:
+        return dtypes[0]
+    numbers = {"tinyint", "smallint", "int", "bigint", "float", "double"}
+    return "float64" if all(DTYPE_SPARK.get(d, "string") in numbers for d in dtypes) else "object"
+
+
+def _restored(value: Column, dtype: str, errors: str) -> Column:
+    """A stored text as its dtype: whole numbers may end in .0, and times may be epoch milliseconds."""
+    target = DTYPE_SPARK.get(dtype, "string")
+    if target == "string":
+        return value
+    typed = value.try_cast(target)
+    if target in ("tinyint", "smallint", "int", "bigint"):
+        number = value.try_cast("double")
+        typed = F.coalesce(typed, F.when(number == F.floor(number), number.try_cast(target)))
+    if target.startswith("timestamp"):
+        millis = F.timestamp_millis(value.try_cast("bigint"))
+        typed = F.when(F.regexp_like(value, F.lit("^-?[0-9]{5,}$")), F.convert_timezone(F.current_timezone(), F.lit("UTC"), millis.cast("timestamp_ntz")) if target == "timestamp_ntz" else millis).otherwise(typed)
+    if errors == "ignore":
+        return typed
+    wrong = F.concat(F.lit(f"a packed value is no {dtype}: "), value)
+    return F.when(value.isNotNull() & typed.isNull(), F.raise_error(wrong).cast(target)).otherwise(typed)
 
 
 def unpack_documents(
     df: DataFrame, document: str = "document", schema: dict | None = None,
     dtypes: dict | None = None, errors: str = "raise", position: str | None = None,
 ) -> DataFrame:
-    """Packed documents as rows, columns typed by the stored dtypes; ``schema`` overrides them.
-
-    Without ``dtypes`` they are read from the documents, which must agree.
+    """Packed documents as rows, columns typed by the stored dtypes; types in ``schema`` win over them.
+
+    Without ``dtypes`` columns and dtypes are read from the documents, as
+    ``stored_dtypes`` says; ``{"data": ..}`` alone will do. Values are read as
+    text first, so that no value can make a document disappear. A document that
+    is no JSON, or a value that is not of its dtype, is an error; with
+    ``errors="ignore"`` the first is one row without values and the second
+    NULL. A document without rows gives none.
     """
     dtypes = stored_dtypes(df, document) if dtypes is None else dtypes
-    names = list(dtypes)
-    types = {name: T.DataType.fromDDL(DTYPE_SPARK.get(dtypes[name], "string")) for name in names}
-    data = T.StructType([T.StructField(n, T.MapType(T.StringType(), types[n])) for n in names])
+    names, schema = list(dtypes), schema or {}
     kept = [c for c in df.columns if c != document]
-    parsed = df.select(*kept, F.from_json(F.col(document), T.StructType([T.StructField("data", data)]), JSON_OPTIONS).alias("_d"))
+    shape = T.StructType([T.StructField("data", T.MapType(T.StringType(), T.MapType(T.StringType(), T.StringType())))])
+    parsed = df.select(*kept, F.from_json(F.col(document), shape, JSON_OPTIONS).getField("data").alias("_d"), F.try_parse_json(document).isNull().alias("_bad"))
 
     def entries(name: str):
-        pairs = F.map_entries(F.col(f"_d.data.`{name}`"))
+        pairs = F.coalesce(F.map_entries(F.element_at("_d", F.lit(name))), F.array().cast("array<struct<key:string,value:string>>"))
         return F.array_sort(F.transform(pairs, lambda e: F.struct(e.key.cast("bigint").alias("k"), e.value.alias("v"))))
 
-    columns = parsed.select(*kept, *[entries(n).alias(f"_{i}") for i, n in enumerate(names)])
+    columns = parsed.select(*kept, "_bad", "_d", *[entries(n).alias(f"_{i}") for i, n in enumerate(names)])
+    # A column that a document doesn't have is NULL in its rows; those that it has must agree.
+    held = [F.map_contains_key("_d", F.lit(n)) for n in names]
     keys = [F.col(f"_{i}").getField("k") for i in range(len(names))]
+    first = F.coalesce(*[F.when(h, k) for h, k in zip(held, keys)]) if names else F.array().cast("array<bigint>")
     agree = F.lit(True)
-    for other in keys[1:]:
-        agree = agree & (other == keys[0])
-    zipped = F.when(agree, F.arrays_zip(*[f"_{i}" for i in range(len(names))])).otherwise(
+    for h, k in zip(held, keys):
+        agree = agree & (~h | (k == first))
+    whole = F.when(F.coalesce(agree, F.lit(True)), F.arrays_zip(*[f"_{i}" for i in range(len(names))])).otherwise(
         F.raise_error(F.lit("a packed document has columns with different row keys"))
     )
+    corrupt = F.raise_error(F.lit("a packed document is no JSON")) if errors == "raise" else F.array(F.struct(*[F.lit(None).cast("struct<k:bigint,v:string>").alias(f"_{i}") for i in range(len(names))]))
+    zipped = F.when(F.col("_bad"), corrupt).otherwise(whole)
     rows = columns.select(*kept, F.explode(zipped).alias("_r"))
-    place = [F.col("_r._0.k").alias(position)] if position else []
-    frame = rows.select(*kept, *place, *[F.col(f"_r._{i}.v").alias(n) for i, n in enumerate(names)])
-    return enforce(frame, schema, errors=errors)
+    place = [F.coalesce(*[F.col(f"_r._{i}.k") for i in range(len(names))]).alias(position)] if position else []
+    own = {n for n, rule in schema.items() if is_type(rule)}
+    values = [F.col(f"_r._{i}.v") if n in own else _restored(F.col(f"_r._{i}.v"), dtypes[n], errors) for i, n in enumerate(names)]
+    frame = rows.select(*kept, *place, *[v.alias(n) for v, n in zip(values, names)])
+    return enforce(frame, schema or None, errors=errors)
 
 
 def cast_documents(df: DataFrame, key: str, overrides: dict[str, dict]) -> DataFrame:
@@ -127,9 +172,12 @@ def collection(df: DataFrame, path: str, name: str) -> DataFrame:
     return members.select(last_segment(F.col(path)).alias("doc_id"), *kept)
 
 
-def write_documents(df: DataFrame, target: str, by, order_by, columns: list[str] | None = None, mode: str = "errorifexists") -> None:
-    """Packed documents as JSON lines, restricted to ``columns`` when given."""
+def write_documents(df: DataFrame, target: str, by, order_by, columns: list[str] | None = None, mode: str = "errorifexists", chunk_rows: int = CHUNK_ROWS) -> None:
+    """Packed documents as JSON lines, restricted to ``columns`` when given.
+
+    A group of more than ``chunk_rows`` rows becomes several documents.
+    """
     groups = as_list(by)
     order = [item.partition(" ")[0].lstrip("-") for item in as_list(order_by)]
     frame = project(df, list(dict.fromkeys([*groups, *order, *columns]))) if columns else df
-    pack_documents(frame, groups, order_by, columns).write.mode(mode).json(target)
+    pack_documents(frame, groups, order_by, columns, chunk_rows).write.mode(mode).json(target)

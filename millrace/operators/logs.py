@@ -48,15 +48,19 @@ def log_conditions(
 
 def search_logs(
     df: DataFrame, query=None, severity=None, limit: int | None = None, time_start=None, time_end=None,
-    time_range=None, order_by="timestamp desc", now=None, time: str = "timestamp", level: str = "severity",
+    time_range=None, order_by=None, now=None, time: str = "timestamp", level: str = "severity",
+    default_limit: int | None = DEFAULT_LIMIT,
 ) -> DataFrame:
-    """Matching entries, newest first; with no condition and no limit, the first 100."""
+    """Matching entries, newest first unless ``order_by`` says otherwise.
+
+    With no condition and no limit, the first ``default_limit``; None gives all.
+    """
     conditions = log_conditions(df, query, severity, time_start, time_end, time_range, now, time, level)
     for condition in conditions:
         df = df.where(condition)
     if limit is None and not conditions:
-        limit = DEFAULT_LIMIT
-    return limit_rows(order_rows(df, order_by), limit)
+        limit = default_limit
+    return limit_rows(order_rows(df, order_by or f"{time} desc"), limit)
 
 
 def with_entry_text(df: DataFrame, time: str = "timestamp", message: str = "message") -> DataFrame:

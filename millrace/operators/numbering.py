@@ -18,23 +18,34 @@ def number_rows(df: DataFrame, by, order_by, name: str = "row_number", start: in
 
     The rows are range-partitioned by group and order, so a hot group spans
     many tasks. They are written once with their ids; then one row per group
-    and partition gives each stretch of a group its first number.
+    and partition gives each stretch of a group its first number. No column of
+    ``df`` is lost, but one called ``name`` is replaced.
     """
     groups = as_list(by)
+    row, part, first, count, before = _free(df, "_id", "_part", "_first", "_rows", "_before")
     ordered = df.repartitionByRange(*[F.col(g) for g in groups], *_sort_keys(order_by))
     ordered = ordered.sortWithinPartitions(*[F.col(g) for g in groups], *_sort_keys(order_by))
-    rows = materialise(ordered.withColumn("_id", F.monotonically_increasing_id()), "numbered")
-    rows = rows.withColumn("_part", F.shiftright("_id", _PARTITION_BIT))
+    rows = materialise(ordered.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    rows = rows.withColumn(part, F.shiftright(row, _PARTITION_BIT))
 
-    stretches = rows.groupBy("_part", *groups).agg(
-        F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_rows")
-    )
+    stretches = rows.groupBy(part, *groups).agg(F.min(row).alias(first), F.count(F.lit(1)).alias(count))
     # One row per partition that holds a piece of the group.
-    earlier = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    stretches = stretches.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-
-    keys = ["_part", *groups]
-    stretches = stretches.select(*[F.col(k).alias(f"_s{k}") for k in keys], "_first", "_before")
-    same = [F.col(k).eqNullSafe(F.col(f"_s{k}")) for k in keys]
-    number: Column = F.col("_id") - F.col("_first") + F.col("_before") + F.lit(start)
-    return rows.join(stretches, same).select(*df.columns, number.alias(name))
+    earlier = Window.partitionBy(*groups).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    stretches = stretches.withColumn(before, F.coalesce(F.sum(count).over(earlier), F.lit(0)))
+
+    keys = [part, *groups]
+    stretches = stretches.select(*[F.col(k).alias(f"{before}{i}") for i, k in enumerate(keys)], first, before)
+    same = [F.col(k).eqNullSafe(F.col(f"{before}{i}")) for i, k in enumerate(keys)]
+    number: Column = F.col(row) - F.col(first) + F.col(before) + F.lit(start)
+    kept = [c for c in df.columns if c != name]
+    return rows.join(stretches, same).select(*kept, number.alias(name))
+
+
+def _free(df: DataFrame, *names: str) -> list[str]:
+    """The names, made longer until no column of ``df`` starts with one."""
+    found = []
+    for name in names:
+        while any(c.lower().startswith(name) for c in df.columns):
+            name += "_"
+        found.append(name)
+    return found

@@ -62,10 +62,18 @@ def keep_newest(df: DataFrame, by, time: str, row_id: str, n: int = 2) -> DataFr
     """The newest ``n`` rows of each group; ``row_id`` breaks ties in time.
 
     Every map task passes on at most ``n`` rows per group (WindowGroupLimit),
-    so a hot group never meets in one task.
+    so a hot group never meets in one task. Spark does so up to a bound on
+    ``n``; beyond it the rows are numbered over many tasks.
     """
+    rank = "_rank"
+    while rank in df.columns:
+        rank += "_"
+    if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        from millrace.operators.numbering import number_rows
+
+        return number_rows(df, by, [f"{time} desc", f"{row_id} desc"], rank).where(F.col(rank) <= n).drop(rank)
     window = Window.partitionBy(*as_list(by)).orderBy(F.col(time).desc(), F.col(row_id).desc())
-    return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= n).drop("_rank")
+    return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= n).drop(rank)
 
 
 def drop_newest(df: DataFrame, by, time: str, row_id: str, n: int = 2) -> DataFrame:

@@ -74,8 +74,8 @@ def wrap_scalars(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def invert_map(column: Column) -> Column:
-    """Values to keys; of equal values the last entry counts."""
-    entries = F.map_entries(column)
+    """Values to keys; of equal values the last entry counts, and NULL values, which can be no keys, are left out."""
+    entries = F.filter(F.map_entries(column), lambda entry: entry.value.isNotNull())
     last = F.filter(
         entries,
         lambda entry, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later.value == entry.value),
@@ -133,6 +133,12 @@ def _roots(df: DataFrame, column: str, kept: list[str], errors: str) -> DataFram
     return roots.where(F.col("_value").isNotNull())
 
 
+def _none_below(value: str, depth: int, result: str, dtype: str) -> Column:
+    """The result, or an error if the value is a container that holds something."""
+    held = F.regexp_like(F.to_json(value), F.lit(r"^(\{.+\}|\[.+\])$"))
+    return F.when(held, F.raise_error(F.lit(f"JSON nests deeper than {depth}")).cast(dtype)).otherwise(F.col(result))
+
+
 def flatten_values(
     df: DataFrame, column: str, keep: list[str], depth: int | None = None, errors: str = "raise"
 ) -> DataFrame:
@@ -140,13 +146,16 @@ def flatten_values(
 
     ``place`` lists the member numbers on the way down, so ordering by it is
     depth-first; members of an object are numbered by key. Without ``depth``,
-    the deepest nesting is measured first. A text that is not JSON is an error,
-    or left out with ``errors="skip"``.
+    the deepest nesting is measured first; a ``depth`` that is too small is an
+    error. A text that is not JSON is an error, or left out with
+    ``errors="skip"``.
     """
-    depth = _max_depth(df, column) if depth is None else depth
+    given, depth = depth is not None, _max_depth(df, column) if depth is None else depth
     rows = _roots(df, column, keep, errors)
     for _ in range(depth):
         rows = _children(rows, keep, outer=True)
+    if given:
+        rows = rows.withColumn("_value", _none_below("_value", depth, "_value", "variant"))
     # The containers that are left are empty ones.
     scalar = F.expr(
         "try_variant_get(_value, '$', 'array<variant>') IS NULL AND try_variant_get(_value, '$', 'map<string, variant>') IS NULL"
@@ -160,10 +169,12 @@ def flatten_keys(
     df: DataFrame, column: str, keep: list[str], depth: int | None = None, errors: str = "raise"
 ) -> DataFrame:
     """``(keep.., place, key)``: the object keys of a JSON column, at any depth; as ``flatten_values``."""
-    depth = _max_depth(df, column) if depth is None else depth
+    given, depth = depth is not None, _max_depth(df, column) if depth is None else depth
     rows, found = _roots(df, column, keep, errors), []
-    for _ in range(depth):
+    for level in range(depth):
         rows = _children(rows, keep, outer=False)
+        if given and level == depth - 1:
+            rows = rows.withColumn("_member", _none_below("_value", depth, "_member", "string"))
         found.append(rows.where(F.col("_member").isNotNull()))
     result = concat(found) if found else rows.where(F.lit(False))
     return result.select(*keep, F.col("_place").alias("place"), F.col("_member").alias("key"))

@@ -55,11 +55,11 @@ def _is_type(rule) -> bool:
     return isinstance(rule, (str, type, T.DataType))
 
 
-def _apply(column: Column, rule) -> Column:
+def _apply(column: Column, rule, dtype: str | None = None) -> Column:
     if _is_type(rule):
         return column.cast(spark_type(rule))
     if isinstance(rule, dict):
-        return map_values(column, rule)
+        return map_values(column, rule, dtype)
     if callable(rule):
         return rule(column)
     raise TypeError(f"unsupported column rule: {rule!r}")
@@ -116,8 +116,11 @@ def enforce(df: DataFrame, schema: dict | None = None, dtypes: dict | None = Non
     }
 
     changed: dict[str, Column] = {}
+    types = {f.name.lower(): f.dataType.simpleString() for f in df.schema.fields}
     for name, rule in rules.items():
         if isinstance(rule, list):
+            if any(callable(c) and not _is_type(c) for c in rule[:-1]):
+                raise ValueError(f"a function can't be tried before the rules of {name} after it: put it last")
             rule = next((c for c in rule if not failures.get((name, repr(c)))), None)
             if rule is None and errors == "ignore":
                 continue
@@ -126,7 +129,7 @@ def enforce(df: DataFrame, schema: dict | None = None, dtypes: dict | None = Non
         elif failures.get((name, repr(rule))):
             continue
         try:
-            changed[name] = _apply(F.col(f"`{name}`"), rule)
+            changed[name] = _apply(F.col(f"`{name}`"), rule, types[name.lower()])
             df.select(changed[name])
         except (AnalysisException, TypeError, ValueError):
             if errors == "raise":

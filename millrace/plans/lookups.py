@@ -74,10 +74,10 @@ def hierarchy(spark, sf_dir):
 
 @query(
     "jn_03_from_second_level",
-    "SELECT n_name, s_suppkey FROM nation JOIN supplier ON s_nationkey = n_nationkey WHERE n_regionkey = 1",
+    "SELECT n_name, s_suppkey FROM nation JOIN supplier ON s_nationkey = n_nationkey",
 )
 def from_second_level(spark, sf_dir):
-    nation = table(spark, sf_dir, "nation").where("n_regionkey = 1").withColumnRenamed("n_nationkey", "s_nationkey")
+    nation = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "s_nationkey")
     return lookup.expand_hierarchy(nation, [(table(spark, sf_dir, "supplier"), "s_nationkey")]).select("n_name", "s_suppkey")
 
 

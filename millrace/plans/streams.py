@@ -42,7 +42,7 @@ def tail(spark, sf_dir):
 @query("str_02_tail_strict", "SELECT event_id, ts, user_id FROM events")
 def tail_strict(spark, sf_dir):
     stream = event_stream(spark, sf_dir).select("event_id", "ts", "user_id")
-    return _finish(streams.tail_strict(stream, "event_id", "ts"), spark)
+    return _finish(streams.tail_strict(stream, "event_id", "ts", delay=streams.LATENCY), spark)
 
 
 @query("str_03_subscription_filter", "SELECT event_id, user_id, value FROM events WHERE event_type = 'signup' AND value > 3.0")

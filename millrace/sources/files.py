@@ -167,4 +167,6 @@ def ingest_rows(spark: SparkSession, data, schema=None) -> DataFrame:
         names = list(dict.fromkeys(name for row in data for name in row))
         fields = [(name, type_of_values([row.get(name) for row in data])) for name in names]
         expected = T.StructType([T.StructField(name, dtype, True) for name, dtype in fields])
+    whole = [f.name for f in expected.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    data = [{**row, **{n: float(row[n]) for n in whole if isinstance(row.get(n), int)}} for row in data if isinstance(row, dict)] or data
     return spark.createDataFrame(data, expected)

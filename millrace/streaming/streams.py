@@ -44,7 +44,7 @@ def tail(stream: DataFrame, query=None, severity=None, time_start: dt.datetime |
     return stream
 
 
-def tail_strict(stream: DataFrame, row_id: str, time: str = "timestamp", delay: str = LATENCY) -> DataFrame:
+def tail_strict(stream: DataFrame, row_id: str, time: str = "timestamp", *, delay: str) -> DataFrame:
     """Each entry once by its id, and entries later than ``delay`` left out.
 
     This keeps the ids of the last ``delay`` as state. Use it only where late

@@ -90,3 +90,16 @@ def test_guarded_casts_equal_try_cast(spark):
         guarded = cast_or_null(value, T.StringType(), target)
         same = guarded.eqNullSafe(value.try_cast(target))
         assert [r["v"] for r in df.where(~same).collect()] == [], kind
+
+
+def test_map_values_of_texts_to_numbers(spark):
+    from millrace.operators.schema import enforce
+
+    df = spark.createDataFrame([("a",), ("b",)], "s string")
+    assert rows(enforce(df, {"s": {"a": 1}})) == [("1",), ("b",)]
+
+
+def test_rows_of_whole_and_broken_numbers(spark):
+    from millrace.sources.files import ingest_rows
+
+    assert rows(ingest_rows(spark, {"w": [1, 2.5, None]})) == [(1.0,), (2.5,), (None,)]

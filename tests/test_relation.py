@@ -150,3 +150,21 @@ def test_log_search(entries):
 
 def test_newest_first_takes_the_top_without_a_full_sort(entries):
     assert "TakeOrderedAndProject" in plan(R.newest_first(entries, "timestamp", "id", 5))
+
+
+def test_user_columns_survive(spark):
+    from millrace.operators.numbering import number_rows
+
+    df = spark.range(3000).select("id", F.lit("g").alias("g"), F.col("id").alias("ts"), (F.col("id") * 7).alias("_rank"), (F.col("id") * 5).alias("_id"), F.lit("p").alias("_part"))
+    for n in (3, 1001):
+        kept = R.keep_newest(df, "g", "ts", "id", n)
+        assert kept.columns == df.columns and kept.count() == n and kept.where("_rank <> id * 7 OR _id <> id * 5").count() == 0
+    numbered = number_rows(df, "g", "ts")
+    assert numbered.where("row_number <> id + 1 OR _id <> id * 5 OR _part <> 'p'").count() == 0
+
+
+def test_log_search_has_bounds_of_the_caller(spark):
+    entries = spark.range(250).select("id", F.timestamp_seconds("id").alias("ts"))
+    assert logs.search_logs(entries, time="ts").count() == 100
+    assert logs.search_logs(entries, time="ts", default_limit=None).count() == 250
+    assert logs.search_logs(entries, time="ts").first()["id"] == 249

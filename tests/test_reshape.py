@@ -158,15 +158,47 @@ def test_unpack_schema_overrides_stored_dtypes(frames):
     assert back.dtypes == [("doc_id", "string"), ("i", "bigint"), ("a", "string"), ("b", "string"), ("c", "double")]
 
 
-def test_documents_of_different_dtypes_need_a_choice(spark, frames):
+def test_documents_of_different_dtypes(spark, frames):
     packed = D.pack_documents(frames, "doc_id", "a").drop("chunk")
     other = D.pack_documents(frames.withColumn("a", F.col("a") + 0.5), "doc_id", "a").drop("chunk")
     both = packed.unionByName(other)
-    with pytest.raises(ValueError, match="do not share"):
-        D.unpack_documents(both)
+    assert dict(D.unpack_documents(both).dtypes)["a"] == "double" and D.unpack_documents(both).count() == 18
     assert D.unpack_documents(both, dtypes={"a": "float64", "b": "object"}).count() == 18
 
 
+def test_no_document_is_lost(spark):
+    dtypes = '"metadata": {"dtypes": {"a": "int64", "t": "datetime64[ns]"}}'
+    texts = [
+        '{"data": {"a": {"0": 1, "1": 2.0}, "t": {"0": 1704067200000, "1": "2024-01-02 00:00:00"}}, %s}' % dtypes,
+        '{"data": {"a": {"0": 1.5}}, %s}' % dtypes,
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, document string")
+    first = D.unpack_documents(df.where("i = 0"), position="at")
+    assert [(r["at"], r["a"], str(r["t"])) for r in first.orderBy("at").collect()] == [(0, 1, "2024-01-01 00:00:00"), (1, 2, "2024-01-02 00:00:00")]
+    with pytest.raises(Exception, match="no int64: 1.5"):
+        D.unpack_documents(df).collect()
+    assert rows(D.unpack_documents(df, schema={"a": float}).select("i", "a")) == [(0, 1.0), (0, 2.0), (1, 1.5)]
+    assert rows(D.unpack_documents(df, errors="ignore").select("i", "a")) == [(0, 1), (0, 2), (1, None)]
+    cut = df.union(spark.createDataFrame([(2, texts[0][:-40])], "i int, document string"))
+    with pytest.raises(Exception, match="no JSON"):
+        D.unpack_documents(cut, schema={"a": float}).collect()
+    assert rows(D.unpack_documents(cut, schema={"a": float}, errors="ignore").select("i"))[-1] == (2,)
+    bare = spark.createDataFrame([('{"data": {"b": {"0": "x"}, "a": {"0": 3}}}',)], "document string")
+    assert D.unpack_documents(bare, schema={"a": int}).collect()[0].asDict() == {"b": "x", "a": 3}
+
+
+def test_too_small_a_depth_is_an_error(spark):
+    df = spark.createDataFrame([(1, '{"a": 1, "b": {"c": {"d": 2}}}')], "id int, j string")
+    for function in (R.flatten_values, R.flatten_keys):
+        assert function(df, "j", ["id"], depth=3).count() == function(df, "j", ["id"]).count()
+        with pytest.raises(Exception, match="deeper than 1"):
+            function(df, "j", ["id"], depth=1).collect()
+
+
+def test_null_values_of_a_map_are_left_out(spark):
+    assert spark.sql("SELECT map('a', 1, 'b', NULL) AS m").select(R.invert_map(F.col("m")).alias("m")).first()["m"] == {1: "a"}
+
+
 def test_document_schemas(spark):
     df = spark.createDataFrame([("x", "7"), ("y", "7.5")], "doc_id string, v string")
     assert rows(D.cast_documents(df, "doc_id", {"x": {"v": float}})) == [("x", "7.0"), ("y", "7.5")]

@@ -47,9 +47,9 @@ def test_tail_starts_now_by_default(spark, log_files, scratch):
 def test_strict_tail_drops_duplicates_and_late_rows(spark, log_files, scratch):
     folder, entries = log_files
     entries.coalesce(1).write.mode("append").parquet(folder)  # every row again
-    one_batch = finish(spark, S.tail_strict(S.open_stream(spark, folder, SCHEMA), "id"), scratch)
+    one_batch = finish(spark, S.tail_strict(S.open_stream(spark, folder, SCHEMA), "id", delay=S.LATENCY), scratch)
     assert rows(one_batch) == rows(entries)
-    batches = S.tail_strict(S.open_stream(spark, folder, SCHEMA, files_per_batch=1), "id")
+    batches = S.tail_strict(S.open_stream(spark, folder, SCHEMA, files_per_batch=1), "id", delay=S.LATENCY)
     found = [r["id"] for r in finish(spark, batches, scratch).collect()]
     assert len(found) == len(set(found)) < 600
     patient = S.tail_strict(S.open_stream(spark, folder, SCHEMA, files_per_batch=1), "id", delay="1 day")
