@@ -223,7 +223,10 @@ class Encoder:
         symbols = byte_symbols()
         self.symbols, self.blank = dict(enumerate(symbols)), symbols[32]
         back = {s: bytes([b]) for b, s in enumerate(symbols)}
-        self.token_bytes = {i: b"".join(back[c] for c in t) if all(c in back for c in t) else t.encode() for t, i in [*model["vocab"].items(), *((t["content"], t["id"]) for t in spec["added_tokens"])]}
+        named = [*model["vocab"].items(), *((t["content"], t["id"]) for t in spec["added_tokens"])]
+        self.token_bytes = [b""] * (max(i for _, i in named) + 1)
+        for token, i in named:
+            self.token_bytes[i] = b"".join(back[c] for c in token) if all(c in back for c in token) else token.encode()
         split = [p for p in before.get("pretokenizers", []) if p["type"] == "Split"]
         self.lower = any(n["type"] == "Lowercase" for n in (spec["normalizer"] or {}).get("normalizers", []))
         #: Blanks are dropped by the pre-tokenizer.
@@ -344,7 +347,7 @@ def decode(ids: Column, path: str) -> Column:
 
     @F.arrow_udf("string")
     def text(lists: pa.Array) -> pa.Array:
-        engine = encoder(path)
-        return pa.array([engine.decode(x or ()) for x in lists.to_pylist()], pa.string())
+        engine, values, ends = encoder(path), lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+        return pa.array([engine.decode(values[a:b].tolist()) for a, b in zip(ends, ends[1:])], pa.string())
 
     return text(ids)
