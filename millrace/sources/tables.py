@@ -93,8 +93,11 @@ def create_external(
     return spark.table(quoted(table))
 
 
-def insert(df: DataFrame, table: str, schema: dict | None = None) -> None:
-    """Append to an existing table, columns matched by name; columns that ``df`` lacks are NULL."""
+def insert(df: DataFrame, table: str, schema: dict | None = None, cluster_by=None) -> None:
+    """Append to an existing table, columns matched by name; columns that ``df`` lacks are NULL.
+
+    ``cluster_by`` clusters the appended rows within the table's partitions.
+    """
     spark = df.sparkSession
     target = spark.table(quoted(table))
     df = enforce(df, schema)
@@ -107,11 +110,23 @@ def insert(df: DataFrame, table: str, schema: dict | None = None) -> None:
         raise ValueError(f"{table} has no column {', '.join(extra)}")
     rows = add_missing(df, {f.name: f.dataType for f in target.schema.fields}).select(target.columns)
     partitions = partition_columns(spark, table)
-    if partitions:
+    if cluster_by:
+        rows = clustered(rows, as_list(cluster_by), partitions)
+    elif partitions:
         rows = rows.hint("rebalance", *partitions)
     spark.sql(f"INSERT INTO {quoted(table)} BY NAME SELECT * FROM {{rows}}", rows=rows)
 
 
+def _refuse_other_layout(spark: SparkSession, table: str, layout, partitions: list[str]) -> None:
+    """Raise if a partitioning is asked for that an existing table doesn't have."""
+    own = layout_from_properties(table_properties(spark, table))
+    plain = [c.lower() for c in partition_columns(spark, table) if own is None or c != own.partition]
+    if layout is not None and layout != own:
+        raise ValueError(f"{table} has another time or range partitioning: {own}")
+    if partitions and [c.lower() for c in partitions] != plain:
+        raise ValueError(f"{table} is partitioned by {plain}, not {partitions}")
+
+
 def write_table(
     df: DataFrame, table: str, if_exists: str = "append", schema: dict | None = None,
     time_partition: str | None = None, range_partition: RangePartition | None = None,
@@ -120,20 +135,22 @@ def write_table(
     """Create a table from ``df``, or append to, replace or refuse an existing one.
 
     ``if_exists`` is ``append``, ``replace`` or ``fail``. Time partitioning is
-    by day; it excludes range partitioning.
+    by day; it excludes range partitioning. Appending with a partitioning that the
+    table doesn't have raises; ``cluster_by`` then clusters the appended rows.
     """
     if if_exists not in ("append", "replace", "fail"):
         raise ValueError(f"if_exists must be append, replace or fail, not {if_exists}")
     if time_partition and range_partition:
         raise ValueError("a table has either time or range partitioning")
     spark = df.sparkSession
+    layout = TimePartition(time_partition) if time_partition else range_partition
+    partitions, cluster = as_list(partition_by) if partition_by else [], as_list(cluster_by) if cluster_by else []
     ensure_database(spark, table)
     if if_exists == "append" and spark.catalog.tableExists(quoted(table)):
-        insert(df, table, schema)
+        _refuse_other_layout(spark, table, layout, partitions)
+        insert(df, table, schema, cluster)
         return
     df = storable(enforce(df, schema))
-    layout = TimePartition(time_partition) if time_partition else range_partition
-    partitions, cluster = as_list(partition_by) if partition_by else [], as_list(cluster_by) if cluster_by else []
     if layout is not None:
         df = with_layout(df, layout)
         partitions = [*partitions, layout.partition]

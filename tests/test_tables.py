@@ -36,6 +36,18 @@ def test_replace_fail_and_append(spark, pairs, database):
         W.write_table(pairs, name, "sometimes")
 
 
+def test_append_with_a_layout(spark, pairs, database):
+    name = f"{database}.t"
+    W.write_table(pairs, name, partition_by="a")
+    W.write_table(pairs, name, partition_by="a", cluster_by="b")
+    assert rows(spark.table(name)) == rows(pairs.union(pairs).select(*spark.table(name).columns))
+    with pytest.raises(ValueError, match="partitioned by"):
+        W.write_table(pairs, name, partition_by="b")
+    with pytest.raises(ValueError, match="another time or range"):
+        W.write_table(pairs, name, range_partition=RangePartition("a", 0, 10, 5))
+    assert spark.table(name).count() == 6
+
+
 def test_read_variants(spark, pairs, database):
     name = f"{database}.t"
     W.write_table(pairs, name)
