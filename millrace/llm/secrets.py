@@ -33,6 +33,8 @@ _KEYS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 #: Labelled strings of a kind that the automata are learned from: those with the smallest hashes. Longer strings than LABEL_CHARS aren't learned from.
 LABELS = 400
 LABEL_CHARS = 128
+#: Slices of a kind, by hash, that the smallest hashes are looked for in before they meet.
+SLICES = 64
 #: Log-likelihood over that of ordinary strings, for each character, from which on a candidate counts.
 LEAST_SCORE = 0.7
 _END = ""
@@ -225,8 +227,11 @@ def labelled(df: DataFrame, text: str = "text", labels: int = LABELS) -> DataFra
             yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(values), pa.array([h >> 1 for h in hashes])], names=["kind", "value", "hash"])
 
     found = df.select(col(text).alias("body")).mapInArrow(smallest, "kind string, value string, hash long").distinct()
-    place = F.row_number().over(Window.partitionBy("kind").orderBy("hash", "value"))
-    return found.withColumn("place", place).filter(F.col("place") <= labels).select("kind", "value")
+    # First within slices of a kind, so the task of a kind reads SLICES * labels rows at most, however many tasks there were.
+    for group in (["kind", F.pmod("hash", F.lit(SLICES))], ["kind"]):
+        place = F.row_number().over(Window.partitionBy(*group).orderBy("hash", "value"))
+        found = found.withColumn("place", place).filter(F.col("place") <= labels).drop("place")
+    return found.select("kind", "value")
 
 
 def learn(df: DataFrame, text: str = "text", labels: int = LABELS) -> Formats:
