@@ -193,11 +193,15 @@ class Merges:
             ids.reverse()
             found[word], before = array("I", ids).tobytes(), word
         if self._known > 1_000_000:
-            for answers in known:
-                answers.clear()
-            self._known = 0
+            self.forget()
         return found
 
+    def forget(self) -> None:
+        """Let go of the answers on which tokens may follow each other."""
+        for answers in self._follows:
+            answers.clear()
+        self._known = 0
+
 
 def commonprefix(a: str, b: str) -> str:
     """The longest common prefix."""
@@ -316,6 +320,11 @@ class Encoder:
             begin = end
         return found
 
+    def forget(self) -> None:
+        """Let go of all that was remembered of texts; it is found anew when needed."""
+        self.cache, self.older = dict(self.special), {}
+        self.merges.forget()
+
     def decode(self, ids) -> str:
         return b"".join(map(self.token_bytes.__getitem__, ids)).decode("utf-8", "replace")
 

@@ -109,13 +109,15 @@ def plan_windows(counts: dict[int, int], window: int = WINDOW, least_cut: int =
     return rows
 
 
-def cut(df: DataFrame, path: str, text: str = "text", columns: list[str] | None = None, window: int = WINDOW, end_id: int = 1) -> DataFrame:
+def cut(df: DataFrame, path: str, text: str = "text", columns: list[str] | None = None, window: int = WINDOW, end_id: int = 1, forget: bool = False) -> DataFrame:
     """Each document's ids and the end id, in pieces of ``window`` and a rest; written once.
 
     Columns: those named, ``start``, ``length``, ``ids`` (unsigned 32-bit
     numbers, lowest byte first), ``doc_tokens``, and ``part`` and ``nth``, which
     number the pieces of a length within a written part. A NULL or empty text
-    is the end id alone. Columns of these names in ``df`` are replaced.
+    is the end id alone. Columns of these names in ``df`` are replaced. With
+    ``forget`` a worker keeps nothing of a part's texts once it is done, which
+    leaves the memory to other stages and has words encoded once a part.
     """
     made = [c.split()[0] for c in _PIECE.split(", ")]
     keep = [c for c in (df.columns if columns is None else columns) if c not in made]
@@ -149,6 +151,9 @@ def cut(df: DataFrame, path: str, text: str = "text", columns: list[str] | None
                 taken = [batch[c].take(pa.array(row)) for c in keep]
                 own = [pa.array(start), pa.array(length), pa.array(ids, pa.binary()), pa.array(tokens[row]), pa.array(np.full(len(row), part, np.int32)), pa.array(nth)]
                 yield pa.RecordBatch.from_arrays(taken + own, names=[f.name for f in schema])
+        if forget:
+            engine.forget()
+            pa.default_memory_pool().release_unused()
 
     return materialise(df.select(*[col(c) for c in keep], col(text).alias(body)).mapInArrow(pieces, schema), "pieces", compression="zstd")
 

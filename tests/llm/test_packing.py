@@ -91,3 +91,9 @@ def test_odd_rows(spark, odd, empty):
     whole = packing.sequences(packing.place(packing.cut(numbered, path))).collect()
     assert all(len(r["ids"]) == 4 * sum(r["lengths"]) <= 4 * 2048 for r in whole)
     assert piece_digests(packing.cut(empty, path, "text", ["doc_id"])).count() == 0
+
+
+def test_forgetting_changes_no_ids(spark, odd):
+    path = public_tokenizers.path(WORD_BPE)
+    kept, forgotten = (packing.cut(odd, path, "text", ["doc_id"], forget=f).select("doc_id", "start", "ids") for f in (False, True))
+    assert kept.exceptAll(forgotten).isEmpty() and forgotten.exceptAll(kept).isEmpty()
