@@ -35,3 +35,12 @@ def cast_or_null(value: Column, source: T.DataType, target: T.DataType) -> Colum
     guard = GUARDS.get(type(target)) if isinstance(source, T.StringType) else None
     attempt = value.try_cast(target)
     return attempt if guard is None else F.when(value.rlike(guard), attempt)
+
+
+def has_hash(dtype: T.DataType) -> bool:
+    """Whether Spark hashes values of the type: maps and variants have no hash, at any depth."""
+    if isinstance(dtype, T.ArrayType):
+        return has_hash(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return all(has_hash(f.dataType) for f in dtype.fields)
+    return not isinstance(dtype, (T.MapType, T.VariantType))

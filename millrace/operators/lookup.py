@@ -9,11 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.casts import has_hash
 from millrace.functions.predicates import as_list
 
-# A right side of at most this many rows is joined without salting: Spark
-# broadcasts it when its size in bytes allows, and AQE sees to the rest.
-SMALL_ROWS = 100_000
 # A key is hot from this many rows on; a key outside the HOT_KEYS most
 # frequent ones holds less than 1/HOT_KEYS of the rows.
 HOT_ROWS = 1_000_000
@@ -23,38 +21,47 @@ SALTS = 64
 _TRACKED = 10_000
 
 
-def is_small(df: DataFrame) -> bool:
-    """Whether there are at most ``SMALL_ROWS`` rows; counting stops there."""
-    return df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS
+def _unused(name: str, *frames: DataFrame) -> str:
+    """The name, made longer until no frame has a column called so."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
-def _key_hash(schema: T.StructType, keys: list[str]) -> Column:
-    """A hash of the join keys that does not depend on the width of whole numbers."""
-    whole = [isinstance(schema[k].dataType, T.IntegralType) for k in keys]
-    return F.xxhash64(*[F.col(k).cast("bigint") if w else F.col(k) for k, w in zip(keys, whole)])
+def _key_hash(keys: list[str], types: list[str | None]) -> Column:
+    """A hash of the join keys, each as the type that both sides have in common."""
+    return F.xxhash64(*[F.col(k).cast(t) if t else F.col(k) for k, t in zip(keys, types)])
 
 
-def _same_hash(left: T.StructType, right: T.StructType, keys: list[str]) -> bool:
-    """Whether equal keys have equal hashes on both sides."""
+def _common_types(left: T.StructType, right: T.StructType, keys: list[str]) -> list[str | None] | None:
+    """By key the type in which equal keys have equal hashes (None: their own), or None if there is no such type."""
+    types = []
     for key in keys:
         a, b = left[key].dataType, right[key].dataType
         if isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType):
-            continue
-        if a != b or isinstance(a, (T.FloatType, T.DoubleType, T.ArrayType, T.StructType)):
-            return False
-    return True
+            types.append("bigint")
+        elif a == b and "collate" not in a.simpleString():
+            types.append(None)
+        elif isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
+            types.append("double")
+        else:
+            return None
+    return types
 
 
-def hot_hashes(df: DataFrame, on, min_rows: int = HOT_ROWS, n: int = HOT_KEYS) -> list[int]:
-    """The hashes of the most frequent keys with ``min_rows`` rows or more, at most ``n``.
+def hot_hashes(df: DataFrame, on, min_rows: int = HOT_ROWS, n: int = HOT_KEYS, types: list[str | None] | None = None) -> DataFrame:
+    """One row, ``hot``: the hashes of the most frequent keys with ``min_rows`` rows or more, at most ``n``.
 
     Only the key columns are read, and every task counts in a sketch of fixed
     size, so nothing is shuffled but the sketches. The counts choose what is
     salted; the result of a join does not depend on them.
     """
-    hashes = df.select(_key_hash(df.schema, as_list(on)).alias("hash"))
-    top = hashes.agg(F.expr(f"approx_top_k(hash, {n}, {_TRACKED})")).first()[0]
-    return [entry["item"] for entry in top if entry["count"] >= min_rows]
+    keys = as_list(on)
+    hashes = df.select(_key_hash(keys, types or [None] * len(keys)).alias("hash"))
+    top = hashes.agg(F.expr(f"approx_top_k(hash, {n}, {_TRACKED})").alias("top"))
+    hot = F.transform(F.filter("top", lambda e: e["count"] >= min_rows), lambda e: e["item"])
+    return top.select(F.coalesce(hot, F.array().cast("array<bigint>")).alias("hot"))
 
 
 def salted_join(
@@ -67,33 +74,37 @@ def salted_join(
     of those few keys are repeated once per salt, all other rows have salt 0.
     Rows with a NULL key match nothing and are spread as well. The salt is a
     hash, not a random number, so a task that runs again gives the same rows.
-    Without a hot key this is a plain join.
+    The hot keys are a scalar subquery of the join's own plan: building it runs
+    nothing. Keys whose types have no hash in common are joined without salts.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join does not support {how}")
     keys = as_list(on)
-    hot = hot_hashes(left, keys, min_rows, n_hot) if _same_hash(left.schema, right.schema, keys) else []
-    if not hot:
+    types = _common_types(left.schema, right.schema, keys)
+    if types is None:
         return left.join(right, keys, how)
-    hashed = [f.name for f in left.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    salt, hot_ = _unused("_salt", left, right), _unused("_hot", left, right)
+    hot = hot_hashes(left, keys, min_rows, n_hot, types).scalar()
+    hashed = [f.name for f in left.schema.fields if has_hash(f.dataType)]
     row_hash = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashed]), F.lit(salts)).cast("int")
-    spread = reduce(or_, [F.col(k).isNull() for k in keys], _key_hash(left.schema, keys).isin(hot))
-    salted_left = left.withColumn("_salt", F.when(spread, row_hash).otherwise(F.lit(0)))
-    copies = F.when(_key_hash(right.schema, keys).isin(hot), F.sequence(F.lit(0), F.lit(salts - 1)))
-    salted_right = right.withColumn("_salt", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
-    return salted_left.join(salted_right, keys + ["_salt"], how).drop("_salt")
+    spread = reduce(or_, [F.col(k).isNull() for k in keys], F.array_contains(hot, _key_hash(keys, types)))
+    salted_left = left.withColumn(salt, F.when(spread, row_hash).otherwise(F.lit(0)))
+    copies = F.when(F.col(hot_), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_right = right.withColumn(hot_, F.array_contains(hot, _key_hash(keys, types))).withColumn(salt, F.explode(copies)).drop(hot_)
+    return salted_left.join(salted_right, keys + [salt], how).drop(salt)
 
 
-def lookup_join(left: DataFrame, right: DataFrame, on, how: str = "inner", right_is_small: bool | None = None) -> DataFrame:
+def lookup_join(left: DataFrame, right: DataFrame, on, how: str = "inner", right_is_small: bool = False, **limits) -> DataFrame:
     """``left`` joined with a table of things it refers to.
 
-    The size of ``right`` is checked unless the caller knows it: a small one
-    leaves the choice to Spark's own size checks, a large one is joined with
-    the hot keys of ``left`` salted.
+    The hot keys of ``left`` are salted, as ``salted_join`` says, which takes
+    the ``limits`` too; Spark still broadcasts a right side whose size allows.
+    A caller who knows that it will saves the reading of ``left``'s keys with
+    ``right_is_small``.
     """
-    if is_small(right) if right_is_small is None else right_is_small:
+    if right_is_small:
         return left.join(right, as_list(on), how)
-    return salted_join(left, right, on, how)
+    return salted_join(left, right, on, how, **limits)
 
 
 def missing_keys(left: DataFrame, right: DataFrame, on) -> DataFrame:
@@ -105,49 +116,45 @@ def missing_keys(left: DataFrame, right: DataFrame, on) -> DataFrame:
     return left.select(*keys).distinct().join(right.select(*keys).distinct(), keys, "left_anti")
 
 
-def resolve_chain(rows: DataFrame, hops: list[tuple[DataFrame, str]], missing: str = "drop") -> DataFrame:
+def resolve_chain(rows: DataFrame, hops: list[tuple[DataFrame, str]], missing: str = "drop", right_is_small: bool = False, **limits) -> DataFrame:
     """``rows`` followed through ``(table, key)`` hops, as tag to version to artifact.
 
     Each table holds one row per key and the key of the next hop. Rows whose
-    key is absent are dropped, kept with NULLs (``"keep"``), or an error (``"raise"``).
-    The tables are joined with one another from the last hop back, so the rows
-    are joined once.
+    key is absent are dropped, kept with NULLs (``"keep"``), or an error when
+    the result is computed (``"raise"``). The tables are joined with one another
+    from the last hop back, so the rows are joined once. Other arguments are
+    those of ``lookup_join``.
     """
     if missing not in ("drop", "keep", "raise"):
         raise ValueError(f"missing must be drop, keep or raise, not {missing}")
     how = "inner" if missing == "drop" else "left"
-    resolved, key, small = None, None, None
+    found = _unused("_found", rows, *[table for table, _ in hops])
+    flags = [f"{found}{place}" for place in range(len(hops))] if missing == "raise" else []
+    resolved, key = None, None
     for place, (table, table_key) in reversed(list(enumerate(hops))):
-        # What a table resolves to has no more rows than the table.
-        table_is_small = is_small(table)
-        table = table.withColumn(f"_found{place}", F.lit(True)) if missing == "raise" else table
-        resolved = table if resolved is None else lookup_join(table, resolved, key, how, small)
-        key, small = table_key, table_is_small
-    result = lookup_join(rows, resolved, key, how, small)
-    if missing == "raise":
-        flags = [F.col(f"_found{place}") for place in range(len(hops))]
-        lost = result.where(reduce(or_, [flag.isNull() for flag in flags]))
-        if not lost.isEmpty():
-            keys = [name for _, name in hops]
-            raise ValueError(f"no entry for {lost.select(*keys).first().asDict()}")
-        result = result.drop(*[f"_found{place}" for place in range(len(hops))])
-    return result
-
-
-def pointing_at(rows: DataFrame, targets: DataFrame, on) -> DataFrame:
+        table = table.withColumn(flags[place], F.lit(True)) if flags else table
+        resolved = table if resolved is None else lookup_join(table, resolved, key, how, right_is_small, **limits)
+        key = table_key
+    result = lookup_join(rows, resolved, key, how, right_is_small, **limits)
+    if not flags:
+        return result
+    lost = reduce(or_, [F.col(flag).isNull() for flag in flags])
+    message = F.concat(F.lit("no entry for "), F.to_json(F.struct(*[name for _, name in hops])))
+    return result.where(F.when(lost, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))).drop(*flags)
+
+
+def pointing_at(rows: DataFrame, targets: DataFrame, on, right_is_small: bool = False, **limits) -> DataFrame:
     """The rows whose key is among the targets."""
-    return lookup_join(rows, targets.select(*as_list(on)).distinct(), on, "left_semi")
+    return lookup_join(rows, targets.select(*as_list(on)).distinct(), on, "left_semi", right_is_small, **limits)
 
 
-def expand_hierarchy(start: DataFrame, levels: list[tuple[DataFrame, str]]) -> DataFrame:
+def expand_hierarchy(start: DataFrame, levels: list[tuple[DataFrame, str]], right_is_small: bool = False, **limits) -> DataFrame:
     """All descendants of the start rows: each level is ``(children, parent key)``.
 
     ``start`` may hold rows of any level; pass the levels below it. The
     children are the large side, so they lead the join.
     """
-    rows, small = start, is_small(start)
-    for place, (children, parent_key) in enumerate(levels):
-        rows = lookup_join(children, rows, parent_key, right_is_small=small)
-        # A child has one parent, so there are no more rows than children.
-        small = place + 1 < len(levels) and is_small(children)
+    rows = start
+    for children, parent_key in levels:
+        rows = lookup_join(children, rows, parent_key, "inner", right_is_small, **limits)
     return rows

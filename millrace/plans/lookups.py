@@ -68,7 +68,7 @@ def hierarchy(spark, sf_dir):
     region = table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey")
     nation = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
     customer = table(spark, sf_dir, "customer")
-    expanded = lookup.expand_hierarchy(region, [(nation, "n_regionkey"), (customer, "c_nationkey")])
+    expanded = lookup.expand_hierarchy(region, [(nation, "n_regionkey"), (customer, "c_nationkey")], right_is_small=True)  # regions and nations
     return expanded.select("r_name", "n_name", "c_custkey", "c_name")
 
 
@@ -78,7 +78,7 @@ def hierarchy(spark, sf_dir):
 )
 def from_second_level(spark, sf_dir):
     nation = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "s_nationkey")
-    return lookup.expand_hierarchy(nation, [(table(spark, sf_dir, "supplier"), "s_nationkey")]).select("n_name", "s_suppkey")
+    return lookup.expand_hierarchy(nation, [(table(spark, sf_dir, "supplier"), "s_nationkey")], right_is_small=True).select("n_name", "s_suppkey")
 
 
 @query(

@@ -44,8 +44,8 @@ def select(spark, sf_dir):
 )
 def parameters(spark, sf_dir):
     text = """SELECT event_id FROM {events} WHERE user_id > :user AND value <= :most AND event_type = :kind
-              AND ts >= CAST(:since AS TIMESTAMP_NTZ)"""
-    params = {"user": 20, "most": 9.5, "kind": "click", "since": dt.datetime(2024, 1, 12).isoformat(sep=" ")}
+              AND ts >= :since"""
+    params = {"user": 20, "most": 9.5, "kind": "click", "since": dt.datetime(2024, 1, 12)}
     return _run(spark, sf_dir, text, ["events"], params)
 
 

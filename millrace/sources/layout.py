@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.casts import has_hash
 from millrace.functions.predicates import as_list, literal
 
 _DAY_SECONDS = 86_400
@@ -140,5 +141,5 @@ def clustered(df: DataFrame, columns: list[str], within: list[str] | None = None
     spread over tasks; the sort leaves it out.
     """
     leading = [*(within or []), *columns]
-    hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    hashed = [f.name for f in df.schema.fields if has_hash(f.dataType)]
     return df.repartitionByRange(*leading, F.xxhash64(*hashed)).sortWithinPartitions(*leading)

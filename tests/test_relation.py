@@ -76,17 +76,40 @@ def test_salts_spread_a_hot_key(spark, refs):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         text = plan(lookup.salted_join(left, right, "k", min_rows=5, salts=8))
-        none = plan(lookup.salted_join(left, right, "k", min_rows=1000))
+        plain = plan(lookup.lookup_join(left, right, "k", right_is_small=True))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "hashpartitioning(k" in text and "_salt" in text and "_salt" not in none
+    assert "hashpartitioning(k" in text and "_salt" in text and "_salt" not in plain
 
 
 def test_hot_keys_are_bounded(refs):
     left, _ = refs
-    assert len(lookup.hot_hashes(left, "k", min_rows=5)) == 2  # the NULLs and key 1
-    assert len(lookup.hot_hashes(left, "k", min_rows=1, n=3)) == 3
-    assert lookup.hot_hashes(left, "k", min_rows=1000) == []
+    found = lambda **limits: lookup.hot_hashes(left, "k", **limits).first()["hot"]
+    assert len(found(min_rows=5)) == 2  # the NULLs and key 1
+    assert len(found(min_rows=1, n=3)) == 3
+    assert found(min_rows=1000) == []
+    assert lookup.hot_hashes(left.limit(0), "k").first()["hot"] == []
+
+
+def test_building_a_lookup_runs_no_job(spark, refs):
+    left, right = refs
+    spark.sparkContext.setJobGroup("build", "lookups")
+    try:
+        lookup.resolve_chain(left, [(right, "k")], "raise", min_rows=5)
+        lookup.expand_hierarchy(right, [(left, "k")])
+        lookup.pointing_at(left, right, "k")
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("build")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_salts_of_odd_keys_and_rows(spark):
+    nan = float("nan")
+    left = spark.createDataFrame([(x, {"a": 1}, [{"b": 2}], i) for i in range(12) for x in (0.0, -0.0, nan, 1.0)], "k double, m map<string,int>, n array<map<string,int>>, _salt int")
+    right = spark.createDataFrame([(-0.0, "zero"), (nan, "none"), (2.0, "two")], "k double, _hot string")
+    for other in (right, right.withColumn("k", F.col("k").cast("float")), right.where("k <= 2").withColumn("k", F.col("k").cast("decimal(10,2)"))):
+        salted = lookup.salted_join(left, other, "k", "left", min_rows=5, salts=4)
+        assert repr(rows(salted.drop("m", "n"))) == repr(rows(left.join(other, "k", "left").drop("m", "n")))
 
 
 def test_salted_join_of_keys_of_other_types(refs):
@@ -113,8 +136,8 @@ def test_chain_of_lookups(spark):
     one = lambda df: rows(df.select("tag", "size"))
     assert one(lookup.resolve_chain(tags, hops)) == [("t1", 10)]
     assert one(lookup.resolve_chain(tags, hops, "keep")) == [("t1", 10), ("t2", None), ("t3", None)]
-    with pytest.raises(ValueError, match="no entry"):
-        lookup.resolve_chain(tags, hops, "raise")
+    with pytest.raises(Exception, match="no entry for"):
+        lookup.resolve_chain(tags, hops, "raise").collect()
     found = lookup.resolve_chain(tags.where("tag = 't1'"), hops, "raise")
     assert sorted(found.columns) == ["artifact", "size", "tag", "version"] and one(found) == [("t1", 10)]
     assert rows(lookup.missing_keys(tags, versions, "version")) == [("v9",)]
