@@ -1,10 +1,17 @@
+import zlib
+
 import corpus_pipeline
+import numpy as np
+import public_tokenizers
 import pytest
 from cases import empty, odd  # noqa: F401
+from millrace.llm import packing
+from millrace.llm.queries import WORD_BPE
 from test_packing import check
 from test_quality import brute as base
 from test_secrets import brute as base_secrets
 from test_simhash import brute_groups, brute_print
+from tokenizers import Tokenizer
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -46,3 +53,19 @@ def test_odd_documents(spark, odd, empty, kind):
         if name != "packing":
             assert got.columns == frame.columns
         assert got.count() >= (0 if kind == "empty" or name == "quality_rules" else 5)
+
+
+def test_packing_gives_every_id_its_place(spark, odd):
+    texts = {n: r["text"] for n, r in enumerate(odd.collect())}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    placed = corpus_pipeline.pack(spark, docs, SF_DIR)
+    pieces = placed.collect()
+    library = Tokenizer.from_file(public_tokenizers.path(WORD_BPE))
+    for doc, text in texts.items():
+        own = sorted((r["start"], bytes(r["ids"])) for r in pieces if r["doc_id"] == doc)
+        assert np.frombuffer(b"".join(ids for _, ids in own), "<u4").tolist() == library.encode(text or "", add_special_tokens=False).ids + [1]
+    assert any(r["length"] == packing.WINDOW for r in pieces)
+    assert all(r["ids_crc32"] == zlib.crc32(r["ids"]) and len(r["ids"]) == 4 * r["length"] for r in pieces)
+    whole = {r["sequence_id"]: bytes(r["ids"]) for r in packing.sequences(placed).collect()}
+    for r in pieces:
+        assert whole[r["sequence_id"]][4 * r["offset"]:4 * (r["offset"] + r["length"])] == r["ids"]
