@@ -2,15 +2,17 @@
 
 Labelled credentials, those of the base patterns, form a prefix tree for each
 kind. States whose continuations are statistically compatible are merged, which
-leaves a probabilistic automaton of the kind's format; ordinary long strings
-give one more. Every candidate string of every text is scored by the likelihood
-that a format gives it against that of ordinary strings.
+leaves a probabilistic automaton of the kind's format. What is ordinary is
+learned from all words that are too short to be candidates, so bare secrets,
+however many, have no part in it. Every candidate string of every text is scored
+by the likelihood that a format gives it against that of ordinary strings.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from heapq import heappush, heappushpop
@@ -28,6 +30,8 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile("AKIA[A-Z0-9]+")
 _HEX = re.compile("[0-9a-f]{32,}")
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+_RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
+_CHARACTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _KEYS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 #: Labelled strings of a kind that the automata are learned from: those with the smallest hashes. Longer strings than LABEL_CHARS aren't learned from.
@@ -64,6 +68,21 @@ def candidates(text: str, spans: Sequence[tuple[int, int, int, str]]) -> Iterato
             yield start, end, m[0]
 
 
+def short_words(text: str, spans: Sequence[tuple[int, int, int, str]]) -> list[str]:
+    """The runs of credential characters that are too short for candidates and that no base span touches."""
+    if not spans:
+        return [w for w in _RUN.findall(text) if len(w) < 16]
+    ends = sorted((s, e) for s, _, e, _ in spans)
+    found, k = [], 0
+    for m in _RUN.finditer(text):
+        start, end = m.span()
+        while k < len(ends) and ends[k][1] <= start:
+            k += 1
+        if end - start < 16 and not any(s < end and start < e for s, e in ends[k:k + 8]):
+            found.append(m[0])
+    return found
+
+
 @dataclass
 class _State:
     """Strings that come by, that end here, and that go on with each character."""
@@ -176,6 +195,34 @@ def likelihood(automaton: Automaton, string: str) -> float:
     return total + state[_END][1]
 
 
+def background(counts: dict[str, int]) -> Automaton:
+    """The automaton of ordinary strings, from the counts of pairs of characters in words; the first of a pair is a blank at a word's start.
+
+    One state for each character that came last. A tenth of the chance goes to
+    that character once more (rules of dashes), a tenth to any character; the
+    rest is the share of the pair, and for rare ones that of the character.
+    """
+    single = dict.fromkeys(_CHARACTERS, 0.5)
+    before = dict.fromkeys(" " + _CHARACTERS, 0)
+    for pair, n in counts.items():
+        single[pair[1]] += n
+        before[pair[0]] += n
+    total, found = sum(single.values()), []
+    for last in " " + _CHARACTERS:
+        chances = {}
+        for k, c in enumerate(_CHARACTERS):
+            share = (counts.get(last + c, 0) + 20 * single[c] / total) / (before[last] + 20)
+            again = 0.1 * (c == last) if last != " " else 0.1 * single[c] / total
+            chances[c] = (k + 1, math.log(0.8 * share + again + 0.1 / len(_CHARACTERS)))
+        chances[_END] = (0, math.log(0.05))
+        found.append(chances)
+    return found
+
+
+#: Log chance of a digit within a number, which is ordinary whatever the corpus holds.
+_DIGIT = math.log(1 / 10)
+
+
 @dataclass(frozen=True)
 class Formats:
     """Automata of credentials by kind, and that of ordinary strings."""
@@ -188,13 +235,15 @@ class Formats:
         if not self.credentials:
             return float("-inf")
         best = max(likelihood(a, string) for a in self.credentials.values())
-        return (best - likelihood(self.ordinary, string)) / len(string)
+        plain = likelihood(self.ordinary, string)
+        if string.isdigit():
+            plain = max(plain, _DIGIT * len(string))
+        return (best - plain) / len(string)
 
 
 def labelled(df: DataFrame, text: str = "text", labels: int = LABELS) -> DataFrame:
-    """(kind, value): for each kind the distinct credentials, and as ``ordinary`` the
-    distinct other candidates, ``labels`` of each with the smallest hashes. All
-    texts are searched; each task hands on its own smallest ones only.
+    """(kind, value): for each kind the distinct credentials, ``labels`` of them with the
+    smallest hashes. All texts are searched; each task hands on its own smallest ones only.
     """
     bound_batches(df.sparkSession)
 
@@ -216,11 +265,8 @@ def labelled(df: DataFrame, text: str = "text", labels: int = LABELS) -> DataFra
 
         for batch in batches:
             for body in batch[0].to_pylist():
-                spans = base_spans(body or "")
-                for _, k, _, value in spans:
+                for _, k, _, value in base_spans(body or ""):
                     offer(KINDS[k], value)
-                for _, _, value in candidates(body or "", spans):
-                    offer("ordinary", value)
         rows = [(kind, value, -h) for kind, heap in heaps.items() for h, value in heap]
         if rows:
             kinds, values, hashes = zip(*rows)
@@ -234,13 +280,41 @@ def labelled(df: DataFrame, text: str = "text", labels: int = LABELS) -> DataFra
     return found.select("kind", "value")
 
 
+def pair_counts(df: DataFrame, text: str = "text") -> DataFrame:
+    """(pair, n): how often each two characters follow each other in the short words of all texts.
+
+    Every word counts as it is, in small and in capital letters. There are as
+    many rows as pairs of characters at most, from each task too.
+    """
+    bound_batches(df.sparkSession)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs: Counter[tuple[str, str]] = Counter()
+        for batch in batches:
+            words: Counter[str] = Counter()
+            for body in batch[0].to_pylist():
+                if body:
+                    words.update(short_words(body, base_spans(body)))
+            for word, n in words.items():
+                for form in (word, word.lower(), word.upper()):
+                    for pair in zip(" " + form, form):
+                        pairs[pair] += n
+        if pairs:
+            yield pa.RecordBatch.from_arrays([pa.array([a + b for a, b in pairs]), pa.array(list(pairs.values()), pa.int64())], names=["pair", "n"])
+
+    counted = df.select(col(text).alias("body")).mapInArrow(count, "pair string, n long")
+    return counted.groupBy("pair").agg(F.sum("n").alias("n"))
+
+
 def learn(df: DataFrame, text: str = "text", labels: int = LABELS) -> Formats:
-    """The formats of the credentials in all texts; at most ``labels`` strings of each kind reach the driver."""
+    """The formats of the credentials in all texts, and what is ordinary in them; at most
+    ``labels`` strings of each kind and the counts of pairs reach the driver.
+    """
     values: dict[str, list[str]] = {}
     for row in labelled(df, text, labels).orderBy("kind", "value").collect():
         values.setdefault(row["kind"], []).append(row["value"])
-    ordinary = infer(values.pop("ordinary", []))
-    return Formats({kind: infer(v) for kind, v in values.items() if len(v) >= 8}, ordinary)
+    credentials = {kind: infer(v) for kind, v in values.items() if len(v) >= 8}
+    return Formats(credentials, background({r["pair"]: r["n"] for r in pair_counts(df, text).collect()}))
 
 
 def spans_of(text: str | None, formats: Formats | None, least: float = LEAST_SCORE, scores: dict[str, bool] | None = None) -> list[tuple[str, int, int]]:

@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import pytest
 from cases import empty, odd  # noqa: F401
 from millrace.llm import secrets
 from millrace.llm.queries import QUERIES
@@ -66,3 +67,27 @@ def test_odd_rows(spark, odd, empty):
     secret = next(r for r in rows if r["text"] and "AKIA" in r["text"])
     assert not brute(secret["clean"]) and "[assign]" in secret["clean"] and "[access] [hex] é" in secret["clean"]
     assert secrets.learn(empty).credentials == {} and empty.select(secrets.find_secrets(F.col("text"), None)).count() == 0
+
+
+@pytest.mark.parametrize("bare,plain", [(8, 792), (400, 400), (720, 80)])
+def test_bare_keys_are_found_whatever_their_share(spark, bare, plain):
+    random.seed(bare)
+    word = lambda: random.choice(["the", "ing", "tion", "re", "un", "ed", "ou", "mer", "sal", "vic"])
+    key = lambda n: "".join(random.choice("0123456789abcdef") for _ in range(n))
+    prose = lambda: " ".join(word() + word() for _ in range(30)) + f" {random.randrange(2030)} "
+    keys = [key(24) for _ in range(bare)]
+    words = ["".join(word() for _ in range(8)) for _ in range(plain // 2)] + [str(random.randrange(10 ** 15, 10 ** 16)) for _ in range(plain // 2)]
+    texts = [prose() + x + " end" for x in keys + words] + [f"{prose()} token = {key(24)}" for _ in range(60)]
+    frame = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "doc_id long, text string")
+    formats = secrets.learn(frame)
+    found = {r["doc_id"] for r in frame.withColumn("found", secrets.find_secrets(F.col("text"), formats)).filter("exists(found, x -> x.kind = 'format')").collect()}
+    assert sum(n in found for n in range(bare)) >= 0.97 * bare
+    assert not any(n >= bare for n in found)
+
+
+def test_ordinary_strings_of_any_form_stay_below(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    formats = secrets.learn(docs)
+    assert formats.credentials
+    for string in ["-" * 20, "=" * 30, "0" * 16, "a" * 20, "4556756555320544", "INTERNATIONALIZATION", "internationalization", "some_long_snake_case_name", "SOME_CONSTANT_NAME_HERE", "2021-03-04-12-30-11"]:
+        assert formats.score(string) < secrets.LEAST_SCORE, string
