@@ -1,4 +1,4 @@
-"""The registered queries of the corpus operators: op1 to op10."""
+"""The registered queries of the corpus operators: op1 to op11."""
 
 from __future__ import annotations
 
@@ -8,14 +8,14 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, licences, packing, quality, secrets, sharding, simhash, topk, warc
+from millrace.llm import alignment, bpe, chat, licences, packing, quality, secrets, sharding, simhash, topk, warc
 from millrace.llm.common import bound_batches
 from millrace.llm.oracles import OP3, OP5, OP7, OP8
 from millrace.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
+BYTE_BPE, WORD_BPE, PIECE_BPE = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
 
 
 def query(name: str, oracle: str | None = None):
@@ -149,3 +149,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), columns=["doc_id"])
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), F.col("first").alias("component_id"))
+
+
+@query("op11_lockstep_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE)
+    aligned = alignment.align(table(spark, sf_dir, "documents"), *paths, columns=["doc_id"], digest=True)
+    return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
