@@ -1,4 +1,4 @@
-"""The registered queries of the corpus operators: op1 to op11."""
+"""The registered queries of the corpus operators: op1 to op12."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import alignment, bpe, chat, licences, packing, quality, secrets, sharding, simhash, topk, warc
+from millrace.llm import alignment, bpe, chat, fingerprints, licences, packing, quality, secrets, sharding, simhash, topk, warc
 from millrace.llm.common import bound_batches
 from millrace.llm.oracles import OP3, OP5, OP7, OP8
 from millrace.session import scratch_path
@@ -156,3 +156,9 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE)
     aligned = alignment.align(table(spark, sf_dir, "documents"), *paths, columns=["doc_id"], digest=True)
     return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
+
+
+@query("op12_lookup_sketches")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    versions = fingerprints.fingerprint_versions(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return versions.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
