@@ -1,4 +1,4 @@
-"""The registered queries of the corpus operators: op1 to op12."""
+"""The registered queries of the corpus operators: op1 to op13."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import alignment, bpe, chat, fingerprints, licences, packing, quality, secrets, sharding, simhash, topk, warc
+from millrace.llm import alignment, bpe, chat, fingerprints, licences, packing, prefixtrie, quality, secrets, sharding, simhash, topk, warc
 from millrace.llm.common import bound_batches
 from millrace.llm.oracles import OP3, OP5, OP7, OP8
 from millrace.session import scratch_path
@@ -162,3 +162,19 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = fingerprints.fingerprint_versions(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return versions.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+@query("op13_zfast_trie")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, conversations = share_heads(prefixtrie.number_turns(table(spark, sf_dir, "conversations")))
+    return prefixtrie.build_trie(turns, conversations)
+
+
+def share_heads(turns: DataFrame, most: int = 4, every: int = 20) -> tuple[DataFrame, DataFrame]:
+    """Each conversation c with its first h turns replaced by those of c - c % every, h being below ``most``; and all conversations."""
+    sizes = turns.groupBy("conv").agg(F.count(F.lit(1)).alias("n"))
+    own = sizes.select("conv", (F.crc32(F.col("conv").cast("string").cast("binary")) % most).alias("h"), (F.col("conv") - F.col("conv") % every).alias("base"))
+    given = own.join(sizes.select(F.col("conv").alias("base"), "n"), "base", "left").withColumn("m", F.least("h", F.coalesce("n", F.lit(0))))
+    kept = turns.join(given.select("conv", "h", "m"), "conv").filter("pos >= h").select("conv", (F.col("pos") - F.col("h") + F.col("m")).alias("pos"), "a", "b", "words")
+    heads = turns.filter(F.col("pos") < most - 1).withColumnRenamed("conv", "base").join(given.select("base", "conv", "m"), "base").filter("pos < m").select("conv", "pos", "a", "b", "words")
+    return kept.union(heads), sizes.select("conv")
