@@ -7,10 +7,10 @@ import pytest
 from cases import empty, odd  # noqa: F401
 from millrace.llm import packing
 from millrace.llm.queries import WORD_BPE
+from test_minhash import brute_groups
 from test_packing import check
 from test_quality import brute as base
 from test_secrets import brute as base_secrets
-from test_simhash import brute_groups, brute_print
 from tokenizers import Tokenizer
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -34,7 +34,7 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert all(d in good for d in given if labels.get(d) == 1 and not base(given[d]["text"])[5])
     assert not any(labels.get(d) == 0 for d in good)
     ordered = sorted(good)
-    groups = brute_groups([brute_print(good[d]["text"]) for d in ordered])
+    groups = brute_groups([good[d]["text"] for d in ordered])
     assert out["near_duplicates"] == {ordered[g]: good[ordered[g]] for g in set(groups)}
     clean = out["secret_scan"]
     assert set(clean) == set(out["near_duplicates"])
@@ -55,6 +55,20 @@ def test_odd_documents(spark, odd, empty, kind):
         assert got.count() >= (0 if kind == "empty" or name == "quality_rules" else 5)
 
 
+def test_documents_keep_their_own_columns(spark, odd):
+    names = {"shard": "found__", "fingerprint": "text__", "kept": "votes", "lang": "stays", "source": "n_words"}
+    frame, words = odd.withColumnsRenamed(names), "word " * 3
+    more = spark.createDataFrame([(900 + k, f"{words}{k} " + " ".join(f"w{k}x{j}." for j in range(90)), "v", "w", 5, 6, "y", "q") for k in range(4)], odd.schema)
+    frame = frame.union(more)
+    own = [c for c in frame.columns if c not in ("text", "n_chars")]
+    given = {tuple(r) for r in frame.select(own).collect()}
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        got = stage(spark, frame, SF_DIR)
+        assert got.dtypes == frame.dtypes
+        kept = {tuple(r) for r in got.select(own).collect()}
+        assert len(kept) >= 4 and kept <= given, name
+
+
 def test_packing_gives_every_id_its_place(spark, odd):
     texts = {n: r["text"] for n, r in enumerate(odd.collect())}
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
