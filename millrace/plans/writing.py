@@ -10,7 +10,7 @@ from millrace.functions.text import JSON_OPTIONS
 from millrace.operators import documents, relation
 from millrace.plans.registry import query, scratch_database, table
 from millrace.session import scratch_path
-from millrace.sources import files, sinks, tables
+from millrace.sources import changes, files, sinks, snapshots, tables
 from millrace.sources.layout import RangePartition
 
 _ORDERS = ["o_orderkey", "o_custkey", "o_totalprice"]
@@ -159,3 +159,51 @@ def write_texts(spark, sf_dir):
     path = scratch_path(spark, "texts")
     sinks.write_texts(table(spark, sf_dir, "events"), path, "props")
     return spark.read.text(path)
+
+
+def _orders_table(spark, sf_dir):
+    """All orders in a table whose files hold ranges of keys."""
+    name = f"{scratch_database(spark)}.orders"
+    rows = table(spark, sf_dir, "orders").select(*_ORDERS, "o_orderstatus", "o_orderpriority")
+    tables.write_table(rows, name, cluster_by=["o_orderkey"])
+    return name
+
+
+@query("sql_01_delete", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE NOT (o_orderstatus = 'F' AND o_totalprice > 100000.0)")
+def delete(spark, sf_dir):
+    name = _orders_table(spark, sf_dir)
+    changes.delete_rows(spark, name, {"o_orderstatus": "F"}, "o_totalprice > 100000.0")
+    return tables.read_table(spark, name, _ORDERS)
+
+
+@query(
+    "sql_01_update",
+    """SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN -o_custkey ELSE o_custkey END AS o_custkey,
+              CASE WHEN o_orderpriority = '1-URGENT' THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM orders""",
+)
+def update(spark, sf_dir):
+    name = _orders_table(spark, sf_dir)
+    changes.update_rows(spark, name, {"o_custkey": -F.col("o_custkey"), "o_orderstatus": "X"}, {"o_orderpriority": "1-URGENT"})
+    return tables.read_table(spark, name, ["o_orderkey", "o_custkey", "o_orderstatus"])
+
+
+@query(
+    "sql_01_merge",
+    """SELECT c_custkey, c_name, CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal * 2 ELSE c_acctbal END AS c_acctbal
+       FROM customer WHERE c_acctbal >= 0 OR c_mktsegment = 'BUILDING'""",
+)
+def merge(spark, sf_dir):
+    customer, name = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment"), f"{scratch_database(spark)}.customer"
+    tables.write_table(customer.where("c_acctbal >= 0").drop("c_mktsegment"), name)
+    builders = customer.where("c_mktsegment = 'BUILDING'").select("c_custkey", "c_name", (F.col("c_acctbal") * 2).alias("c_acctbal"))
+    changes.merge_rows(builders, name, "c_custkey")
+    return tables.read_table(spark, name)
+
+
+@query("snk_11_snapshot", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus, o_orderpriority FROM orders")
+def snapshot(spark, sf_dir):
+    name = _orders_table(spark, sf_dir)
+    snapshots.take_snapshot(spark, name, "before")
+    changes.delete_rows(spark, name, {"o_orderstatus": "F"})
+    changes.update_rows(spark, name, {"o_totalprice": 0.0}, condition="o_custkey < 500")
+    return snapshots.read_snapshot(spark, name, "before")

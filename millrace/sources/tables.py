@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,13 @@ from millrace.sources.layout import (
 )
 from millrace.sources.sinks import partitioned_writer
 
+# Table property that lists the columns a table was clustered by.
+CLUSTER_PROPERTY = "millrace.cluster_by"
+# What catalogs themselves note down as properties.
+CATALOG_PROPERTIES = {
+    "COLUMN_STATS_ACCURATE", "EXTERNAL", "bucketing_version", "numFiles", "numFilesErasureCoded", "numRows", "owner",
+    "rawDataSize", "totalSize", "transient_lastDdlTime",
+}
 # Fixed value: the folder name of a NULL partition.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -160,8 +169,17 @@ def write_table(
         writer = (clustered(df, cluster) if cluster else df).write
     mode = "overwrite" if if_exists == "replace" else "errorifexists"
     writer.format("parquet").mode(mode).saveAsTable(quoted(table))
-    if layout is not None:
-        pairs = ", ".join(f"'{k}'='{v}'" for k, v in layout_properties(layout).items())
+    noted = layout_properties(layout) if layout is not None else {}
+    if cluster:
+        noted[CLUSTER_PROPERTY] = json.dumps(cluster)
+    set_properties(spark, table, noted)
+
+
+def set_properties(spark: SparkSession, table: str, properties: dict[str, str]) -> None:
+    """Set properties of a table; others stay as they are."""
+    if properties:
+        texts = [[part.replace("\\", "\\\\").replace("'", "\\'") for part in pair] for pair in properties.items()]
+        pairs = ", ".join(f"'{k}'='{v}'" for k, v in texts)
         spark.sql(f"ALTER TABLE {quoted(table)} SET TBLPROPERTIES ({pairs})")
 
 
@@ -179,17 +197,16 @@ def create_table(
 
 
 def copy_table(spark: SparkSession, source: str, target: str, if_exists: str = "replace") -> None:
-    """A copy with the same partition columns and properties; an existing target is replaced or an error."""
+    """A copy with the same partition and cluster columns and properties; an existing target is replaced or an error."""
     if quoted(source).lower() == quoted(target).lower():
         raise ValueError("a table cannot be copied onto itself")
     if if_exists != "replace" and spark.catalog.tableExists(quoted(target)):
         raise ValueError(f"table already exists: {target}")
+    properties = {k: v for k, v in table_properties(spark, source).items() if k not in CATALOG_PROPERTIES}
+    cluster = json.loads(properties.get(CLUSTER_PROPERTY, "[]"))
     partitions = partition_columns(spark, source)
-    layout = layout_from_properties(table_properties(spark, source))
-    write_table(spark.table(quoted(source)), target, "replace", partition_by=partitions or None)
-    if layout is not None:
-        pairs = ", ".join(f"'{k}'='{v}'" for k, v in layout_properties(layout).items())
-        spark.sql(f"ALTER TABLE {quoted(target)} SET TBLPROPERTIES ({pairs})")
+    write_table(spark.table(quoted(source)), target, "replace", partition_by=partitions or None, cluster_by=cluster or None)
+    set_properties(spark, target, properties)
 
 
 def copy_database(spark: SparkSession, source: str, target: str, if_exists: str = "replace") -> list[str]:
