@@ -52,3 +52,15 @@ def partition_values(path: Column) -> Column:
 def as_array(column: Column, dtype: T.DataType) -> Column:
     """The column itself when it is an array, else a one-element array of it."""
     return column if isinstance(dtype, T.ArrayType) else F.array(column)
+
+
+def unused(taken, *names: str) -> list[str]:
+    """The names, with underscores added until no column of ``taken`` (a frame or names) is called so."""
+    held = {c.lower() for c in getattr(taken, "columns", taken)}
+    found = []
+    for name in names:
+        while name.lower() in held:
+            name += "_"
+        held.add(name.lower())
+        found.append(name)
+    return found

@@ -11,8 +11,15 @@ def underscores_to_spaces(text: Column) -> Column:
 
 
 def timestamp_label(ts: Column, zone: str = "UTC") -> Column:
-    """``yyyy-MM-dd HH:mm:ss.SSS`` and the zone name, cut to milliseconds."""
-    return F.concat(F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSS"), F.lit(f" {zone}"))
+    """``yyyy-MM-dd HH:mm:ss.SSS`` and the zone name, cut to milliseconds.
+
+    A ``TIMESTAMP`` is shown as the zone's clocks have it, whatever the
+    session's zone; a ``TIMESTAMP_NTZ``, which is in no zone, as it is.
+    """
+    local = ts.cast("timestamp_ntz")
+    there = F.convert_timezone(F.current_timezone(), F.lit(zone), local)
+    shown = F.when(F.typeof(ts) == "timestamp", there).otherwise(local)
+    return F.concat(F.date_format(shown, "yyyy-MM-dd HH:mm:ss.SSS"), F.lit(f" {zone}"))
 
 
 def message_text(payload: Column) -> Column:

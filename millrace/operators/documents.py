@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.names import last_segment
+from millrace.functions.names import last_segment, unused
 from millrace.functions.predicates import as_list
 from millrace.functions.text import JSON_OPTIONS, to_json_text
 from millrace.operators.dialects import spark_type
@@ -48,9 +48,10 @@ def pack_documents(
     groups = as_list(by)
     names = columns or [c for c in df.columns if c not in groups]
     chunks = chunked_rows(df, groups, order_by, names, chunk_rows)
+    position = unused(df, "_position")[0]
 
     def by_position(name: str):
-        pairs = F.transform("rows", lambda row: F.struct(row["_position"].cast("string"), row[name]))
+        pairs = F.transform("rows", lambda row: F.struct(row[position].cast("string"), row[name]))
         return F.map_from_entries(pairs).alias(name)
 
     dtypes = [F.lit(dtype).alias(name) for name, dtype in frame_dtypes(df.schema, names).items()]
@@ -107,37 +108,41 @@ def unpack_documents(
     Without ``dtypes`` columns and dtypes are read from the documents, as
     ``stored_dtypes`` says; ``{"data": ..}`` alone will do. Values are read as
     text first, so that no value can make a document disappear. A document that
-    is no JSON, or a value that is not of its dtype, is an error; with
-    ``errors="ignore"`` the first is one row without values and the second
-    NULL. A document without rows gives none.
+    is no JSON or has no ``data``, or a value that is not of its dtype, is an
+    error; with ``errors="ignore"`` the first is one row without values and the
+    second NULL. A document without rows, or NULL, gives none.
     """
     dtypes = stored_dtypes(df, document) if dtypes is None else dtypes
     names, schema = list(dtypes), schema or {}
     kept = [c for c in df.columns if c != document]
     shape = T.StructType([T.StructField("data", T.MapType(T.StringType(), T.MapType(T.StringType(), T.StringType())))])
-    parsed = df.select(*kept, F.from_json(F.col(document), shape, JSON_OPTIONS).getField("data").alias("_d"), F.try_parse_json(document).isNull().alias("_bad"))
+    d, bad, r, *cols = unused(kept, "_d", "_bad", "_r", *[f"_{i}" for i in range(len(names))])
+    data = F.from_json(F.col(document), shape, JSON_OPTIONS).getField("data")
+    parsed = df.select(*kept, data.alias(d), (F.col(document).isNotNull() & (data.isNull() | F.try_parse_json(document).isNull())).alias(bad))
 
     def entries(name: str):
-        pairs = F.coalesce(F.map_entries(F.element_at("_d", F.lit(name))), F.array().cast("array<struct<key:string,value:string>>"))
+        pairs = F.coalesce(F.map_entries(F.element_at(d, F.lit(name))), F.array().cast("array<struct<key:string,value:string>>"))
         return F.array_sort(F.transform(pairs, lambda e: F.struct(e.key.cast("bigint").alias("k"), e.value.alias("v"))))
 
-    columns = parsed.select(*kept, "_bad", "_d", *[entries(n).alias(f"_{i}") for i, n in enumerate(names)])
+    columns = parsed.select(*kept, bad, d, *[entries(n).alias(c) for c, n in zip(cols, names)])
     # A column that a document doesn't have is NULL in its rows; those that it has must agree.
-    held = [F.map_contains_key("_d", F.lit(n)) for n in names]
-    keys = [F.col(f"_{i}").getField("k") for i in range(len(names))]
+    held = [F.map_contains_key(d, F.lit(n)) for n in names]
+    keys = [F.col(c).getField("k") for c in cols]
     first = F.coalesce(*[F.when(h, k) for h, k in zip(held, keys)]) if names else F.array().cast("array<bigint>")
     agree = F.lit(True)
     for h, k in zip(held, keys):
         agree = agree & (~h | (k == first))
-    whole = F.when(F.coalesce(agree, F.lit(True)), F.arrays_zip(*[f"_{i}" for i in range(len(names))])).otherwise(
+    zipped = F.arrays_zip(*cols) if names else F.array().cast("array<struct<>>")
+    whole = F.when(F.coalesce(agree, F.lit(True)), zipped).otherwise(
         F.raise_error(F.lit("a packed document has columns with different row keys"))
     )
-    corrupt = F.raise_error(F.lit("a packed document is no JSON")) if errors == "raise" else F.array(F.struct(*[F.lit(None).cast("struct<k:bigint,v:string>").alias(f"_{i}") for i in range(len(names))]))
-    zipped = F.when(F.col("_bad"), corrupt).otherwise(whole)
-    rows = columns.select(*kept, F.explode(zipped).alias("_r"))
-    place = [F.coalesce(*[F.col(f"_r._{i}.k") for i in range(len(names))]).alias(position)] if position else []
+    nothing = F.array(F.struct(*[F.lit(None).cast("struct<k:bigint,v:string>").alias(c) for c in cols])) if names else zipped
+    corrupt = F.raise_error(F.lit("a packed document is no JSON or has no data")) if errors == "raise" else nothing
+    rows = columns.select(*kept, F.explode(F.when(F.col(bad), corrupt).otherwise(whole)).alias(r))
+    place = [F.coalesce(*[F.col(r)[c]["k"] for c in cols]).alias(position)] if position else []
     own = {n for n, rule in schema.items() if is_type(rule)}
-    values = [F.col(f"_r._{i}.v") if n in own else _restored(F.col(f"_r._{i}.v"), dtypes[n], errors) for i, n in enumerate(names)]
+    texts = [F.col(r)[c]["v"] for c in cols]
+    values = [text if n in own else _restored(text, dtypes[n], errors) for text, n in zip(texts, names)]
     frame = rows.select(*kept, *place, *[v.alias(n) for v, n in zip(values, names)])
     return enforce(frame, schema or None, errors=errors)
 
@@ -158,6 +163,33 @@ def cast_documents(df: DataFrame, key: str, overrides: dict[str, dict]) -> DataF
     return df.withColumns(changed) if changed else df
 
 
+def variant_documents(df: DataFrame, key: str, overrides: dict[str, dict], columns: list[str] | None = None) -> DataFrame:
+    """Per-document column types that stay: ``{document id: {column: type}}``.
+
+    The columns (those of ``overrides`` if none are named) become VARIANT, and
+    every value has its document's type in it, or else the column's own. A value
+    that is not of its document's type is an error. As many branches are
+    planned as there are types, however many documents have one.
+    """
+    names = columns or list(dict.fromkeys(c for types in overrides.values() for c in types))
+    changed = {}
+    for name in names:
+        by_type: dict[str, list] = {}
+        for doc_id, types in overrides.items():
+            if name in types:
+                by_type.setdefault(spark_type(types[name]).simpleString(), []).append(doc_id)
+        value = F.col(name).cast("variant")
+        for dtype, ids in by_type.items():
+            value = F.when(F.col(key).isin(ids), F.col(name).cast(dtype).cast("variant")).otherwise(value)
+        changed[name] = value
+    return df.withColumns(changed) if changed else df
+
+
+def variant_types(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The types of VARIANT columns' values in DDL, as columns ``<name>_type``; NULL for NULL."""
+    return df.withColumns({f"{name}_type": F.schema_of_variant(name) for name in columns})
+
+
 def one_document(df: DataFrame, key: str, doc_id, schema: dict | None = None) -> DataFrame:
     """The rows of one document, with a schema of its own."""
     return enforce(df.where(F.col(key) == F.lit(doc_id)), schema)

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
 from functools import reduce
 from operator import and_
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.names import as_array
+from millrace.functions.names import as_array, unused
 from millrace.functions.predicates import as_list
 from millrace.operators.numbering import number_rows
-from millrace.operators.relation import concat
 
 # A group is collected in chunks of this many rows, so no row grows with its group.
 CHUNK_ROWS = 1_000
@@ -25,9 +27,10 @@ def columns_to_rows(df: DataFrame, columns: list[str], position: str | None = No
         F.raise_error(F.lit(f"arrays of unequal length: {', '.join(columns)}"))
     )
     kept = [c for c in df.columns if c not in columns]
-    rows = df.select(*kept, F.posexplode(checked).alias("_position", "_row"))
-    values = [F.col("_row").getField(c).alias(c) for c in columns]
-    place = [F.col("_position").alias(position)] if position else []
+    number, row = unused(df, "_position", "_row")
+    rows = df.select(*kept, F.posexplode(checked).alias(number, row))
+    values = [F.col(row).getField(c).alias(c) for c in columns]
+    place = [F.col(number).alias(position)] if position else []
     return rows.select(*kept, *place, *values)
 
 
@@ -35,27 +38,26 @@ def chunked_rows(df: DataFrame, by, order_by, columns: list[str], chunk_rows: in
     """``(by.., chunk, rows)``: the rows of each group as arrays of at most ``chunk_rows`` structs.
 
     A struct starts with the row's position in the whole group, from 0, and
-    each array is in that order.
+    each array is in that order. The first field is ``_position``, or longer
+    where a column is called so.
     """
     groups = as_list(by)
-    numbered = number_rows(df.select(*dict.fromkeys([*groups, *_names(order_by), *columns])), groups, order_by, "_position", 0)
+    position = unused(df, "_position")[0]
+    numbered = number_rows(df.select(*dict.fromkeys([*groups, *_names(order_by), *columns])), groups, order_by, position, 0)
     # Positions differ, so the order of the structs is that of their first field.
     # Maps and variants have no order, so then the positions are compared explicitly.
     unordered = [c for c in columns if isinstance(df.schema[c].dataType, (T.MapType, T.VariantType))]
-    row = F.struct("_position", *columns)
+    row = F.struct(position, *columns)
     collected = F.collect_list(row)
-    in_order = F.array_sort(collected, _by_position) if unordered else F.array_sort(collected)
+    by_position = lambda a, b: F.signum(a[position] - b[position]).cast("int")
+    in_order = F.array_sort(collected, by_position) if unordered else F.array_sort(collected)
     return (
-        numbered.withColumn("chunk", F.expr(f"_position div {int(chunk_rows)}"))
+        numbered.withColumn("chunk", F.expr(f"{position} div {int(chunk_rows)}"))
         .groupBy(*groups, "chunk")
         .agg(in_order.alias("rows"))
     )
 
 
-def _by_position(a: Column, b: Column) -> Column:
-    return F.signum(a["_position"] - b["_position"]).cast("int")
-
-
 def _names(order_by) -> list[str]:
     return [item.strip().partition(" ")[0].lstrip("-") for item in as_list(order_by)]
 
@@ -76,11 +78,10 @@ def wrap_scalars(df: DataFrame, columns: list[str]) -> DataFrame:
 def invert_map(column: Column) -> Column:
     """Values to keys; of equal values the last entry counts, and NULL values, which can be no keys, are left out."""
     entries = F.filter(F.map_entries(column), lambda entry: entry.value.isNotNull())
-    last = F.filter(
-        entries,
-        lambda entry, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later.value == entry.value),
-    )
-    return F.map_from_entries(F.transform(last, lambda entry: F.struct(entry.value, entry.key)))
+    # In order of value and then place, the last of each run of equal values counts.
+    placed = F.array_sort(F.transform(entries, lambda entry, i: F.struct(entry.value.alias("value"), i.alias("place"), entry.key.alias("key"))))
+    last = F.filter(placed, lambda entry, i: F.coalesce(F.get(placed, i + 1)["value"] != entry["value"], F.lit(True)))
+    return F.map_from_entries(F.transform(last, lambda entry: F.struct(entry["value"], entry["key"])))
 
 
 def invert_pairs(df: DataFrame, key: str, value: str, order_by) -> DataFrame:
@@ -102,41 +103,87 @@ def json_depth(text: Column) -> Column:
     return F.aggregate(F.split(brackets, ""), start, step, lambda state: state.deepest)
 
 
-def _max_depth(df: DataFrame, column: str) -> int:
-    """The depth of the deepest text that is JSON; one small aggregation row."""
-    valid = df.where(F.try_parse_json(column).isNotNull())
-    return valid.agg(F.max(json_depth(F.col(column)))).first()[0] or 0
+def _no_number(text: str):
+    raise ValueError(f"{text} is no JSON")
 
 
-def _children(rows: DataFrame, kept: list[str], outer: bool) -> DataFrame:
-    """One level down: members of the containers in ``_value``, with their place in ``_place``."""
-    tvf = rows.sparkSession.tvf
-    explode = tvf.variant_explode_outer if outer else tvf.variant_explode
-    members = explode(F.col("_value").outer()).toDF("_pos", "_member", "_child")
-    joined = rows.drop("_member").lateralJoin(members)
-    place = F.when(F.col("_pos").isNull(), F.col("_place")).otherwise(F.concat("_place", F.array("_pos")))
-    return joined.select(
-        *kept, place.alias("_place"), F.col("_member"), F.coalesce("_child", "_value").alias("_value")
-    )
+#: Numbers stay as they are written; constants that JSON doesn't have are errors.
+_DECODER = json.JSONDecoder(parse_int=str, parse_float=str, parse_constant=_no_number)
 
 
-def _roots(df: DataFrame, column: str, kept: list[str], errors: str) -> DataFrame:
-    if errors not in ("raise", "skip"):
-        raise ValueError(f"errors must be raise or skip, not {errors}")
-    parse = F.parse_json if errors == "raise" else F.try_parse_json
-    roots = df.select(
-        *kept,
-        F.array().cast(T.ArrayType(T.IntegerType())).alias("_place"),
-        F.lit(None).cast("string").alias("_member"),
-        parse(column).alias("_value"),
-    )
-    return roots.where(F.col("_value").isNotNull())
+def _decoded(text: str):
+    """The value of a JSON text; a ValueError if it is none or nests deeper than Python's reader goes."""
+    try:
+        return _DECODER.decode(text)
+    except (ValueError, RecursionError) as error:
+        raise ValueError(f"[MALFORMED_RECORD_IN_PARSING] a text is no JSON: {error}") from None
+
 
+def _walk(value, keys: bool) -> Iterator[tuple[list[int], str | None, int]]:
+    """(place, key or scalar, level) depth-first, in the order of the text; no recursion, so depth doesn't matter."""
+    stack = [iter([((), None, value)])]
+    while stack:
+        for place, key, item in stack[-1]:
+            inside = isinstance(item, (dict, list))
+            if keys and key is not None:
+                yield list(place), key, len(stack) - 1
+            elif not keys and not inside:
+                yield list(place), _as_text(item), len(stack) - 1
+            if inside:
+                named = item.items() if isinstance(item, dict) else ((None, v) for v in item)
+                stack.append(iter([((*place, n), k, v) for n, (k, v) in enumerate(named)]))
+                break
+        else:
+            stack.pop()
 
-def _none_below(value: str, depth: int, result: str, dtype: str) -> Column:
-    """The result, or an error if the value is a container that holds something."""
-    held = F.regexp_like(F.to_json(value), F.lit(r"^(\{.+\}|\[.+\])$"))
-    return F.when(held, F.raise_error(F.lit(f"JSON nests deeper than {depth}")).cast(dtype)).otherwise(F.col(result))
+
+def _as_text(item) -> str | None:
+    if isinstance(item, bool):
+        return "true" if item else "false"
+    return item
+
+
+def _flattened(df: DataFrame, column: str, keep: list[str], name: str, depth: int | None, errors: str) -> DataFrame:
+    """``(keep.., place, name)`` of the members of a JSON column, a batch of texts at a time."""
+    if errors not in ("raise", "skip"):
+        raise ValueError(f"errors must be raise or skip, not {errors}")
+    text = unused(keep, "text")[0]
+    given = df.select(*keep, F.col(column).alias(text))
+    schema = T.StructType([*given.schema.fields[:-1], T.StructField("place", T.ArrayType(T.IntegerType())), T.StructField(name, T.StringType())])
+
+    def flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, places, found = [], [], []
+            for row, body in enumerate(batch[text].to_pylist()):
+                if body is None:
+                    continue
+                try:
+                    value = _decoded(body)
+                except ValueError:
+                    if errors == "skip":
+                        continue
+                    raise
+                for place, item, level in _walk(value, name == "key"):
+                    if depth is not None and level > depth:
+                        raise ValueError(f"JSON nests deeper than {depth}")
+                    rows.append(row)
+                    places.append(place)
+                    found.append(item)
+                    if len(rows) == _OUT_ROWS:
+                        yield _taken(batch, rows, places, found)
+                        rows, places, found = [], [], []
+            if rows:
+                yield _taken(batch, rows, places, found)
+
+    def _taken(batch, rows, places, found) -> pa.RecordBatch:
+        kept = [batch[i].take(pa.array(rows, pa.int32())) for i in range(batch.num_columns - 1)]
+        return pa.RecordBatch.from_arrays([*kept, pa.array(places, pa.list_(pa.int32())), pa.array(found, pa.string())], names=schema.names)
+
+    return given.mapInArrow(flatten, schema)
+
+
+#: Rows that a task hands on at once.
+_OUT_ROWS = 20_000
 
 
 def flatten_values(
@@ -144,37 +191,21 @@ def flatten_values(
 ) -> DataFrame:
     """``(keep.., place, value)``: the scalars of a JSON column, as text, at any depth.
 
-    ``place`` lists the member numbers on the way down, so ordering by it is
-    depth-first; members of an object are numbered by key. Without ``depth``,
-    the deepest nesting is measured first; a ``depth`` that is too small is an
-    error. A text that is not JSON is an error, or left out with
-    ``errors="skip"``.
+    ``place`` lists the member numbers on the way down, in the order of the
+    text, so ordering by it is depth-first. Numbers are as written; of members
+    of one name the last counts, in the place of the first. JSON that nests
+    deeper than ``depth``, if given, is an error. A text that is not JSON is an
+    error, or left out with ``errors="skip"``; NULL has no scalars.
+
+    Members keep their order in the text only, which neither VARIANT nor a
+    fixed schema holds, so texts are walked in Arrow batches: one scan, no
+    join, and no depth has to be known.
     """
-    given, depth = depth is not None, _max_depth(df, column) if depth is None else depth
-    rows = _roots(df, column, keep, errors)
-    for _ in range(depth):
-        rows = _children(rows, keep, outer=True)
-    if given:
-        rows = rows.withColumn("_value", _none_below("_value", depth, "_value", "variant"))
-    # The containers that are left are empty ones.
-    scalar = F.expr(
-        "try_variant_get(_value, '$', 'array<variant>') IS NULL AND try_variant_get(_value, '$', 'map<string, variant>') IS NULL"
-    )
-    return rows.where(scalar).select(
-        *keep, F.col("_place").alias("place"), F.expr("variant_get(_value, '$', 'string')").alias("value")
-    )
+    return _flattened(df, column, keep, "value", depth, errors)
 
 
 def flatten_keys(
     df: DataFrame, column: str, keep: list[str], depth: int | None = None, errors: str = "raise"
 ) -> DataFrame:
     """``(keep.., place, key)``: the object keys of a JSON column, at any depth; as ``flatten_values``."""
-    given, depth = depth is not None, _max_depth(df, column) if depth is None else depth
-    rows, found = _roots(df, column, keep, errors), []
-    for level in range(depth):
-        rows = _children(rows, keep, outer=False)
-        if given and level == depth - 1:
-            rows = rows.withColumn("_member", _none_below("_value", depth, "_member", "string"))
-        found.append(rows.where(F.col("_member").isNotNull()))
-    result = concat(found) if found else rows.where(F.lit(False))
-    return result.select(*keep, F.col("_place").alias("place"), F.col("_member").alias("key"))
+    return _flattened(df, column, keep, "key", depth, errors)

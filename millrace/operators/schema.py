@@ -18,18 +18,22 @@ from millrace.functions.casts import cast_or_null
 from millrace.functions.text import map_values
 from millrace.operators.dialects import SPARK_TYPES, _canonical_of, spark_type
 
+_TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]*)?)?"
 # Kinds of text from narrow to wide, each with the pattern of its texts; a bit stands for a kind.
 _KINDS = {
     "int": r"^[+-]?[0-9]+$",
     "float": r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$",
     "date": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$",
-    "datetime": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}",
+    "datetime": rf"{_TIME}\s*$",
+    # An offset, Z or a zone's name follows: a moment, which a type without a zone can't hold.
+    "zoned": rf"{_TIME}\s*([zZ]|[+-][0-9]|[A-Za-z])",
 }
 _WORDS = {"float": ["inf", "+inf", "-inf", "infinity", "+infinity", "-infinity", "nan"], "bool": ["true", "false"]}
 _BITS = {kind: 1 << place for place, kind in enumerate([*_KINDS, "bool", "str"])}
 # A column has the first type that takes in all kinds found in it.
 _TYPES = {
-    "int": ["int"], "float": ["int", "float"], "date": ["date"], "datetime": ["date", "datetime"], "bool": ["bool"],
+    "int": ["int"], "float": ["int", "float"], "date": ["date"], "datetime": ["date", "datetime"],
+    "timestamp": ["zoned"], "bool": ["bool"],
 }
 
 
@@ -179,7 +183,7 @@ def _kind_bit(value: Column) -> Column:
     for kind, pattern in _KINDS.items():
         fits = value.rlike(pattern)
         if kind != "float":  # digits may be out of range
-            fits = F.when(fits, value.try_cast(SPARK_TYPES[kind]).isNotNull())
+            fits = F.when(fits, value.try_cast(SPARK_TYPES["timestamp" if kind == "zoned" else kind]).isNotNull())
         numbers = numbers.when(fits, _BITS[kind])
     # Digits and signs sort before the colon, so most other text skips the patterns.
     return F.when(value.isNull(), None).when(value < ":", numbers.otherwise(words)).otherwise(words)
@@ -188,8 +192,9 @@ def _kind_bit(value: Column) -> Column:
 def infer_types(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """``(column_name, type)``: the narrowest canonical type that fits every value of a column.
 
-    Text is tried as int, float, date, datetime and bool; columns of other
-    types keep theirs. A text column without values is ``null``. Every value
+    Text is tried as int, float, date, datetime, timestamp and bool; columns of
+    other types keep theirs. Times with an offset or a zone are ``timestamp``,
+    those without are ``datetime``, and a column with both is ``str``. A text column without values is ``null``. Every value
     is classed once and the classes of a column are or-ed together.
     """
     texts: list[Column] = []

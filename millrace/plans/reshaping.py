@@ -139,3 +139,19 @@ def document_schema(spark, sf_dir):
     frame = documents.unpack_documents(packed).drop("chunk")
     numbers = frame.withColumn("balance", F.col("balance").cast("double"))
     return documents.cast_documents(numbers, "n_regionkey", {1: {"balance": int}, 2: {"balance": float}})
+
+
+@query(
+    "rsh_09_document_variant",
+    """SELECT n_regionkey, n_nationkey, c_custkey,
+              CASE n_regionkey WHEN 1 THEN 'BIGINT' WHEN 2 THEN 'STRING' ELSE 'DOUBLE' END AS balance_type,
+              CASE n_regionkey WHEN 1 THEN trunc(c_acctbal) ELSE c_acctbal END AS balance
+       FROM nation JOIN customer ON c_nationkey = n_nationkey""",
+)
+def document_variant(spark, sf_dir):
+    nation = table(spark, sf_dir, "nation").select("n_regionkey", "n_nationkey")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"), F.col("c_acctbal").alias("balance"))
+    packed = materialise(documents.pack_documents(customer.join(nation, "n_nationkey"), "n_regionkey", "c_custkey"), "packed")
+    frame = documents.unpack_documents(packed).drop("chunk")
+    typed = documents.variant_types(documents.variant_documents(frame, "n_regionkey", {1: {"balance": int}, 2: {"balance": str}}), ["balance"])
+    return typed.withColumn("balance", F.variant_get("balance", "$", "double"))

@@ -111,10 +111,13 @@ def read_parquet(
     return df
 
 
+def _listed_partitions(listing: DataFrame) -> list[str]:
+    return [name for name in listing.columns if name not in BINARY_COLUMNS]
+
+
 def path_partitions(spark: SparkSession, path: str) -> list[str]:
     """The partition columns in the folder names below ``path``."""
-    listing = open_files(spark, path, "binaryFile", string_partitions=True)
-    return [name for name in listing.columns if name not in BINARY_COLUMNS]
+    return _listed_partitions(open_files(spark, path, "binaryFile", string_partitions=True))
 
 
 def read_partition_values(spark: SparkSession, path: str, schema: dict | None = None) -> DataFrame:
@@ -125,7 +128,7 @@ def read_partition_values(spark: SparkSession, path: str, schema: dict | None =
     unless ``schema`` casts them.
     """
     listing = open_files(spark, path, "binaryFile", string_partitions=True)
-    keys = path_partitions(spark, path)
+    keys = _listed_partitions(listing)
     if not keys:
         raise ValueError(f"{path} has no partition folders")
     return enforce(listing.select(*keys).distinct(), schema)

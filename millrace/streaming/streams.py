@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.functions.names import unused
 from millrace.operators.logs import log_conditions
 from millrace.sources.files import struct_type
 from millrace.sources.sinks import messages
@@ -52,8 +53,9 @@ def tail_strict(stream: DataFrame, row_id: str, time: str = "timestamp", *, dela
     """
     if isinstance(stream.schema[time].dataType, T.TimestampType):
         return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark([row_id])
-    marked = stream.withColumn("_event_time", F.col(time).cast("timestamp"))
-    return marked.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark([row_id]).drop("_event_time")
+    event_time = unused(stream, "_event_time")[0]
+    marked = stream.withColumn(event_time, F.col(time).cast("timestamp"))
+    return marked.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([row_id]).drop(event_time)
 
 
 def subscribe(stream: DataFrame, condition: str | Column | None = None) -> DataFrame:
