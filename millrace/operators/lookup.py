@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.casts import has_hash
 from millrace.functions.predicates import as_list
+from millrace.session import materialise
 
 # A key is hot from this many rows on; a key outside the HOT_KEYS most
 # frequent ones holds less than 1/HOT_KEYS of the rows.
@@ -158,3 +159,37 @@ def expand_hierarchy(start: DataFrame, levels: list[tuple[DataFrame, str]], righ
     for children, parent_key in levels:
         rows = lookup_join(children, rows, parent_key, "inner", right_is_small, **limits)
     return rows
+
+
+def tree_roots(df: DataFrame, child: str, parent: str, **limits) -> DataFrame:
+    """``df`` with ``root`` and ``depth``: the top of each row's tree, however deep it is.
+
+    Every round doubles the way that a row looks up: from its parent to its
+    parent's parent, to the one four above, and so on, so a tree of depth d
+    takes log d rounds. Rows whose parent is NULL or isn't in the table are
+    roots, of depth 0. A child has one parent: one that occurs twice is an
+    error, and so is a cycle. A NULL child is a root without descendants.
+    Columns ``root`` and ``depth`` of ``df`` are replaced. Popular parents are
+    salted, as ``salted_join`` says, which takes the ``limits``.
+    """
+    ids = df.select(F.col(child).alias("node"), F.col(parent).alias("up"))
+    twice = ids.where(F.col("node").isNotNull()).groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not twice.isEmpty():
+        raise ValueError(f"a {child} has several rows")
+    known = ids.where(F.col("node").isNotNull()).select(F.col("node").alias("up"), F.lit(True).alias("is_known"))
+    rows = lookup_join(ids.where(F.col("node").isNotNull()), known, "up", "left", **limits)
+    up = F.when(F.col("is_known"), F.col("up"))
+    state = materialise(rows.select("node", up.alias("up"), F.coalesce(up, "node").alias("root"), F.when(up.isNull(), 0).otherwise(1).cast("long").alias("depth")), "tree")
+    rounds, most = 0, max(1, state.count()).bit_length() + 1
+    while not (open_ := state.where(F.col("up").isNotNull())).isEmpty():
+        if rounds == most:
+            raise ValueError(f"{child} and {parent} make a cycle")
+        rounds += 1
+        above = state.select(F.col("node").alias("up"), F.col("up").alias("next"), F.col("root").alias("top"), F.col("depth").alias("more"))
+        longer = lookup_join(open_, above, "up", **limits)
+        longer = longer.select("node", F.col("next").alias("up"), F.col("top").alias("root"), (F.col("depth") + F.col("more")).alias("depth"))
+        state = materialise(state.where(F.col("up").isNull()).unionByName(longer), "tree")
+    kept = [c for c in df.columns if c not in ("root", "depth")]
+    found = state.select(F.col("node").alias(child), "root", "depth")
+    joined = df.select(*[F.col(f"`{c}`") for c in kept]).join(found, child, "left")
+    return joined.select(*[F.col(f"`{c}`") for c in kept], "root", F.coalesce("depth", F.lit(0).cast("long")).alias("depth"))

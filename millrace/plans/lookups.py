@@ -207,3 +207,24 @@ def concat(spark, sf_dir):
     suppliers = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("name"), F.col("s_nationkey").alias("nationkey"))
     customers = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nationkey"), F.col("c_name").alias("name"))
     return relation.concat([suppliers, customers])
+
+
+@query(
+    "jn_03_unknown_depth",
+    """WITH RECURSIVE tree AS (
+         SELECT 'r' || r_regionkey AS id, CAST(NULL AS VARCHAR) AS parent FROM region
+         UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation
+         UNION ALL SELECT 'c' || c_custkey, 'n' || c_nationkey FROM customer
+         UNION ALL SELECT 'o' || o_orderkey, 'c' || o_custkey FROM orders
+       ), down AS (
+         SELECT id, id AS root, CAST(0 AS BIGINT) AS depth FROM tree WHERE parent IS NULL
+         UNION ALL SELECT t.id, d.root, d.depth + 1 FROM tree t JOIN down d ON t.parent = d.id
+       ) SELECT id, root, depth FROM down""",
+)
+def unknown_depth(spark, sf_dir):
+    levels = [("region", "r", "r_regionkey", None, None), ("nation", "n", "n_nationkey", "r", "n_regionkey"), ("customer", "c", "c_custkey", "n", "c_nationkey"), ("orders", "o", "o_orderkey", "c", "o_custkey")]
+    tree = relation.concat([
+        table(spark, sf_dir, name).select(F.concat(F.lit(mark), key).alias("id"), (F.concat(F.lit(above), up) if up else F.lit(None).cast("string")).alias("parent"))
+        for name, mark, key, above, up in levels
+    ])
+    return lookup.tree_roots(tree, "id", "parent").select("id", "root", "depth")

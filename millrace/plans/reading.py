@@ -198,7 +198,7 @@ def folder_listing(spark, sf_dir):
 @query(
     "src_13_ingest",
     """SELECT c_custkey, c_mktsegment, label, CAST(weight AS DOUBLE) AS weight FROM customer
-       JOIN (VALUES ('BUILDING', 'b', 1.5), ('MACHINERY', 'm', 2.0), ('HOUSEHOLD', 'h', NULL)) AS s(seg, label, weight)
+       LEFT JOIN (VALUES ('BUILDING', 'b', 1.5), ('MACHINERY', 'm', 2.0), ('HOUSEHOLD', 'h', NULL)) AS s(seg, label, weight)
        ON c_mktsegment = seg""",
 )
 def ingest(spark, sf_dir):
@@ -206,7 +206,7 @@ def ingest(spark, sf_dir):
         spark, {"c_mktsegment": ["BUILDING", "MACHINERY", "HOUSEHOLD"], "label": ["b", "m", "h"], "weight": [1.5, 2.0, None]}
     )
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    return customer.join(segments, "c_mktsegment").select("c_custkey", "c_mktsegment", "label", "weight")
+    return customer.join(segments, "c_mktsegment", "left").select("c_custkey", "c_mktsegment", "label", "weight")
 
 
 @query("prj_01_columns", "SELECT l_orderkey, l_partkey, l_extendedprice FROM lineitem")
@@ -217,3 +217,31 @@ def columns(spark, sf_dir):
 @query("prj_01_all_columns", "SELECT * FROM supplier")
 def all_columns(spark, sf_dir):
     return relation.project(table(spark, sf_dir, "supplier"), "*")
+
+
+def _events_by_day(spark, sf_dir):
+    path = scratch_path(spark, "events.parquet")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    sinks.write_parquet(events, path, partition_by=["event_type", "day"])
+    return files.walk_folders(files.file_inventory(spark, path, "*.parquet"), path)
+
+
+@query(
+    "src_12_walk",
+    """WITH e AS (SELECT DISTINCT event_type, strftime(ts, '%Y-%m-%d') AS day FROM events)
+       SELECT '' AS path, '' AS name, 0 AS depth, true AS has_files UNION ALL
+       SELECT DISTINCT 'event_type=' || event_type, 'event_type=' || event_type, 1, true FROM e UNION ALL
+       SELECT 'event_type=' || event_type || '/day=' || day, 'day=' || day, 2, true FROM e""",
+)
+def walk(spark, sf_dir):
+    return _events_by_day(spark, sf_dir).where("is_dir").select("path", "name", "depth", (F.col("num_files") > 0).alias("has_files"))
+
+
+@query(
+    "src_12_glob",
+    """SELECT DISTINCT 'event_type=' || event_type || '/day=' || strftime(ts, '%Y-%m-%d') AS folder FROM events
+       WHERE event_type LIKE '%r%' AND strftime(ts, '%d') LIKE '1_'""",
+)
+def glob(spark, sf_dir):
+    found = files.glob_paths(_events_by_day(spark, sf_dir).where("NOT is_dir"), "event_type=*r*/**/day=2024-01-1?/*.parquet")
+    return found.select(F.regexp_replace("path", "/[^/]*$", "").alias("folder")).distinct()

@@ -207,3 +207,11 @@ def snapshot(spark, sf_dir):
     changes.delete_rows(spark, name, {"o_orderstatus": "F"})
     changes.update_rows(spark, name, {"o_totalprice": 0.0}, condition="o_custkey < 500")
     return snapshots.read_snapshot(spark, name, "before")
+
+
+@query("snk_09_named_files", "SELECT n_regionkey, n_nationkey, n_name, '0.parquet' AS file FROM nation")
+def named_files(spark, sf_dir):
+    path = scratch_path(spark, "nation.parquet")
+    sinks.write_parquet(table(spark, sf_dir, "nation").coalesce(1), path, partition_by=["n_regionkey"], basename="{i}.parquet")
+    named = files.open_files(spark, path).select("*", F.substring_index(F.col("_metadata.file_path"), "/", -1).alias("file"))
+    return named.select("n_regionkey", "n_nationkey", "n_name", "file")

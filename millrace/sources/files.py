@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
@@ -156,6 +157,49 @@ def list_folder(inventory: DataFrame, root: str) -> DataFrame:
     return entries.groupBy("name", "is_dir").agg(F.sum("length").alias("num_bytes"))
 
 
+def walk_folders(inventory: DataFrame, root: str) -> DataFrame:
+    """``(path, name, depth, is_dir, num_files, num_bytes)``: all that is below ``root``, at every level, and ``root`` itself.
+
+    ``path`` is relative, empty for the root. A folder has the files and bytes
+    of all that is below it. Every file counts once for each of its folders;
+    tasks add up before anything is shuffled, so the root is no hot key.
+    """
+    prefix = root.rstrip("/") + "/"
+    inside = inventory.where(F.col("path").contains(prefix))
+    rest = F.substr("path", F.instr("path", F.lit(prefix)) + len(prefix))
+    parts = inside.select(F.split(rest, "/").alias("parts"), "length")
+    levels = parts.select(F.posexplode(F.transform(F.sequence(F.lit(0), F.size("parts")), lambda n: F.array_join(F.slice("parts", F.lit(1), n), "/"))).alias("depth", "path"), "parts", "length")
+    is_dir = F.col("depth") < F.size("parts")
+    rolled = levels.groupBy("path", "depth", is_dir.alias("is_dir")).agg(F.count(F.lit(1)).alias("num_files"), F.sum("length").alias("num_bytes"))
+    return rolled.select("path", F.substring_index("path", "/", -1).alias("name"), "depth", "is_dir", "num_files", "num_bytes")
+
+
+def glob_pattern(pattern: str) -> str:
+    """A regular expression for a glob: ``*`` and ``?`` stay within a name, ``**`` goes over any number of folders."""
+    found, at = [], 0
+    while at < len(pattern):
+        c = pattern[at]
+        end = pattern.find("]", at + 2) if c == "[" else -1
+        if pattern.startswith("**/", at):
+            found.append("(?:[^/]+/)*")
+            at += 2
+        elif pattern.startswith("**", at):
+            found.append(".*")
+            at += 1
+        elif end > 0:
+            found.append(f"[{'^/' if pattern[at + 1] in '!^' else ''}{re.sub(r'([\\[&~^])', chr(92) * 2 + '1', pattern[at + 1:end].lstrip('!^'))}]")
+            at = end
+        else:
+            found.append({"*": "[^/]*", "?": "[^/]"}.get(c) or (c if c.isalnum() else "\\" + c))
+        at += 1
+    return "^" + "".join(found) + "$"
+
+
+def glob_paths(df: DataFrame, pattern: str, path: str = "path") -> DataFrame:
+    """The rows whose path, relative as ``walk_folders`` gives it, matches a glob."""
+    return df.where(F.col(path).rlike(glob_pattern(pattern)))
+
+
 def ingest_rows(spark: SparkSession, data, schema=None) -> DataFrame:
     """Rows the caller holds: a dict of columns, one dict, a list of dicts or a pandas frame."""
     expected = struct_type(schema)

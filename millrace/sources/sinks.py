@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.predicates import as_list
@@ -10,6 +12,7 @@ from millrace.functions.text import json_payload
 from millrace.operators.relation import project
 from millrace.operators.schema import enforce, storable
 from millrace.sources.files import FILLER
+from millrace.sources.folder import Folder
 from millrace.sources.layout import clustered
 
 
@@ -25,21 +28,60 @@ def partitioned_writer(df: DataFrame, partition_by: list[str], cluster_by: list[
 
 
 def write_parquet(
-    df: DataFrame, path: str, partition_by=None, schema: dict | None = None, cluster_by=None, mode: str = "errorifexists"
+    df: DataFrame, path: str, partition_by=None, schema: dict | None = None, cluster_by=None, mode: str = "errorifexists",
+    basename: str | None = None,
 ) -> None:
     """A Parquet folder, hive-partitioned when ``partition_by`` is given.
 
     Spark needs a data column, so when all columns are partition columns a
-    filler column is added, which reading takes out again.
+    filler column is added, which reading takes out again. ``basename``, such
+    as ``{i}.parquet``, names the files by their number in their folder, once
+    all are written.
     """
+    if basename is not None:
+        _checked(basename)
     df = storable(enforce(df, schema))
     if not partition_by:
         (clustered(df, cluster_by) if cluster_by else df).write.mode(mode).parquet(path)
+        if basename is not None:
+            name_files(df.sparkSession, path, basename)
         return
     keys = as_list(partition_by)
     if set(keys) == set(df.columns):
         df = df.withColumn(FILLER, F.lit(0).cast("bigint"))
     partitioned_writer(df, keys, cluster_by).mode(mode).parquet(path)
+    if basename is not None:
+        name_files(df.sparkSession, path, basename)
+
+
+def _checked(basename: str) -> None:
+    if "/" in basename or basename.startswith(("_", ".")) or basename.format(i=0) == basename.format(i=1):
+        raise ValueError(f"not a template of file names: {basename}")
+
+
+def name_files(spark: SparkSession, path: str, basename: str) -> int:
+    """Name the files that Spark wrote below a folder after a template with their number ``{i}``; how many there were.
+
+    Files number on from those that have such names in their folder, in the
+    order of their tasks. Files with other names than Spark's stay, so this can
+    be run again after it was cut off.
+    """
+    _checked(basename)
+    folder = Folder(spark, path)
+    found: dict[str, list[str]] = {}
+    for file in folder.files():
+        at, _, name = file.rpartition("/")
+        found.setdefault(at, []).append(name)
+    renamed = 0
+    for at, names in found.items():
+        held, i = set(names), 0
+        for name in sorted(n for n in names if re.match("part-[0-9]{5}-[0-9a-f-]{36}", n)):
+            while basename.format(i=i) in held:
+                i += 1
+            held.add(basename.format(i=i))
+            folder.move(f"{at}/{name}".lstrip("/"), f"{at}/{basename.format(i=i)}".lstrip("/"))
+            renamed += 1
+    return renamed
 
 
 def messages(df: DataFrame, columns=None, payload: str | Column | None = None) -> DataFrame:

@@ -3,14 +3,14 @@ import os
 
 import pytest
 from conftest import rows
-from millrace.sources import changes, snapshots, tables
+from millrace.sources import changes, files, folder, sinks, snapshots, tables
 from millrace.sources.layout import RangePartition
 from pyspark.sql import functions as F
 
 
 @pytest.fixture
 def orders(spark, database):
-    """(name, folder) of a table of eight files, keys in order."""
+    """(name, place) of a table of eight files, keys in order."""
     frame = spark.range(80).select(F.col("id").alias("k"), (F.col("id") % 10).alias("v"), F.concat(F.lit("n"), "id").alias("name"))
     name = f"{database}.orders"
     frame.repartitionByRange(8, "k").write.saveAsTable(name)
@@ -22,12 +22,12 @@ def names(folder):
 
 
 def test_delete_rewrites_touched_files_only(spark, orders):
-    name, folder = orders
-    before = names(folder)
+    name, place = orders
+    before = names(place)
     done = changes.delete_rows(spark, name, [("k", ">=", 15), ("k", "<", 25)])
-    assert (done.rows, done.inserted) == (10, 0) and done.files == len(before - names(folder)) < 4
+    assert (done.rows, done.inserted) == (10, 0) and done.files == len(before - names(place)) < 4
     assert rows(spark.table(name).select("k")) == sorted([(k,) for k in range(80) if not 15 <= k < 25], key=repr)
-    untouched = before & names(folder)
+    untouched = before & names(place)
     assert len(untouched) == len(before) - done.files
     assert changes.delete_rows(spark, name, condition="k = 1000") == changes.Change(0, 0, 0)
     changes.delete_rows(spark, name, condition="k < 80")
@@ -37,24 +37,24 @@ def test_delete_rewrites_touched_files_only(spark, orders):
 
 
 def test_update_uses_old_values_and_leaves_nulls(spark, orders):
-    name, folder = orders
+    name, place = orders
     changes.update_rows(spark, name, {"name": None}, condition="k = 3")
-    before = names(folder)
+    before = names(place)
     done = changes.update_rows(spark, name, {"v": F.col("v") + F.col("k"), "NAME": "x"}, condition="name LIKE 'n7%'")
     assert done.rows == 11
     want = [(k, k % 10 + k if str(k)[0] == "7" else k % 10, "x" if str(k)[0] == "7" else None if k == 3 else f"n{k}") for k in range(80)]
     assert rows(spark.table(name)) == sorted(want, key=repr)
-    assert len(before & names(folder)) >= 5
+    assert len(before & names(place)) >= 5
     with pytest.raises(ValueError):
         changes.update_rows(spark, name, {"no": 1})
 
 
 def test_merge(spark, orders):
-    name, folder = orders
-    before = names(folder)
+    name, place = orders
+    before = names(place)
     source = spark.createDataFrame([(5, "five"), (6, None), (200, "new"), (None, "none")], "k long, name string")
     done = changes.merge_rows(source, name, "k")
-    assert (done.rows, done.inserted, done.files) == (2, 2, 1) and len(before & names(folder)) == 7
+    assert (done.rows, done.inserted, done.files) == (2, 2, 1) and len(before & names(place)) == 7
     got = {r["k"]: (r["v"], r["name"]) for r in spark.table(name).collect()}
     assert got[5] == (5, "five") and got[6] == (6, None) and got[200] == (None, "new") and got[None] == (None, "none") and len(got) == 82
     changes.merge_rows(source, name, "k", matched={"v": F.col("target.v") * 100 + F.length("source.name")}, unmatched="skip")
@@ -72,14 +72,14 @@ def test_partitions_follow_the_values(spark, database):
     name = f"{database}.parts"
     frame = spark.createDataFrame([(k, f"p/{k % 3}", "a b") for k in range(30)], "k long, part string, other string")
     tables.write_table(frame, name, partition_by=["part", "other"])
-    folder = changes.table_location(spark, name).removeprefix("file:")
-    before = names(folder)
+    place = changes.table_location(spark, name).removeprefix("file:")
+    before = names(place)
     changes.update_rows(spark, name, {"part": "q=1"}, condition="k < 3 AND part = 'p/1'")
     changes.delete_rows(spark, name, {"part": "p/2"})
     want = [(k, "q=1" if k == 1 else f"p/{k % 3}", "a b") for k in range(30) if k % 3 != 2]
     assert rows(spark.table(name).select("k", "part", "other")) == sorted(want, key=repr)
     assert rows(tables.table_partitions(spark, name).filter("part LIKE 'q%'")) == [("q=1", "a b")]
-    assert before & names(folder)
+    assert before & names(place)
 
 
 def test_derived_partitions_follow_the_source_column(spark, database):
@@ -94,14 +94,14 @@ def test_derived_partitions_follow_the_source_column(spark, database):
 
 def test_swap_that_was_cut_off_is_finished(spark, orders, monkeypatch):
     name, _ = orders
-    moved = changes.Folder.move
+    moved = folder.Folder.move
 
     def failing(self, source, target):
         if source.startswith(changes.STAGED):
             raise OSError("lost")
         moved(self, source, target)
 
-    monkeypatch.setattr(changes.Folder, "move", failing)
+    monkeypatch.setattr(folder.Folder, "move", failing)
     with pytest.raises(OSError):
         changes.delete_rows(spark, name, condition="k = 7")
     monkeypatch.undo()
@@ -119,7 +119,7 @@ def test_change_by_someone_else_is_noticed(spark, orders):
 
 
 def test_snapshots_outlive_changes(spark, orders):
-    name, folder = orders
+    name, place = orders
     first = rows(spark.table(name))
     assert snapshots.take_snapshot(spark, name, "first") == 8
     changes.delete_rows(spark, name, condition="k < 20")
@@ -165,3 +165,18 @@ def test_copies_carry_properties_and_clustering(spark, database):
     tables.copy_table(spark, name, copy)
     found = tables.table_properties(spark, copy)
     assert found["team"] == "it's \\ us" and found["millrace.note"] == "n" and json.loads(found[tables.CLUSTER_PROPERTY]) == ["v"]
+
+
+def test_files_get_names(spark, scratch):
+    frame = spark.createDataFrame([(k, k % 3, f"p/{k % 2}") for k in range(30)], "v long, a long, b string").repartition(5)
+    path = scratch("named.parquet")
+    sinks.write_parquet(frame, path, partition_by=["a", "b"], basename="{i}.parquet")
+    local = path.removeprefix("file:")
+    assert {"a=1/b=p%2F0/0.parquet", "a=2/b=p%2F1/0.parquet"} <= names(local) and all(n.rpartition("/")[2][0].isdigit() for n in names(local))
+    assert rows(files.read_parquet(spark, path).select("v", "a", "b")) == rows(frame)
+    assert sinks.name_files(spark, path, "{i}.parquet") == 0
+    plain = scratch("plain.parquet")
+    sinks.write_parquet(frame, plain, basename="part-{i:03}.parquet")
+    assert names(plain.removeprefix("file:")) == {f"part-{i:03}.parquet" for i in range(5)}
+    with pytest.raises(ValueError):
+        sinks.write_parquet(frame, scratch("x.parquet"), basename="same.parquet")
