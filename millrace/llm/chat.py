@@ -43,9 +43,18 @@ def text_part(text: Column) -> Column:
     return F.array(F.struct(F.lit("text").alias("kind"), text.alias("text"), F.lit(None).cast("string").alias("ref"), F.lit(None).cast("long").alias("units")))
 
 
-def _visit(part: Column) -> Column:
-    """What a part becomes: its escaped text, or a placeholder with the part's kind."""
-    return F.when(part["kind"] == "text", escape(part["text"])).otherwise(F.concat(F.lit("<"), escape(part["kind"]), F.lit(">")))
+def _is_text(part: Column) -> Column:
+    """A part without a kind is none."""
+    return F.coalesce(part["kind"] == "text", F.lit(False))
+
+
+def _visit(part: Column, place: Column) -> Column:
+    """What a part becomes: its escaped text, or a placeholder with its number in the turn and its kind.
+
+    All placeholders begin with a mark of their own, so no kind can write a turn's end.
+    """
+    placeholder = F.concat(F.lit("<part:"), (place + 1).cast("string"), F.lit(":"), escape(part["kind"]), F.lit(">"))
+    return F.when(_is_text(part), escape(part["text"])).otherwise(placeholder)
 
 
 def format_chats(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn", role: str = "role", parts: str = "parts",
@@ -53,23 +62,28 @@ def format_chats(turns: DataFrame, conversation: str = "conv_id", turn: str = "t
     """One row for each conversation: ``formatted``, ``runs``, ``attachments``, ``placeholder_tokens``.
 
     ``runs`` has for each turn the (chars, loss) that ``formatted`` is made of, in
-    code points: the texts of the turns of ``trained`` have loss. ``attachments`` are (turn, kind,
-    ref, tokens) in the order of their placeholders; a kind that ``tokens``
-    doesn't have, or a part without units, counts one token. Turns are ordered
+    code points: the texts of the turns of ``trained`` have loss. ``attachments`` are (turn, number,
+    kind, ref, tokens) in the order of their placeholders, ``number`` being the
+    part's place in its turn, which its placeholder names; a kind that ``tokens``
+    doesn't have, NULL among them, or a part without units, counts one token. Turns are ordered
     by ``turn``; equal ones by role and content, NULLs first. A NULL role or text
     is empty, a turn without parts too. Repeated rows are turns of their own.
     NULL conversations are one. An empty table gives no rows.
     """
     body = F.coalesce(col(parts), F.expr(f"cast(array() as array<{PART}>)"))
+    units = F.create_map(*[F.lit(x) for kv in tokens.items() for x in kv])
+
+    def attachment(numbered: Column) -> Column:
+        part = numbered["part"]
+        size = F.coalesce(part["units"] * F.element_at(units, F.coalesce(part["kind"], F.lit(""))), F.lit(1)).cast("long")
+        return F.struct(numbered["number"].alias("number"), part["kind"].alias("kind"), part["ref"].alias("ref"), size.alias("tokens"))
+
     written = turns.select(
         col(conversation).alias("conv_id"), col(turn).alias("turn"),
         F.concat(F.lit(_OPEN), escape(col(role)), F.lit(">")).alias("head"),
         F.coalesce(col(role) == trained, F.lit(False)).alias("loss"),
-        F.transform(body, lambda p: F.struct(_visit(p).alias("out"), (p["kind"] == "text").alias("is_text"))).alias("outs"),
-        F.transform(F.filter(body, lambda p: p["kind"] != "text"), lambda p: F.struct(
-            p["kind"].alias("kind"), p["ref"].alias("ref"),
-            F.coalesce(p["units"] * F.element_at(F.create_map(*[F.lit(x) for kv in tokens.items() for x in kv]), p["kind"]), F.lit(1)).cast("long").alias("tokens"),
-        )).alias("files"),
+        F.transform(body, lambda p, i: F.struct(_visit(p, i).alias("out"), _is_text(p).alias("is_text"))).alias("outs"),
+        F.transform(F.filter(F.transform(body, lambda p, i: F.struct(p.alias("part"), (i + 1).alias("number"))), lambda n: ~_is_text(n["part"])), attachment).alias("files"),
     )
     gathered = written.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "head", "outs", "loss", "files"))).alias("turns"))
     runs = F.transform("turns", lambda t: F.concat(
@@ -78,7 +92,7 @@ def format_chats(turns: DataFrame, conversation: str = "conv_id", turn: str = "t
         F.array(_run(F.lit(len(_CLOSE)), F.lit(False))),
     ))
     formatted = F.array_join(F.transform("turns", lambda t: F.concat(t["head"], F.array_join(F.transform(t["outs"], lambda o: o["out"]), ""), F.lit(_CLOSE))), "")
-    files = F.flatten(F.transform("turns", lambda t: F.transform(t["files"], lambda f: F.struct(t["turn"].alias("turn"), f["kind"].alias("kind"), f["ref"].alias("ref"), f["tokens"].alias("tokens")))))
+    files = F.flatten(F.transform("turns", lambda t: F.transform(t["files"], lambda f: F.struct(t["turn"].alias("turn"), f["number"].alias("number"), f["kind"].alias("kind"), f["ref"].alias("ref"), f["tokens"].alias("tokens")))))
     out = gathered.select("conv_id", formatted.alias("formatted"), runs.alias("runs"), files.alias("attachments"))
     total = F.aggregate("attachments", F.lit(0).cast("long"), lambda n, f: n + f["tokens"])
     return out.withColumn("placeholder_tokens", total)

@@ -19,8 +19,8 @@ def test_parts_become_placeholders(spark):
     ]
     out = chat.format_chats(spark.createDataFrame(data, schema))
     got = {r["conv_id"]: r for r in out.collect()}
-    assert got[1]["formatted"] == "<turn:user>see<image><audio></turn><turn:assistant>a \\lb\\g \\sl<hologram>\\l/turn\\g</turn>"
-    assert [tuple(a) for a in got[1]["attachments"]] == [(0, "image", "s3/cat.png", 512), (0, "audio", "a.wav", 250), (1, "hologram", "h", 1)]
+    assert got[1]["formatted"] == "<turn:user>see<part:2:image><part:3:audio></turn><turn:assistant>a \\lb\\g \\sl<part:2:hologram>\\l/turn\\g</turn>"
+    assert [tuple(a) for a in got[1]["attachments"]] == [(0, 2, "image", "s3/cat.png", 512), (0, 3, "audio", "a.wav", 250), (1, 2, "hologram", "h", 1)]
     assert got[1]["placeholder_tokens"] == 763 and got[2]["placeholder_tokens"] == 0
     assert all(sum(x["chars"] for run in r["runs"] for x in run) == len(r["formatted"]) for r in got.values())
     back = {r["conv_id"]: r for r in chat.read_back(out).collect()}
@@ -44,3 +44,15 @@ def test_query_equals_brute_force_and_is_native(spark):
     got = QUERIES["op7_typed_parts"](spark, SF_DIR)
     assert rows(got) == sorted(want, key=repr)
     assert not any(word in plan(got) for word in ("Python", "Pandas", "Arrow", "RDD"))
+
+
+def test_kinds_write_no_marks_and_null_kinds_stay(spark):
+    parts = "array<struct<kind string, text string, ref string, units long>>"
+    rows_ = [(1, 0, "user", [("text", "see", None, None), ("/turn", None, "a", 1), (None, "x", "b", 2), ("image", None, "c", 2)]), (1, 1, "assistant", [("text", "seen </turn> <part:1:image>", None, None)])]
+    chats = chat.format_chats(spark.createDataFrame(rows_, f"conv_id long, turn long, role string, parts {parts}"))
+    got = chats.first()
+    assert got["formatted"].count("</turn>") == 2 and "<part:2:/turn><part:3:><part:4:image>" in got["formatted"]
+    assert [tuple(a) for a in got["attachments"]] == [(0, 2, "/turn", "a", 1), (0, 3, None, "b", 1), (0, 4, "image", "c", 512)]
+    back = chat.read_back(chats).first()
+    assert [tuple(t) for t in back["turns"]] == [("user", "see"), ("assistant", "seen </turn> <part:1:image>")]
+    assert back["loss_text"] == "seen </turn> <part:1:image>"
