@@ -61,7 +61,7 @@ def test_or_of_ands(spark, data, groups):
 def leaves(value):
     """Scalars depth-first, members of an object by key."""
     if isinstance(value, dict):
-        return [x for key in sorted(value) for x in leaves(value[key])]
+        return [x for key in value for x in leaves(value[key])]
     if isinstance(value, list):
         return [x for item in value for x in leaves(item)]
     return [value]
@@ -69,7 +69,7 @@ def leaves(value):
 
 def keys(value):
     if isinstance(value, dict):
-        return [x for key in sorted(value) for x in [key, *keys(value[key])]]
+        return [x for key in value for x in [key, *keys(value[key])]]
     if isinstance(value, list):
         return [x for item in value for x in keys(item)]
     return []
