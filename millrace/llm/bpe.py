@@ -14,6 +14,7 @@ import json
 import re
 from array import array
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,21 @@ _BLANK = "\t-\r \x85\xa0  -     　"
 _CHUNK = re.compile(f"[{_BLANK}]+(?=[{_BLANK}][^{_BLANK}])|[{_BLANK}]?[^{_BLANK}]+|[{_BLANK}]+")
 #: Fixed value: the split pattern of byte-level tokenizers.
 _BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Letters, digits and blanks among the settled code points.
+_LETTERS, _DIGITS, _BLANKS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾", r"\t-\r "
+
+
+def settled_pattern(pattern: str) -> re.Pattern:
+    """A split pattern that does the same to texts of settled code points, without properties, which are slow.
+
+    Words come first: the contractions before them begin with another character.
+    """
+    kinds = {r"[\p{L}]": f"[{_LETTERS}]", r"\p{L}": f"[{_LETTERS}]", r"[\p{N}]": f"[{_DIGITS}]", r"\p{N}": f"[{_DIGITS}]", r"\s": f"[{_BLANKS}]", r"\S": f"[^{_BLANKS}]"}
+    pattern = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{_BLANKS}{_LETTERS}{_DIGITS}]")
+    for long, short in kinds.items():
+        pattern = pattern.replace(long, short)
+    contractions, words, *rest = re.fullmatch(r"((?:'[a-z]+\|)+)([^|]+)\|(.*)", pattern).groups()
+    return re.compile("|".join([words, contractions[:-1], *rest]))
 
 
 def byte_symbols() -> list[str]:
@@ -165,11 +181,13 @@ class Merges:
             node = nodes[shared]
             for end in range(shared + 1, len(word) + 1):
                 c = word[end - 1]
-                while c not in step[node]:
+                below = step[node].get(c)
+                while below is None:
                     if not node:
                         raise ValueError(f"no token has the symbol {c!r}")
                     node = shorter[node]
-                node = step[node][c]
+                    below = step[node].get(c)
+                node = below
                 for token, size in ending[node]:
                     if size == end:
                         break
@@ -235,7 +253,8 @@ class Encoder:
         self.lower = any(n["type"] == "Lowercase" for n in (spec["normalizer"] or {}).get("normalizers", []))
         #: Blanks are dropped by the pre-tokenizer.
         self.drops_blanks = bool(split)
-        self.split = regex.compile(split[0]["pattern"]["Regex"] if split else _BYTE_LEVEL).findall
+        pattern = split[0]["pattern"]["Regex"] if split else _BYTE_LEVEL
+        self.split, self.settled_split = regex.compile(pattern).findall, settled_pattern(pattern).findall
         self.cache: dict[str, bytes] = dict(self.special)
         self.older: dict[str, bytes] = {}
 
@@ -262,32 +281,23 @@ class Encoder:
             found = [w[:-1] + chr(ord(w[-1]) + Merges.ENDING) for w in found]
         return found
 
-    def _learn(self, chunks) -> None:
-        """Put the chunks' ids in the cache."""
-        split, plain, words, cache = {}, [], set(), self.cache
-        for chunk in chunks:
-            if self.drops_blanks:
-                # Nearly all chunks are a word, perhaps with a full stop or comma, whose bare form may be known.
-                body, stop = chunk.lower(), ""
-                if body[-1:] in (".", ","):
-                    body, stop = body[:-1], body[-1]
-                if body.isalpha() and _SETTLED.fullmatch(body):
-                    plain.append((chunk, body, stop))
-                    if body not in cache:
-                        words.add(self._symbols(body))
-                    continue
-            split[chunk] = self.words(chunk)
-            words.update(split[chunk])
-        if plain:
-            words.update(map(self._symbols, ".,"))
-        ids = self.merges.encode_words(words)
-        for chunk, body, stop in plain:
-            known = cache.get(body)
-            if known is None:
-                known = cache[body] = ids[self._symbols(body)]
-            cache[chunk] = known + ids[self._symbols(stop)] if stop else known
+    def _pieces(self, text: str, words: list[list[str]], chunks: list[list[str]]) -> list[str]:
+        """What of a text without special tokens is looked up: its words if all characters are settled, else its chunks."""
+        small = text.lower() if self.lower else text
+        if _SETTLED.fullmatch(text) and (small is text or _SETTLED.fullmatch(small)):
+            words.append(self.settled_split(small))
+            return words[-1]
+        chunks.append(self.chunks(text))
+        return chunks[-1]
+
+    def _learn(self, plain: set[str], chunks: set[str]) -> None:
+        """Put the ids of words of settled characters, and of chunks, in the cache."""
+        symbols = dict(zip(plain, map(self._symbols, plain)))
+        split = {chunk: self.words(chunk) for chunk in chunks}
+        ids = self.merges.encode_words({*symbols.values(), *chain.from_iterable(split.values())})
+        self.cache.update(zip(symbols, map(ids.__getitem__, symbols.values())))
         for chunk, words in split.items():
-            cache[chunk] = b"".join([ids[w] for w in words])
+            self.cache[chunk] = b"".join([ids[w] for w in words])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as unsigned 32-bit numbers; none for NULL."""
@@ -297,26 +307,28 @@ class Encoder:
             while end < len(texts) and (end == begin or chars < BATCH_CHARS):
                 chars += len(texts[end] or "")
                 end += 1
-            cut = []
+            cut, words, chunks = [], [], []
             for text in texts[begin:end]:
                 text, pieces, at = text or "", [], 0
                 for m in self.specials.finditer(text) if self.specials else ():
-                    pieces += [*self.chunks(text[at:m.start()]), m[0]]
+                    pieces += [*self._pieces(text[at:m.start()], words, chunks), m[0]]
                     at = m.end()
-                cut.append(pieces + self.chunks(text[at:] if at else text))
-            new = set().union(*cut) - self.cache.keys()
+                cut.append(pieces + self._pieces(text[at:], words, chunks) if at else self._pieces(text, words, chunks))
+            plain, mixed = set().union(*words), set().union(*chunks)
+            mixed -= plain
+            new = (plain | mixed) - self.cache.keys()
             if len(self.cache) + len(new) > CACHE_CHUNKS:
                 self.cache, self.older = dict(self.special), self.cache
-                new = set().union(*cut) - self.special.keys()
+                new = (plain | mixed) - self.special.keys()
             known = self.older.keys() & new
             self.cache.update({c: self.older[c] for c in known})
             new -= known
-            self._learn(new)
+            self._learn(new & plain, new & mixed)
             get = self.cache.__getitem__
             found += [b"".join(map(get, pieces)) for pieces in cut]
-            for chunk in new:
-                if len(chunk) > _LONG_CHUNK:
-                    del self.cache[chunk]
+            for piece in new:
+                if len(piece) > _LONG_CHUNK:
+                    del self.cache[piece]
             begin = end
         return found
 
