@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.plans.registry import query, scratch_database, table
 from millrace.session import scratch_path
-from millrace.sources import files
+from millrace.sources import files, tables
 from millrace.streaming import streams
 
 
@@ -45,6 +45,34 @@ def tail_strict(spark, sf_dir):
     return _finish(streams.tail_strict(stream, "event_id", "ts", delay=streams.LATENCY), spark)
 
 
+@query(
+    "str_01_poll_table",
+    """SELECT event_id, ts AS timestamp, event_type AS severity, props AS message FROM events
+       WHERE event_type = 'error' AND ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20'""",
+)
+def poll_table(spark, sf_dir):
+    name, path = f"{scratch_database(spark)}.entries", scratch_path(spark, "polled")
+    entries = table(spark, sf_dir, "events").select("event_id", F.col("ts").alias("timestamp"), F.col("event_type").alias("severity"), F.col("props").alias("message"))
+    tables.write_table(entries, name, time_partition="timestamp")
+    checkpoint, start = scratch_path(spark, "checkpoint"), dt.datetime(2024, 1, 10)
+    for end in (dt.datetime(2024, 1, 15), dt.datetime(2024, 1, 20)):
+        streams.poll_table(spark, name, path, checkpoint, severity="error", time_start=start, time_end=end, once=True).awaitTermination()
+    return spark.read.schema(entries.schema).parquet(f"{path}/batch=*")
+
+
+@query("str_02_late_rows", "SELECT event_id, ts, user_id, ts < TIMESTAMP '2024-01-10' AS late FROM events")
+def late_rows(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    folder, path, cut = scratch_path(spark, "arriving"), scratch_path(spark, "split"), F.lit(dt.datetime(2024, 1, 10))
+    # The first days arrive last.
+    for part in (events.where(F.col("ts") >= cut), events.where(F.col("ts") < cut)):
+        part.write.mode("append").parquet(folder)
+        stream = streams.open_stream(spark, folder, events.schema)
+        streams.split_late(stream, "event_id", path, f"{path}/checkpoint", "ts", delay=streams.LATENCY, once=True).awaitTermination()
+    sides = [spark.read.schema(events.schema).parquet(f"{path}/{side}/batch=*").withColumn("late", F.lit(side == streams.LATE)) for side in (streams.ON_TIME, streams.LATE)]
+    return sides[0].union(sides[1])
+
+
 @query("str_03_subscription_filter", "SELECT event_id, user_id, value FROM events WHERE event_type = 'signup' AND value > 3.0")
 def subscription_filter(spark, sf_dir):
     stream = streams.subscribe(event_stream(spark, sf_dir), "event_type = 'signup' AND value > 3.0")

@@ -93,3 +93,48 @@ def test_a_running_stream_polls_for_new_files(spark, pairs, scratch):
 
 def test_sources_with_a_schema_of_their_own(spark):
     assert S.open_stream(spark, fmt="rate", rowsPerSecond=1).columns == ["timestamp", "value"]
+
+
+def test_late_rows_go_to_a_sink_of_their_own(spark, log_files, scratch):
+    folder, entries = log_files
+    path, checkpoint = scratch("split"), scratch("checkpoint")
+
+    def run():
+        stream = S.open_stream(spark, folder, SCHEMA, files_per_batch=1)
+        S.split_late(stream, "id", path, checkpoint, delay=S.LATENCY, once=True).awaitTermination()
+
+    run()
+    on_time, late = (spark.read.schema(SCHEMA).parquet(f"{path}/{name}/batch=*") for name in (S.ON_TIME, S.LATE))
+    assert rows(on_time.union(late)) == rows(entries)
+    assert rows(late) == rows(entries.where("id < 200"))  # the last file is older than all before
+    entries.where("id >= 595").coalesce(1).write.mode("append").parquet(folder)  # again, within the delay
+    run()
+    on_time, late = (spark.read.schema(SCHEMA).parquet(f"{path}/{name}/batch=*") for name in (S.ON_TIME, S.LATE))
+    assert rows(on_time) == rows(entries.where("id >= 200")) and rows(late) == rows(entries.where("id < 200"))
+
+
+def test_splitting_keeps_rows_without_a_time_and_takes_an_empty_stream(spark, scratch):
+    folder, path = scratch("in"), scratch("split")
+    spark.createDataFrame([(1, None, None, "a"), (1, None, None, "a"), (2, None, "error", None)], SCHEMA).coalesce(1).write.parquet(folder)
+    S.split_late(S.open_stream(spark, folder, SCHEMA), "id", path, scratch("checkpoint"), delay="1 day", once=True).awaitTermination()
+    assert rows(spark.read.parquet(f"{path}/{S.ON_TIME}").select("id")) == [(1,), (2,)]
+    assert spark.read.schema(SCHEMA).parquet(f"{path}/{S.LATE}/batch=*").isEmpty()
+
+
+def test_a_poll_goes_on_at_the_end_of_the_last_window(spark, log_files, scratch, database):
+    _, entries = log_files
+    name, path, checkpoint = f"{database}.entries", scratch("polled"), scratch("checkpoint")
+    entries.where("id < 300").write.saveAsTable(name)
+    start = dt.datetime(2024, 1, 1)
+
+    def poll(seconds, **options):
+        end = start + dt.timedelta(seconds=seconds)
+        S.poll_table(spark, name, path, checkpoint, time_start=start + dt.timedelta(seconds=100), time_end=end, once=True, **options).awaitTermination()
+        return rows(spark.read.schema(SCHEMA).parquet(f"{path}/batch=*"))
+
+    assert poll(200) == rows(entries.where("id between 100 and 199"))
+    assert poll(200) == rows(entries.where("id between 100 and 199"))  # nothing new
+    entries.where("id >= 300").write.insertInto(name)
+    assert poll(400, severity="error") == rows(entries.where("id between 100 and 199 or (id between 200 and 399 and severity = 'error')"))
+    with pytest.raises(Exception, match="went back"):
+        poll(300)
