@@ -230,16 +230,20 @@ def commonprefix(a: str, b: str) -> str:
 
 
 class Encoder:
-    """A tokenizer file of the byte-level BPE kind, with texts in and ids out as its library does."""
+    """A tokenizer file of the byte-level BPE kind, with texts in and ids out as its library does.
 
-    def __init__(self, path: str):
+    New words are encoded by the trie, or without ``trie`` by the library's own merging.
+    """
+
+    def __init__(self, path: str, trie: bool = True):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
         model, before = spec["model"], spec["pre_tokenizer"]
-        self.merges = Merges(model["vocab"], model["merges"], model.get("end_of_word_suffix") or "")
+        self.suffix = model.get("end_of_word_suffix") or ""
+        self.merges = Merges(model["vocab"], model["merges"], self.suffix) if trie else None
         self.special = {t["content"]: array("I", [t["id"]]).tobytes() for t in spec["added_tokens"]}
         self.specials = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         symbols = byte_symbols()
@@ -268,7 +272,11 @@ class Encoder:
             word = word.replace(" ", self.blank)
         else:
             word = word.encode().decode("latin-1").translate(self.symbols)
-        return word[:-1] + chr(ord(word[-1]) + Merges.ENDING) if self.merges.suffix else word
+        return self._ended(word)
+
+    def _ended(self, word: str) -> str:
+        """A pre-token with its end marked where the trie's tokenizer marks ends; the library does so itself."""
+        return word[:-1] + chr(ord(word[-1]) + Merges.ENDING) if self.suffix and self.merges else word
 
     def words(self, chunk: str) -> list[str]:
         """The pre-tokens of a chunk, in byte symbols."""
@@ -276,10 +284,14 @@ class Encoder:
             return list(map(self._symbols, self.split(chunk.lower() if self.lower else chunk)))
         if self.library.normalizer is not None:
             chunk = self.library.normalizer.normalize_str(chunk)
-        found = [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(chunk)]
-        if self.merges.suffix:
-            found = [w[:-1] + chr(ord(w[-1]) + Merges.ENDING) for w in found]
-        return found
+        return [self._ended(w) for w, _ in self.library.pre_tokenizer.pre_tokenize_str(chunk)]
+
+    def _encode_words(self, words: set[str]) -> dict[str, bytes]:
+        """Every distinct pre-token's ids."""
+        if self.merges:
+            return self.merges.encode_words(words)
+        tokens = self.library.model.tokenize
+        return {w: array("I", [t.id for t in tokens(w)]).tobytes() for w in words}
 
     def _pieces(self, text: str, words: list[list[str]], chunks: list[list[str]]) -> list[str]:
         """What of a text without special tokens is looked up: its words if all characters are settled, else its chunks."""
@@ -294,7 +306,7 @@ class Encoder:
         """Put the ids of words of settled characters, and of chunks, in the cache."""
         symbols = dict(zip(plain, map(self._symbols, plain)))
         split = {chunk: self.words(chunk) for chunk in chunks}
-        ids = self.merges.encode_words({*symbols.values(), *chain.from_iterable(split.values())})
+        ids = self._encode_words({*symbols.values(), *chain.from_iterable(split.values())})
         self.cache.update(zip(symbols, map(ids.__getitem__, symbols.values())))
         for chunk, words in split.items():
             self.cache[chunk] = b"".join([ids[w] for w in words])
@@ -335,16 +347,17 @@ class Encoder:
     def forget(self) -> None:
         """Let go of all that was remembered of texts; it is found anew when needed."""
         self.cache, self.older = dict(self.special), {}
-        self.merges.forget()
+        if self.merges:
+            self.merges.forget()
 
     def decode(self, ids) -> str:
         return b"".join(map(self.token_bytes.__getitem__, ids)).decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, trie: bool = True) -> Encoder:
     """The worker's encoder for a file; it lives as long as the worker."""
-    return Encoder(path)
+    return Encoder(path, trie)
 
 
 def encode(text: Column, path: str) -> Column:

@@ -128,7 +128,7 @@ def cut(df: DataFrame, path: str, text: str = "text", columns: list[str] | None
     end = np.array([end_id], "<u4").tobytes()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        engine, part, seen = encoder(path), TaskContext.get().partitionId(), np.zeros(window + 1, np.int64)
+        engine, part, seen = encoder(path, trie=False), TaskContext.get().partitionId(), np.zeros(window + 1, np.int64)
         for whole in batches:
             sizes = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(whole[body]), 0).to_numpy(zero_copy_only=False))
             begin = 0

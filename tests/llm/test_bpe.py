@@ -18,10 +18,11 @@ ODD = [
 ]
 
 
+@pytest.mark.parametrize("trie", [True, False])
 @pytest.mark.parametrize("file", FILES)
-def test_ids_equal_the_library(file):
+def test_ids_equal_the_library(file, trie):
     path = public_tokenizers.path(file)
-    library, own = Tokenizer.from_file(path), bpe.encoder(path)
+    library, own = Tokenizer.from_file(path), bpe.encoder(path, trie)
     random.seed(5)
     texts = ODD + ["".join(random.choice("abcdefgh  \n\t'.,!é中\U0001f600́\x1c\xa0019_<|>") for _ in range(random.randint(1, 60))) for _ in range(1500)]
     texts += ["".join(random.choice("etaoin shrdlu") for _ in range(random.randint(1, 80))) for _ in range(1500)]
