@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm.licences import KNOWN, SPELLINGS
+from millrace.llm.licences import DIGESTS, KNOWN, SPELLINGS
 
 OP3 = """
 WITH p AS (
@@ -58,6 +58,7 @@ def _op8() -> str:
     for a, b in SPELLINGS:
         spelt = f"replace({spelt}, ' {a} ', ' {b} ')"
     known = ", ".join(f"({n}, {_text(name)}, {_text(text)})" for n, (name, text) in enumerate(KNOWN))
+    more = ", ".join(f"({len(KNOWN) + n}, {_text(name)}, {_text(value)})" for n, (name, value) in enumerate(DIGESTS))
     capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     return rf"""
 WITH given AS (SELECT * FROM (VALUES {known}) AS k(place, licence, text)),
@@ -72,14 +73,17 @@ texts AS (
   FROM texts
 ), kept AS (
   SELECT kind, id, doc_id, raw, trim(line, ' ') AS line FROM cut
-  WHERE trim(line, ' ') <> '' AND NOT regexp_matches(trim(line, ' '), '^(copyright (copyright|[0-9]{{4}})|all rights reserved$)')
+  WHERE trim(line, ' ') <> '' AND NOT regexp_matches(trim(line, ' '), '^(copyright (copyright|[0-9]{{4}})|copyright( [^ ]+){{1,8}} [12][0-9]{{3}}( present)?$|all rights reserved$)')
 ), spelt AS (
   SELECT kind, id, doc_id, row_number() OVER (PARTITION BY kind, id ORDER BY raw) AS line_no, trim({spelt}, ' ') AS line FROM kept
 ), whole AS (
   SELECT t.kind, t.id, t.doc_id, sha256(coalesce(string_agg(line, ' ' ORDER BY line_no), '')) AS digest
   FROM texts t LEFT JOIN spelt s ON t.kind = s.kind AND t.id = s.id GROUP BY t.kind, t.id, t.doc_id
 ), known AS (
-  SELECT digest AS known_digest, min_by(licence, place) AS licence FROM whole JOIN given ON kind = 2 AND id = place GROUP BY digest
+  SELECT digest AS known_digest, min_by(licence, place) AS licence FROM (
+    SELECT digest, licence, place FROM whole JOIN given ON kind = 2 AND id = place
+    UNION ALL SELECT digest, licence, place FROM (VALUES {more}) AS k(place, licence, digest)
+  ) GROUP BY digest
 )
 SELECT doc_id, 'text' AS unit, CAST(0 AS INTEGER) AS line, digest, licence FROM whole LEFT JOIN known ON digest = known_digest WHERE kind = 1
 UNION ALL
