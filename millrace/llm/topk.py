@@ -1,13 +1,15 @@
 """Exact top-k inner products in three phases with a uniform threshold.
 
-A vector's dimensions are dealt to nodes, so a score is a sum of one part from
-each node. First every node lists each query's best parts; the k-th best whole
-score among the listed vectors is a floor for the query. A vector that makes
+A vector's dimensions are dealt to nodes, rows that hold their own slice of the
+vectors and see no other, so a score is a sum of one part from each node. First
+every node lists each query's best parts; the few vectors listed are scored
+whole, and the k-th best score is a floor for the query. A vector that makes
 the top k has a part of at least floor / nodes at some node: second, every node
 lists the parts from that cutoff on. Parts that are missing are below the
-cutoff, which bounds the whole score from above; third, what the bound leaves
-is resolved exactly. Equal vectors are one, with their smallest ids. Vectors are
-met in blocks, never pair by pair in a join.
+cutoff, which bounds the whole score from above; third, nodes look up the parts
+that are missing of what the bound leaves. Equal vectors are one, with their
+smallest ids. Vectors are met in blocks, never pair by pair in a join, and what
+a node says of two blocks is one row of lists.
 """
 
 from __future__ import annotations
@@ -19,8 +21,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from millrace.llm.common import col
+from millrace.llm.common import bound_batches, col
 from millrace.session import materialise
 
 NODES = 2
@@ -45,43 +49,60 @@ def scores(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     return queries @ vectors.T
 
 
-def _blocks(df: DataFrame, size: int, label: str) -> DataFrame:
-    """(block, ids, vectors) with ``size`` vectors a block about, each list one value."""
-    rows = df.count()
-    dealt = df.withColumn("block", F.pmod(F.xxhash64("vec"), F.lit(max(1, -(-rows // size)))).cast("int"))
-    return materialise(dealt.groupBy("block").agg(F.collect_list("id").alias("ids"), F.flatten(F.collect_list("vec")).alias("vectors")), label)
+def _slices(width: int, nodes: int) -> list[tuple[int, int]]:
+    """Each node's dimensions, as (from, to)."""
+    edges = [width * n // nodes for n in range(nodes + 1)]
+    return list(zip(edges, edges[1:]))
+
 
+def _blocks(df: DataFrame, size: int, label: str, slices: list[tuple[int, int]]) -> tuple[DataFrame, int]:
+    """(node, block, ids, vectors) with ``size`` vectors a block about, and the number of blocks.
 
-def _tiles(queries: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Every block of queries beside every block of vectors: a few block numbers, not rows, are paired."""
-    blocks = [r["block"] for r in vectors.select("block").collect()]
-    q = queries.select(*[F.col(c).alias(f"q_{c}") for c in queries.columns], F.explode(F.array(*[F.lit(b) for b in blocks])).alias("block"))
-    return q.repartition(max(1, len(blocks)), "block").join(vectors, "block")
+    A block's vectors are in the order of their smallest members at every node; a node's slices of them are one list.
+    """
+    blocks = max(1, -(-df.count() // size))
+    parts = F.array(*[F.struct(F.lit(n).alias("node"), F.slice("vec", a + 1, b - a).alias("part")) for n, (a, b) in enumerate(slices)])
+    dealt = df.select("first", "id", F.pmod(F.xxhash64("vec"), F.lit(blocks)).cast("int").alias("block"), F.inline(parts))
+    dealt = dealt.groupBy("node", "block").agg(F.array_sort(F.collect_list(F.struct("first", "id", "part"))).alias("all"))
+    dealt = dealt.select("node", "block", F.transform("all", lambda x: x["id"]).alias("ids"), F.flatten(F.transform("all", lambda x: x["part"])).alias("vectors"))
+    return materialise(dealt, label), blocks
 
 
-def _matrix(values, width: int) -> np.ndarray:
-    return np.asarray(values, dtype=np.int64).reshape(-1, width)
+def _tiles(queries: DataFrame, vectors: DataFrame, blocks: int, nodes: int) -> DataFrame:
+    """At every node, each block of queries beside each block of vectors: block numbers, not rows, are paired."""
+    q = queries.select("node", *[F.col(c).alias(f"q_{c}") for c in queries.columns if c != "node"], F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    return q.repartition(nodes * blocks, "node", "block").join(vectors, ["node", "block"])
 
 
-def _over_tiles(tiles: DataFrame, width: int, lists, schema: str) -> DataFrame:
-    """``lists(row, queries, vectors)`` of each tile, as arrays of query, id and more."""
-    names = [c.split()[0] for c in schema.split(", ")]
+def _over_rows(df: DataFrame, lists, schema: str) -> DataFrame:
+    """``lists(value)`` of each row, batches of columns; ``value(name)`` is the row's list or number."""
+    made = T.StructType.fromDDL(schema)
+    names, kinds = made.names, [to_arrow_type(f.dataType) for f in made.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                row = {n: batch[n][k] for n in batch.schema.names}
-                value = lambda n: row[n].values.to_numpy(zero_copy_only=False)  # noqa: E731, B023
-                out = lists(value, _matrix(value("q_vectors"), width), _matrix(value("vectors"), width))
-                if len(out[0]):
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=names)
 
-    return tiles.mapInArrow(run, schema)
+                def value(name: str):
+                    cell = batch[name][k]  # noqa: B023
+                    if not isinstance(cell, pa.ListScalar):
+                        return cell.as_py()
+                    return cell.values if pa.types.is_struct(cell.type.value_type) else cell.values.to_numpy(zero_copy_only=False)
 
+                for out in lists(value):
+                    if len(out[0]):
+                        yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(out, kinds)], names=names)
 
-def _parts(width: int, nodes: int) -> list[slice]:
-    edges = [width * n // nodes for n in range(nodes + 1)]
-    return [slice(a, b) for a, b in zip(edges, edges[1:])]
+    return df.mapInArrow(run, made)
+
+
+def _joined(sent: pa.StructArray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Of lists (at, parts): each distinct place, the sum of its parts, and the places of every list among these."""
+    at, parts = [[x.values.to_numpy(zero_copy_only=False) for x in sent.field(name)] for name in ("at", "parts")]
+    places, where = np.unique(np.concatenate(at), return_inverse=True)
+    sums = np.zeros(len(places), np.int64)
+    np.add.at(sums, where, np.concatenate(parts))
+    return places, sums, np.split(where, np.cumsum([len(x) for x in at])[:-1])
 
 
 def top_k(df: DataFrame, queries: Column, k: int, id: str = "vec_id", vector: str = "vec", nodes: int = NODES) -> DataFrame:
@@ -93,66 +114,33 @@ def top_k(df: DataFrame, queries: Column, k: int, id: str = "vec_id", vector: st
     of the query's own id. Fewer than k others are all returned; an empty table
     gives no rows. Scores are exact while they fit a long.
     """
-    spark = df.sparkSession
+    bound_batches(df.sparkSession)
     rows = df.select(col(id).alias("id"), col(vector).alias("vec"), F.coalesce(queries, F.lit(False)).alias("asks")).filter("vec is not null and id is not null")
     rows = materialise(rows, "vectors")
-    width = rows.agg(F.max(F.size("vec"))).first()[0]
-    result = "query_id long, rank int, vec_id long, score long"
-    if not width:
-        width = 1
+    width = rows.agg(F.max(F.size("vec"))).first()[0] or 1
     rows = rows.withColumn("vec", F.concat("vec", F.array_repeat(F.lit(0).cast("long"), F.lit(width) - F.size("vec"))))
     # Of equal vectors only the k + 1 smallest ids can be in a list; row_number below a bound is cut before the shuffle.
     place = F.row_number().over(Window.partitionBy("vec").orderBy("id"))
     members = rows.withColumn("place", place).filter(F.col("place") <= k + 1)
     members = members.groupBy("vec").agg(F.array_sort(F.collect_list("id")).alias("members"))
-    members = materialise(members.withColumn("id", F.element_at("members", 1)), "classes")
-    # A class's own id is its smallest; a query class asks for one more, as its own row may be among the best.
+    # A class has a number of its own, as an id may come with several vectors.
+    members = materialise(members.select("vec", "members", F.element_at("members", 1).alias("first"), F.monotonically_increasing_id().alias("id")), "classes")
+    # A query class asks for one more, as its own row may be among the best.
     wanted = rows.filter("asks").select("vec").distinct().join(members, "vec")
-    vectors = _blocks(members.select("id", "vec"), BLOCK, "blocks")
-    asking = _blocks(wanted.select("id", "vec"), QUERY_BLOCK, "queries")
-    tiles, parts, need = _tiles(asking, vectors), _parts(width, nodes), k + 1
-
-    def best_parts(value, q, v):
-        ids, qids, found = value("ids"), value("q_ids"), []
-        n = min(need, len(ids))
-        whole = scores(q, v)
-        for p in parts:
-            s = scores(q[:, p], v[:, p])
-            top = np.argpartition(-s, n - 1, axis=1)[:, :n]
-            found.append((np.repeat(qids, n), ids[top].ravel(), np.take_along_axis(whole, top, 1).ravel()))
-        return [np.concatenate(x) for x in zip(*found)]
-
-    # Phase 1: the whole scores of what the nodes list; the k-th best is the floor. A class counts once for each member.
-    listed = _over_tiles(tiles, width, best_parts, "query long, id long, score long").distinct()
-    counted = listed.join(members.select("id", F.size("members").alias("n")), "id")
-    best_first = Window.partitionBy("query").orderBy(F.desc("score"), "id")
-    counted = counted.withColumn("place", F.row_number().over(best_first)).filter(F.col("place") <= need)
-    counted = counted.withColumn("upto", F.sum("n").over(best_first.rowsBetween(Window.unboundedPreceding, 0)))
-    floors = counted.groupBy("query").agg(F.max(F.when(F.col("upto") >= need, F.col("score"))).alias("floor"))
-    # Phase 2: each query's block learns its floors; none where there are too few others: everything counts then.
-    floors = materialise(floors, "floors")
-    with_floors = asking.select("block", "vectors", F.posexplode("ids").alias("at", "id")).drop("vectors").join(floors, F.col("id") == F.col("query"), "left")
-    with_floors = with_floors.groupBy("block").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", F.coalesce("floor", F.lit(-(1 << 62))).alias("floor")))), lambda x: x["floor"]).alias("floors"))
-    asking = materialise(asking.join(with_floors, "block"), "asking")
-
-    def sufficient(value, q, v):
-        ids, qids, floor, found = value("ids"), value("q_ids"), value("q_floors"), []
-        for n, p in enumerate(parts):
-            s = scores(q[:, p], v[:, p])
-            i, j = np.nonzero(s >= -(-floor // nodes)[:, None])
-            found.append((qids[i], ids[j], np.full(len(i), n, np.int32), s[i, j], floor[i]))
-        return [np.concatenate(x) for x in zip(*found)]
-
-    entries = _over_tiles(_tiles(asking, vectors), width, sufficient, "query long, id long, node int, part long, floor long")
-    # A node that sent nothing has less than the cutoff: at most the cutoff less one.
-    cutoff = F.ceil(F.col("floor") / nodes) - 1
-    sums = entries.groupBy("query", "id", "floor").agg(F.sum("part").alias("known"), F.count(F.lit(1)).alias("nodes"))
-    open_ = sums.filter(F.col("known") + (nodes - F.col("nodes")) * cutoff >= F.col("floor"))
-    # Phase 3: the rest of those scores, from the vectors themselves.
-    sure = open_.filter(F.col("nodes") == nodes).select("query", "id", F.col("known").alias("score"))
-    unsure = open_.filter(F.col("nodes") < nodes).select("query", "id")
-    own = members.select(F.col("id").alias("query"), F.col("vec").alias("q"))
-    unsure = unsure.join(own, "query").join(members.select("id", "vec"), "id")
+    slices, need = _slices(width, nodes), k + 1
+    vectors, blocks = _blocks(members, BLOCK, "blocks", slices)
+    asking, _ = _blocks(wanted, QUERY_BLOCK, "queries", slices)
+
+    def matrices(value) -> tuple[np.ndarray, np.ndarray]:
+        """A node's slices of the queries and of the vectors of a tile."""
+        a, b = slices[value("node")]
+        return value("q_vectors").reshape(len(value("q_ids")), b - a), value("vectors").reshape(len(value("ids")), b - a)
+
+    def best_parts(value):
+        ids, qids = value("ids"), value("q_ids")
+        n, parts = min(need, len(ids)), scores(*matrices(value))
+        top = np.argpartition(-parts, n - 1, axis=1)[:, :n]
+        yield np.full(top.size, value("node"), np.int32), np.repeat(qids, n), ids[top].ravel(), np.take_along_axis(parts, top, 1).ravel()
 
     @F.pandas_udf("long")
     def product(q: pd.Series, v: pd.Series) -> pd.Series:
@@ -160,12 +148,78 @@ def top_k(df: DataFrame, queries: Column, k: int, id: str = "vec_id", vector: st
             return pd.Series([], dtype="int64")
         return pd.Series(np.einsum("ij,ij->i", np.stack(q.to_numpy()).astype(np.int64), np.stack(v.to_numpy()).astype(np.int64)))
 
-    resolved = sure.unionByName(unsure.select("query", "id", product("q", "vec").alias("score")))
-    ranked = resolved.withColumn("place", F.row_number().over(best_first)).filter(F.col("place") <= need)
-    listed = ranked.join(members.select("id", "members"), "id").select("query", "score", F.explode("members").alias("vec_id"))
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    # Phase 1: each node's best parts; the few vectors listed are scored, and the k-th best score is the floor. A class counts once for each member.
+    listed = _over_rows(_tiles(asking, vectors, blocks, nodes), best_parts, "node int, query long, id long, part long")
+    place = F.row_number().over(Window.partitionBy("node", "query").orderBy(F.desc("part"), "id"))
+    listed = listed.withColumn("place", place).filter(F.col("place") <= need).select("query", "id").distinct()
+    own = members.select(F.col("id").alias("query"), F.col("vec").alias("q"))
+    counted = listed.join(own, "query").join(members.select("id", "vec", F.size("members").alias("n")), "id").select("query", "id", "n", product("q", "vec").alias("score"))
+    best_first = Window.partitionBy("query").orderBy(F.desc("score"), "id")
+    counted = counted.withColumn("upto", F.sum("n").over(best_first.rowsBetween(Window.unboundedPreceding, 0)))
+    floors = counted.groupBy("query").agg(F.max(F.when(F.col("upto") >= need, F.col("score"))).alias("floor"))
+    # Each query's block learns its floors; none where there are too few others: everything counts then.
+    held = asking.filter("node = 0").select("block", F.posexplode("ids").alias("at", "query")).join(floors, "query", "left")
+    held = held.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("at", F.coalesce("floor", F.lit(-(1 << 62))).alias("floor")))).alias("all"))
+    floors = materialise(held.select("block", F.transform("all", lambda x: x["floor"]).alias("floors")), "floors")
+
+    # Phase 2: at each node, the parts from the cutoff on. A place in a tile is a query's place times the number of vectors, plus the vector's.
+    def sufficient(value):
+        parts = scores(*matrices(value))
+        at = np.flatnonzero(parts >= -(-value("q_floors") // nodes)[:, None])
+        if len(at):
+            yield [value("node")], [value("q_block")], [value("block")], [at.astype(np.int32)], [parts.ravel()[at]]
+
+    entry = "node int, q_block int, block int, at array<int>, parts array<long>"
+    entries = materialise(_over_rows(_tiles(asking.join(floors, "block"), vectors, blocks, nodes), sufficient, entry), "entries")
+
+    # A node that sent nothing has less than the cutoff: at most the cutoff less one.
+    def open_places(value):
+        floor, size, sent = value("q_floors"), value("size"), value("sent")
+        places, known, lists = _joined(sent)
+        seen = np.zeros((nodes, len(places)), bool)
+        for node, where in zip(sent.field("node").to_pylist(), lists):
+            seen[node, where] = True
+        least = floor[places // size]
+        open_ = known + (nodes - seen.sum(0)) * (-(-least // nodes) - 1) >= least
+        for node in range(-1, nodes):
+            chosen = open_ if node < 0 else open_ & ~seen[node]
+            if chosen.any():
+                parts = known[chosen] if node < 0 else np.zeros(0, np.int64)
+                yield [node], [value("q_block")], [value("block")], [places[chosen]], [parts]
+
+    sent = entries.groupBy("q_block", "block").agg(F.collect_list(F.struct("node", "at", "parts")).alias("sent"))
+    sent = sent.join(floors.select(F.col("block").alias("q_block"), F.col("floors").alias("q_floors")), "q_block")
+    sent = sent.join(vectors.filter("node = 0").select("block", F.size("ids").alias("size")), "block")
+    left = materialise(_over_rows(sent, open_places, entry), "open")
+
+    # Phase 3: nodes look up the parts that are missing; node -1 stands for the sums known before.
+    def look_up(value):
+        (q, v), at = matrices(value), value("at")
+        found = [np.einsum("ij,ij->i", q[x // len(v)], v[x % len(v)]) for x in np.array_split(at, len(at) // 65536 + 1)]
+        yield [value("node")], [value("q_block")], [value("block")], [at], [np.concatenate(found)]
+
+    asked_for = asking.select("node", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
+    missing = left.filter("node >= 0").drop("parts").join(asked_for, ["node", "q_block"]).join(vectors, ["node", "block"])
+    whole = left.filter("node < 0").union(_over_rows(missing, look_up, entry).select(*left.columns))
+
+    def best(value):
+        ids, places, whole, _ = value("ids"), *_joined(value("sent"))
+        # By query, best scores first, then by smallest members; the first ``need`` of each query stay.
+        query = places // len(ids)
+        order = np.lexsort((places, -whole, query))
+        query, starts = query[order], np.searchsorted(query, query[order])
+        chosen = np.arange(len(order)) - starts < need
+        yield value("q_ids")[query[chosen]], ids[places[order][chosen] % len(ids)], whole[order][chosen]
+
+    tiles = whole.groupBy("q_block", "block").agg(F.collect_list(F.struct("node", "at", "parts")).alias("sent"))
+    tiles = tiles.join(asked_for.filter("node = 0").select("q_block", "q_ids"), "q_block").join(vectors.filter("node = 0").select("block", "ids"), "block")
+    resolved = _over_rows(tiles, best, "query long, id long, score long").join(members.select("id", "first", "members"), "id")
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "first", "id"))
+    ranked = resolved.withColumn("place", place).filter(F.col("place") <= need)
+    listed = ranked.select("query", "score", F.explode("members").alias("vec_id"))
+    by_id = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     # A list holds k + 1 classes at most, each with k + 1 ids at most; every asking row takes its class's, without itself.
-    listed = listed.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= need)
+    listed = listed.withColumn("place", F.row_number().over(by_id)).filter(F.col("place") <= need)
     lists = listed.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("place", "vec_id", "score"))).alias("best"))
     lists = lists.join(members.select(F.col("id").alias("query"), "vec"), "query")
     asked = rows.filter("asks").select("id", "vec").distinct()

@@ -17,10 +17,10 @@ def brute(data, asks, k):
     return sorted(found, key=repr)
 
 
-def ask(spark, data, k=5):
+def ask(spark, data, k=5, **options):
     frame = spark.createDataFrame(data, "vec_id long, embedding array<float>")
     frame = frame.select("vec_id", topk.whole_vectors(frame).alias("vec"))
-    return rows(topk.top_k(frame, F.col("vec_id") % 4 == 0, k))
+    return rows(topk.top_k(frame, F.col("vec_id") % 4 == 0, k, **options))
 
 
 @pytest.mark.parametrize("kind", ["spread", "copies", "few", "small", "odd", "empty", "large"])
@@ -41,3 +41,17 @@ def test_equals_brute_force(spark, kind, monkeypatch):
         data = [(i, [x * 1e6 for x in v]) for i, v in data]
     data = [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in data]
     assert ask(spark, data) == brute(data, lambda i: i % 4 == 0, 5)
+
+
+def test_more_nodes_than_dimensions_and_an_id_with_two_vectors(spark, monkeypatch):
+    random.seed(8)
+    monkeypatch.setattr(topk, "BLOCK", 10)
+    data = [(i, [float(random.randint(-3, 3)), float(random.randint(-3, 3))]) for i in range(40)] + [(5, [2.5, 1.0]), (6, [-2.5, 1.0])]
+    for nodes in (1, 3):
+        assert ask(spark, data, 6, nodes=nodes) == brute(data, lambda i: i % 4 == 0, 6)
+
+
+def test_nodes_read_their_dimensions_alone(spark):
+    members = spark.createDataFrame([(n, n, [n, 10 * n, 100 * n]) for n in range(1, 4)], "first long, id long, vec array<long>")
+    blocks, n = topk._blocks(members, 10, "blocks", topk._slices(3, 2))
+    assert n == 1 and rows(blocks.select("node", "ids", "vectors")) == [(0, [1, 2, 3], [1, 2, 3]), (1, [1, 2, 3], [10, 100, 20, 200, 30, 300])]
