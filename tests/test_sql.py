@@ -2,6 +2,7 @@ import datetime as dt
 
 from conftest import rows
 
+import __spark_entry__ as entry
 from millrace.operators import sql
 
 
@@ -33,3 +34,10 @@ def test_datetimes_without_a_zone_ignore_the_sessions(spark):
             assert listed.count() == 2
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_except_takes_away_customers_of_any_order(spark, tmp_path):
+    spark.createDataFrame([(1,), (2,), (3,), (3,), (None,)], "c_custkey bigint").write.parquet(f"{tmp_path}/customer.parquet")
+    orders = [(1, 500000.0), (2, 100.0), (2, None), (9, 7.0)]
+    spark.createDataFrame(orders, "o_custkey bigint, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    assert rows(entry.queries()["sql_f_except"](spark, str(tmp_path))) == [(3,), (None,)]
