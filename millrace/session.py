@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: What a task that writes sorted rows reads of a shuffle, in compressed bytes; ten and more times that in memory.
+SHARE_BYTES = 16 << 20
+
+
 def build_session(app_name: str = "millrace", master: str | None = None, **conf) -> SparkSession:
     """A session for scripts and tests; on a cluster the submitter's settings win."""
     builder = SparkSession.builder.appName(app_name)
@@ -37,6 +43,25 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/millrace/{uuid.uuid4().hex}/{label}"
 
 
+@contextmanager
+def bounded_shares(spark: SparkSession, sorted_: bool = True) -> Iterator[None]:
+    """Writes within it have AQE deal shuffled rows in shares of ``SHARE_BYTES``; a lower setting of the session stays.
+
+    Writers into partitions sort their rows, so a task's memory goes with its
+    share. Where nothing is ``sorted_`` all stays as it is.
+    """
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    held = spark.conf.get(name)
+    if not sorted_ or spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(held) <= SHARE_BYTES:
+        yield
+        return
+    spark.conf.set(name, str(SHARE_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, held)
+
+
 def materialise(df: DataFrame, label: str = "rows", **options) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and read it back.
 

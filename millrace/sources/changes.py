@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.predicates import as_list, conjunction
 from millrace.operators.schema import add_missing
+from millrace.session import bounded_shares
 from millrace.sources.folder import Folder
 from millrace.sources.layout import layout_from_properties, with_layout
 from millrace.sources.sinks import partitioned_writer
@@ -206,7 +207,8 @@ class _Files:
             rows = with_layout(rows, self.layout)
         rows = rows.select(*[F.col(_tick(c)) for c in self.schema.names])
         writer = partitioned_writer(rows, self.partitions) if self.partitions else rows.write
-        writer.parquet(self.fs.path(path))
+        with bounded_shares(self.spark, bool(self.partitions)):
+            writer.parquet(self.fs.path(path))
 
     def _finish(self, journal: str, swap: dict) -> None:
         """Every step may have been done before."""

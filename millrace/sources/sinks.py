@@ -11,6 +11,7 @@ from millrace.functions.predicates import as_list
 from millrace.functions.text import json_payload
 from millrace.operators.relation import project
 from millrace.operators.schema import enforce, storable
+from millrace.session import bounded_shares
 from millrace.sources.files import FILLER
 from millrace.sources.folder import Folder
 from millrace.sources.layout import clustered
@@ -20,7 +21,8 @@ def partitioned_writer(df: DataFrame, partition_by: list[str], cluster_by: list[
     """A writer whose tasks each hold few partitions.
 
     Without cluster columns the rows are rebalanced by the partition columns:
-    AQE merges small partitions and splits hot ones over several tasks.
+    AQE merges small partitions and splits hot ones over several tasks; write
+    within ``bounded_shares``, which bounds these tasks' memory.
     """
     if cluster_by:
         return clustered(df, cluster_by, partition_by).write.partitionBy(*partition_by)
@@ -42,14 +44,16 @@ def write_parquet(
         _checked(basename)
     df = storable(enforce(df, schema))
     if not partition_by:
-        (clustered(df, cluster_by) if cluster_by else df).write.mode(mode).parquet(path)
+        with bounded_shares(df.sparkSession, bool(cluster_by)):
+            (clustered(df, cluster_by) if cluster_by else df).write.mode(mode).parquet(path)
         if basename is not None:
             name_files(df.sparkSession, path, basename)
         return
     keys = as_list(partition_by)
     if set(keys) == set(df.columns):
         df = df.withColumn(FILLER, F.lit(0).cast("bigint"))
-    partitioned_writer(df, keys, cluster_by).mode(mode).parquet(path)
+    with bounded_shares(df.sparkSession):
+        partitioned_writer(df, keys, cluster_by).mode(mode).parquet(path)
     if basename is not None:
         name_files(df.sparkSession, path, basename)
 
@@ -103,4 +107,5 @@ def write_texts(df: DataFrame, path: str, text: str, one_object_per=None, mode:
     keys = as_list(one_object_per) if one_object_per else []
     frame = df.select(F.col(text).alias("value"), *keys)
     writer = partitioned_writer(frame, keys) if keys else frame.write
-    writer.mode(mode).text(path)
+    with bounded_shares(df.sparkSession, bool(keys)):
+        writer.mode(mode).text(path)

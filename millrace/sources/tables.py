@@ -11,6 +11,7 @@ from millrace.functions.predicates import as_list, where
 from millrace.operators.relation import limit_rows, project
 from millrace.operators.schema import add_missing, enforce, storable
 from millrace.functions.names import url_decode
+from millrace.session import bounded_shares
 from millrace.sources.files import file_inventory, infer_format, open_files, path_partitions, struct_type
 from millrace.sources.layout import (
     RangePartition,
@@ -123,7 +124,8 @@ def insert(df: DataFrame, table: str, schema: dict | None = None, cluster_by=Non
         rows = clustered(rows, as_list(cluster_by), partitions)
     elif partitions:
         rows = rows.hint("rebalance", *partitions)
-    spark.sql(f"INSERT INTO {quoted(table)} BY NAME SELECT * FROM {{rows}}", rows=rows)
+    with bounded_shares(spark, bool(cluster_by or partitions)):
+        spark.sql(f"INSERT INTO {quoted(table)} BY NAME SELECT * FROM {{rows}}", rows=rows)
 
 
 def _refuse_other_layout(spark: SparkSession, table: str, layout, partitions: list[str]) -> None:
@@ -168,7 +170,8 @@ def write_table(
     else:
         writer = (clustered(df, cluster) if cluster else df).write
     mode = "overwrite" if if_exists == "replace" else "errorifexists"
-    writer.format("parquet").mode(mode).saveAsTable(quoted(table))
+    with bounded_shares(spark, bool(partitions or cluster)):
+        writer.format("parquet").mode(mode).saveAsTable(quoted(table))
     noted = layout_properties(layout) if layout is not None else {}
     if cluster:
         noted[CLUSTER_PROPERTY] = json.dumps(cluster)

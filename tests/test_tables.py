@@ -210,3 +210,17 @@ def test_nulls_are_stored_as_booleans_and_times_as_text(spark, scratch, database
     assert found.dtypes == [("a", "bigint"), ("nested", "struct<n1:boolean,n3:boolean>"), ("d", "boolean"), ("at", "string")]
     assert rows(found.select("a", "nested.n3", "d", "at")) == [(1, None, None, "01:02:03"), (2, None, None, None)]
     write_parquet(df, scratch("f.parquet"))
+
+
+def test_a_large_partition_is_written_by_several_tasks(spark, database):
+    name, size = f"{database}.t", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    held = spark.conf.get(size)
+    many = spark.range(0, 4_000_000, 1, 8).select(F.xxhash64("id").alias("v"), F.lit(1).alias("k"))  # 8 bytes a row that don't compress
+    few = spark.range(10).select(F.col("id").alias("v"), F.lit(None).cast("int").alias("k"))
+    W.write_table(many.union(few), name, partition_by=["k"])
+    named = spark.table(name).select("k", F.input_file_name().alias("file"))
+    files = named.groupBy("k").agg(F.count_distinct("file").alias("files"), F.count(F.lit(1)).alias("n"))
+    found = {r["k"]: (r["files"], r["n"]) for r in files.collect()}
+    assert found[1][0] >= 2 and found[1][1] == 4_000_000 and found[None] == (1, 10)
+    assert rows(W.table_partitions(spark, name)) == [(1,), (None,)]
+    assert spark.conf.get(size) == held
