@@ -1,12 +1,16 @@
 """Near-duplicates by the Jaccard similarity of word shingles.
 
-MinHash bands name the pairs that are looked at; whether a pair links is
-decided by the exact similarity of its shingle sets, in a Spark join. First the
-members of a bucket are held against a few of them; then those pairs that no
-chain of links has joined yet, so a large group of copies costs a few
-comparisons a member and not one a pair. Of these, only such are compared as
-share one of their rarest shingles, so unlike texts that share a passage don't
-all meet.
+The SimHash of a text's shingle set goes through the binary tries of
+``simhash``, which name the pairs that are looked at; whether a pair links is
+decided by the exact similarity of its shingle sets, in a Spark join. Bands of a
+fingerprint's own bits are the buckets for three bits. At a similarity of 0.8
+ten bits differ and up to 24, more than such bands carry; there the buckets are
+MinHash bands, and a trie in each names pairs within growing numbers of bits.
+It names those that join components, not all, so a large group of copies costs
+a few comparisons a member and not one a pair. Last come those pairs of a bucket
+that no chain of links has joined yet: of these, only such are compared as share
+one of their rarest shingles, so unlike texts that share a passage don't all
+meet.
 """
 
 from __future__ import annotations
@@ -17,14 +21,19 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm import simhash
 from millrace.llm.common import bound_batches, col, unused
 from millrace.llm.simhash import connected
 from millrace.session import materialise
 
 #: A pair of similarity s shares one of BANDS keys with a chance of 1 - (1 - s ** ROWS) ** BANDS: 0.9999 at 0.8.
 BANDS, ROWS = 30, 6
-#: Members of a bucket that all others are held against first.
+#: Fingerprints of a bucket in one trie; a larger bucket has several, dealt in SPREADS ways over the keys.
+CHUNK, SPREADS = 256, 4
+#: Members of a bucket that are in each of its tries, so that these meet.
 PIVOTS = 3
+#: Bits in which fingerprints that link may differ: anywhere, and in the tries of a bucket, one after the other.
+NEAR, BUDGETS = 3, (3, 12, 24)
 _SHINGLES_AT_ONCE = 1 << 12
 _random = np.random.Generator(np.random.PCG64(42))
 _FLIPS, _FACTORS, _WEIGHTS = (_random.integers(0, 1 << 64, BANDS * ROWS, np.uint64) | np.uint64(k) for k in (0, 1, 1))
@@ -56,13 +65,14 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
 
 
 def signatures(text: Column, words: int = 5) -> Column:
-    """``struct<print binary, keys array<long>>``: the digest of a text's shingle set, and its bands' keys."""
+    """``struct<print binary, keys array<long>, fingerprint long>``: the digest of a text's shingle set, its bands' keys and its SimHash."""
 
-    @F.arrow_udf("struct<print binary, keys array<long>>")
+    @F.arrow_udf("struct<print binary, keys array<long>, fingerprint long>")
     def signed(texts: pa.Array) -> pa.Array:
         sets = [shingles(t, words) for t in texts.to_pylist()]
         prints = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
-        return pa.StructArray.from_arrays([prints, _lists([band_keys(s) for s in sets])], names=["print", "keys"])
+        hashed = pa.array(np.array([simhash.majority(s) for s in sets], np.uint64).view(np.int64))
+        return pa.StructArray.from_arrays([prints, _lists([band_keys(s) for s in sets]), hashed], names=["print", "keys", "fingerprint"])
 
     return signed(text)
 
@@ -124,23 +134,49 @@ def rare_pairs(sets: DataFrame, least: float) -> DataFrame:
     return met.filter(near & enough).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
+def near_prints(keyed: DataFrame) -> DataFrame:
+    """Pairs of nodes (a, b) that span what links of fingerprints within ``NEAR`` bits reach in the buckets of their bits."""
+    prints = materialise(keyed.groupBy("fingerprint").agg(F.min("node").alias("first")), "prints")
+    links = simhash.links(prints.select("fingerprint"), prints.count(), NEAR)
+    ends = [prints.select(F.col("fingerprint").alias(side), F.col("first").alias(f"node_{side}")) for side in "ab"]
+    linked = links.join(ends[0], "a").join(ends[1], "b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    return linked.union(keyed.join(prints, "fingerprint").filter("node <> first").select("node", "first"))
+
+
+def bucket_pairs(buckets: DataFrame, shared: DataFrame) -> DataFrame:
+    """Pairs of nodes (a, b) that the tries of the buckets name.
+
+    ``buckets`` has ``key``, ``node``, ``fingerprint`` and ``chunks``, the
+    number of the bucket's tries; ``shared`` has ``key``, ``chunks`` and
+    ``pivots``, which are in each of the tries if there are several.
+    """
+    chunk = F.pmod(F.xxhash64("node", F.pmod("key", F.lit(SPREADS))), F.col("chunks")).cast("int")
+    dealt = buckets.select("key", chunk.alias("chunk"), "node", "fingerprint")
+    pivots = shared.filter("chunks > 1").select("key", "pivots", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+    members = dealt.unionByName(pivots.select("key", "chunk", F.inline("pivots")))
+    return simhash.group_pairs(members, buckets.count(), BUDGETS)
+
+
 def similar_links(keyed: DataFrame, texts: DataFrame, words: int = 5, least: float = 0.8) -> DataFrame:
     """(node, root) of all nodes with links, root the smallest node that chains of links reach.
 
-    ``keyed`` has the columns ``node`` (long, distinct) and ``keys``; ``texts``
-    has ``node`` and ``text``, of these nodes and any others. Every pair of
-    nodes that shares a key is held against ``least`` by the exact similarity of
-    the two texts, unless links that are known by then join it already or the
+    ``keyed`` has the columns ``node`` (long, distinct), ``keys`` and
+    ``fingerprint``; ``texts`` has ``node`` and ``text``, of these nodes and any
+    others. Pairs that tries of fingerprints name are held against ``least`` by
+    the exact similarity of the two texts, then every other pair of nodes that
+    shares a key, unless links that are known by then join it already or the
     rarest shingles of both rule it out.
     """
-    buckets = keyed.select("node", F.explode("keys").alias("key"))
-    firsts = [F.min_by("node", F.xxhash64("node", F.lit(k))) for k in range(PIVOTS)]
+    buckets = keyed.select("node", "fingerprint", F.explode("keys").alias("key"))
+    firsts = [F.min_by(F.struct("node", "fingerprint"), F.xxhash64("node", F.lit(k))) for k in range(PIVOTS)]
     shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.array(*firsts).alias("pivots")).filter("n > 1")
-    buckets = materialise(buckets.join(shared.select("key", "pivots"), "key"), "buckets")
-    sets = texts.join(buckets.select("node").distinct(), "node", "left_semi").select("node", shingle_sets(col("text"), words).alias("set"))
+    shared = materialise(shared.select("key", F.ceil(F.col("n") / F.lit(CHUNK)).cast("int").alias("chunks"), "pivots"), "shared")
+    buckets = materialise(buckets.join(shared.select("key", "chunks"), "key"), "buckets")
+    pairs = near_prints(keyed.select("node", "fingerprint")).union(bucket_pairs(buckets, shared))
+    pairs = materialise(pairs.select(*_pairs(F.col("a"), F.col("b"))).filter("a <> b").distinct(), "pairs")
+    nodes = buckets.select("node").union(pairs.select(F.explode(F.array("a", "b")))).distinct()
+    sets = texts.join(nodes, "node", "left_semi").select("node", shingle_sets(col("text"), words).alias("set"))
     sets = materialise(sets, "sets")
-    pairs = buckets.select("node", F.explode(F.array_distinct("pivots")).alias("pivot")).filter("node <> pivot")
-    pairs = materialise(pairs.select(*_pairs(F.col("node"), F.col("pivot"))).distinct(), "pairs")
     found = materialise(_similar(pairs, sets, least), "similar")
     roots = connected(found)
     # What is left are pairs of a bucket that no chain joins yet: of members of different components.
@@ -168,9 +204,10 @@ def keep_first(df: DataFrame, text: str = "text", order: str = "doc_id", words:
     fixed = materialise(df.select("*", signatures(col(text), words).alias(sign), F.monotonically_increasing_id().alias(row)), "documents")
     # Rows of equal sets are one node, called by the row that would stay of them.
     member = F.struct(col(order).isNull(), col(order), col(row).alias("node"))
-    groups = fixed.groupBy(col(sign)["print"]).agg(F.min(F.struct(member.alias("member"), col(sign)["keys"].alias("keys"))).alias("first"))
-    groups = materialise(groups.select("first.member", "first.keys", "first.member.node"), "groups")
-    roots = similar_links(groups.select("node", "keys"), fixed.select(col(row).alias("node"), col(text).alias("text")), words, least)
+    own = [col(sign)[n].alias(n) for n in ("keys", "fingerprint")]
+    groups = fixed.groupBy(col(sign)["print"]).agg(F.min(F.struct(member.alias("member"), *own)).alias("first"))
+    groups = materialise(groups.select("first.member", "first.keys", "first.fingerprint", "first.member.node"), "groups")
+    roots = similar_links(groups.select("node", "keys", "fingerprint"), fixed.select(col(row).alias("node"), col(text).alias("text")), words, least)
     named = groups.select("member", "node").join(roots, "node", "left").select("member", F.coalesce("root", "node").alias("root"))
     stay = named.groupBy("root").agg(F.min("member").alias("member")).select(F.col("member.node").alias(stays))
     return fixed.join(stay, col(row) == col(stays), "left_semi").select(*[col(c) for c in df.columns])

@@ -60,29 +60,45 @@ def fingerprints(text: Column, words: int = 3, seed: int = 42) -> Column:
     return hashed(text)
 
 
-def _merge(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Labels after joining the components of i and j; a label is the smallest index."""
+def majority(hashes: np.ndarray) -> int:
+    """The unsigned SimHash of hashes that are there already; zero of none."""
+    total = np.zeros(BITS, np.int64)
+    for k in range(0, len(hashes), _SHINGLES_AT_ONCE):
+        part = hashes[k:k + _SHINGLES_AT_ONCE].astype(">u8")
+        total += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int32)
+    return int.from_bytes(np.packbits(2 * total > len(hashes)).tobytes(), "big")
+
+
+def _merge(label: np.ndarray, i: np.ndarray, j: np.ndarray, edges: list | None = None) -> np.ndarray:
+    """Labels after joining the components of i and j; a label is the smallest index. Pairs that joined any go to ``edges``."""
     while len(i):
         a, b = label[i], label[j]
         open_ = a != b
         i, j, a, b = i[open_], j[open_], a[open_], b[open_]
         if not len(i):
             break
-        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        high, low = np.maximum(a, b), np.minimum(a, b)
+        np.minimum.at(label, high, low)
+        if edges is not None:
+            taken = np.flatnonzero(label[high] == low)
+            taken = taken[np.unique(high[taken], return_index=True)[1]]
+            edges.append((i[taken], j[taken]))
         while not np.array_equal(label[label], label):
             label = label[label]
     return label
 
 
-def trie_join(x: np.ndarray, roots: np.ndarray, depth: int, budget: int) -> np.ndarray:
+def trie_join(x: np.ndarray, roots: np.ndarray, depth: int, budget: int, label: np.ndarray | None = None, edges: list | None = None) -> np.ndarray:
     """Component labels over ``x`` after joining the tries that ``roots`` pairs.
 
     ``x`` holds distinct unsigned values, sorted within each root's range;
     ``roots`` has rows (a_lo, a_hi, b_lo, b_hi) of ranges whose values share
     their first ``depth`` bits. Equal ranges are joined with themselves.
-    Links within a component that is known already are not followed.
+    Links within a component that is known already are not followed; ``label``
+    has those known before. The pairs (i, j) that joined components go to
+    ``edges``: both ends are within the budget.
     """
-    label = np.arange(len(x))
+    label = np.arange(len(x)) if label is None else label
     bits = [np.concatenate([[0], np.cumsum((x >> np.uint64(BITS - 1 - d)) & np.uint64(1), dtype=np.int64)]) for d in range(BITS)]
     todo = [(depth, roots, np.zeros(len(roots), np.int8))]
     while todo:
@@ -105,7 +121,7 @@ def trie_join(x: np.ndarray, roots: np.ndarray, depth: int, budget: int) -> np.n
             width = (p[:, 3] - p[:, 2])[which]
             i, j = p[which, 0] + k // width, p[which, 2] + k % width
             near = (np.bitwise_count(x[i] ^ x[j]) <= budget) & (i != j)
-            label = _merge(label, i[near], j[near])
+            label = _merge(label, i[near], j[near], edges)
         pairs, differ, same = pairs[~small], differ[~small], same[~small]
         if not len(pairs):
             continue
@@ -192,6 +208,45 @@ def links(prints: DataFrame, rows: int, budget: int = 3, bucket_rows: int = BUCK
     return dealt.mapInArrow(_join_buckets(budget, band_bits), "a long, b long").distinct()
 
 
+def _join_members(budgets: tuple[int, ...]):
+    """For one partition of whole groups (key, chunk): pairs that span the groups' components."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches) if (batches := list(batches)) else None
+        if table is None or not table.num_rows:
+            return
+        key, chunk, node = (table[n].to_numpy().astype(np.int64) for n in ("key", "chunk", "node"))
+        x = table["fingerprint"].to_numpy().astype(np.int64).view(np.uint64)
+        order = np.lexsort((node, x, chunk, key))
+        group, x, node = np.column_stack([key, chunk])[order], x[order], node[order]
+        # Of equal fingerprints the first goes into the trie, and the others are paired with it.
+        first = _bounds(np.column_stack([group, x.view(np.int64)]))
+        lead = node[np.repeat(first[:-1], np.diff(first))]
+        x, head = x[first[:-1]], node[first[:-1]]
+        ends = _bounds(group[first[:-1]])
+        roots = np.column_stack([ends[:-1], ends[1:], ends[:-1], ends[1:]])[np.diff(ends) > 1]
+        label, edges = None, []
+        for budget in budgets:  # the nearest first, so pairs that join components are near ones where there are any
+            label = trie_join(x, roots, 0, budget, label, edges)
+        other = node != lead
+        a = np.concatenate([node[other], *(head[i] for i, _ in edges)])
+        b = np.concatenate([lead[other], *(head[j] for _, j in edges)])
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return run
+
+
+def group_pairs(members: DataFrame, rows: int, budgets: tuple[int, ...]) -> DataFrame:
+    """Pairs of nodes (a, b) that span, in each group, what links of fingerprints within the last of ``budgets`` bits reach.
+
+    ``members`` has ``key`` and ``chunk``, which name the group, ``node`` and
+    ``fingerprint`` (longs), ``rows`` of them; a group has to fit a task. Each
+    pair is within a budget, and within a smaller one if that joins its ends.
+    """
+    dealt = members.select("key", "chunk", "node", "fingerprint").repartition(tasks_for(rows, members.sparkSession), "key", "chunk")
+    return dealt.mapInArrow(_join_members(tuple(budgets)), "a long, b long")
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of the links (a, b): root is the component's smallest.
 

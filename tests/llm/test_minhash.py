@@ -103,3 +103,22 @@ def test_odd_and_empty(spark, odd, empty):
     assert out.columns == odd.columns
     assert out.count() == len(set(brute_groups([r["text"] for r in rows])))
     assert minhash.keep_first(empty).count() == 0
+
+
+def test_pairs_are_named_by_tries_of_fingerprints(spark, monkeypatch):
+    texts = copies(4, 30, 3) + copies(6, 1, 400)
+    frame = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "doc_id long, text string")
+    named = {}
+    for at, name in ((minhash.simhash, "links"), (minhash.simhash, "group_pairs")):
+        def spy(*given, f=getattr(at, name), name=name):
+            named[name] = f(*given)
+            return named[name]
+
+        monkeypatch.setattr(at, name, spy)
+    rest = []
+    rare = minhash.rare_pairs
+    monkeypatch.setattr(minhash, "rare_pairs", lambda sets, least: rest.append(sets.select("root").distinct().count()) or rare(sets, least))
+    got = minhash.keep_first(frame).count()
+    assert got == len(set(brute_groups(texts)))
+    assert named["links"].count() > 0 and len(texts) / 2 < named["group_pairs"].distinct().count() < 8 * len(texts)
+    assert rest[0] < len(texts) / 10  # what the tries' links leave apart

@@ -89,3 +89,37 @@ def test_odd_rows(spark, odd, empty):
     prints = [brute_print(r["text"]) for r in odd.collect()]
     assert kept.count() == len(set(brute_groups(prints)))
     assert simhash.keep_first(empty).count() == 0
+
+
+def test_majority_equals_the_fingerprint():
+    texts = ["", "one two three", "a b c d e f g h", " ".join(f"w{k}" for k in range(900))]
+    for text in texts:
+        words = text.split()
+        grams = [" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+        hashes = np.array([xxhash.xxh64_intdigest(g.encode(), 42) for g in grams], np.uint64)
+        assert simhash.majority(hashes) == simhash.fingerprint(text) == brute_print(text)
+
+
+def test_group_pairs_span_the_components(spark):
+    x = clusters(7, 30, 12, 9)
+    signed = np.array(x, np.uint64).view(np.int64).tolist()
+    members = [(key, 0, n, v) for n, v in enumerate(signed) for key in {n % 3, 7}]
+    members += [(7, 0, 10_000 + n, signed[n]) for n in range(5)] + [(7, 0, 0, signed[0]), (8, 0, 3, signed[3]), (9, 2, 4, signed[4]), (9, 1, 5, signed[4])]
+    frame = spark.createDataFrame(members, "key long, chunk int, node long, fingerprint long").repartition(4)
+    found = [(r["a"], r["b"]) for r in simhash.group_pairs(frame, len(members), (3, 12)).collect()]
+    value = lambda n: x[n % 10_000]
+    assert all((value(a) ^ value(b)).bit_count() <= 12 for a, b in found)
+    top = dict.fromkeys(range(len(x)))
+    top = {n: n for n in top}
+
+    def root(n):
+        while top[n] != n:
+            n = top[n]
+        return n
+
+    for a, b in found:
+        if max(a, b) < 10_000:
+            top[max(root(a), root(b))] = min(root(a), root(b))
+    assert [root(n) for n in range(len(x))] == brute_groups(x, 12)
+    assert {tuple(sorted(p)) for p in found if max(p) >= 10_000} == {(n, 10_000 + n) for n in range(5)}
+    assert len(found) <= 2 * len(x) + 5  # a forest in the group of all and one in each of the three
