@@ -68,10 +68,19 @@ def _blocks(df: DataFrame, size: int, label: str, slices: list[tuple[int, int]])
     return materialise(dealt, label), blocks
 
 
+def _met(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """Both sides joined where they are dealt to, without the driver.
+
+    Spark takes a table's size from its compressed files, before blocks are repeated and lists unpacked, and broadcasts
+    through the driver what seems small: whole numbers of a few bits are 64 in a row.
+    """
+    return left.join(right.hint("merge"), on, how)
+
+
 def _tiles(queries: DataFrame, vectors: DataFrame, blocks: int, nodes: int) -> DataFrame:
     """At every node, each block of queries beside each block of vectors: block numbers, not rows, are paired."""
     q = queries.select("node", *[F.col(c).alias(f"q_{c}") for c in queries.columns if c != "node"], F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    return q.repartition(nodes * blocks, "node", "block").join(vectors, ["node", "block"])
+    return _met(q.repartition(nodes * blocks, "node", "block"), vectors, ["node", "block"])
 
 
 def _over_rows(df: DataFrame, lists, schema: str) -> DataFrame:
@@ -126,7 +135,7 @@ def top_k(df: DataFrame, queries: Column, k: int, id: str = "vec_id", vector: st
     # A class has a number of its own, as an id may come with several vectors.
     members = materialise(members.select("vec", "members", F.element_at("members", 1).alias("first"), F.monotonically_increasing_id().alias("id")), "classes")
     # A query class asks for one more, as its own row may be among the best.
-    wanted = rows.filter("asks").select("vec").distinct().join(members, "vec")
+    wanted = _met(rows.filter("asks").select("vec").distinct(), members, "vec")
     slices, need = _slices(width, nodes), k + 1
     vectors, blocks = _blocks(members, BLOCK, "blocks", slices)
     asking, _ = _blocks(wanted, QUERY_BLOCK, "queries", slices)
@@ -153,12 +162,12 @@ def top_k(df: DataFrame, queries: Column, k: int, id: str = "vec_id", vector: st
     place = F.row_number().over(Window.partitionBy("node", "query").orderBy(F.desc("part"), "id"))
     listed = listed.withColumn("place", place).filter(F.col("place") <= need).select("query", "id").distinct()
     own = members.select(F.col("id").alias("query"), F.col("vec").alias("q"))
-    counted = listed.join(own, "query").join(members.select("id", "vec", F.size("members").alias("n")), "id").select("query", "id", "n", product("q", "vec").alias("score"))
+    counted = _met(_met(listed, own, "query"), members.select("id", "vec", F.size("members").alias("n")), "id").select("query", "id", "n", product("q", "vec").alias("score"))
     best_first = Window.partitionBy("query").orderBy(F.desc("score"), "id")
     counted = counted.withColumn("upto", F.sum("n").over(best_first.rowsBetween(Window.unboundedPreceding, 0)))
     floors = counted.groupBy("query").agg(F.max(F.when(F.col("upto") >= need, F.col("score"))).alias("floor"))
     # Each query's block learns its floors; none where there are too few others: everything counts then.
-    held = asking.filter("node = 0").select("block", F.posexplode("ids").alias("at", "query")).join(floors, "query", "left")
+    held = _met(asking.filter("node = 0").select("block", F.posexplode("ids").alias("at", "query")), floors, "query", "left")
     held = held.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("at", F.coalesce("floor", F.lit(-(1 << 62))).alias("floor")))).alias("all"))
     floors = materialise(held.select("block", F.transform("all", lambda x: x["floor"]).alias("floors")), "floors")
 
@@ -170,7 +179,7 @@ def top_k(df: DataFrame, queries: Column, k: int, id: str = "vec_id", vector: st
             yield [value("node")], [value("q_block")], [value("block")], [at.astype(np.int32)], [parts.ravel()[at]]
 
     entry = "node int, q_block int, block int, at array<int>, parts array<long>"
-    entries = materialise(_over_rows(_tiles(asking.join(floors, "block"), vectors, blocks, nodes), sufficient, entry), "entries")
+    entries = materialise(_over_rows(_tiles(_met(asking, floors, "block"), vectors, blocks, nodes), sufficient, entry), "entries")
 
     # A node that sent nothing has less than the cutoff: at most the cutoff less one.
     def open_places(value):
@@ -188,8 +197,8 @@ def top_k(df: DataFrame, queries: Column, k: int, id: str = "vec_id", vector: st
                 yield [node], [value("q_block")], [value("block")], [places[chosen]], [parts]
 
     sent = entries.groupBy("q_block", "block").agg(F.collect_list(F.struct("node", "at", "parts")).alias("sent"))
-    sent = sent.join(floors.select(F.col("block").alias("q_block"), F.col("floors").alias("q_floors")), "q_block")
-    sent = sent.join(vectors.filter("node = 0").select("block", F.size("ids").alias("size")), "block")
+    sent = _met(sent, floors.select(F.col("block").alias("q_block"), F.col("floors").alias("q_floors")), "q_block")
+    sent = _met(sent, vectors.filter("node = 0").select("block", F.size("ids").alias("size")), "block")
     left = materialise(_over_rows(sent, open_places, entry), "open")
 
     # Phase 3: nodes look up the parts that are missing; node -1 stands for the sums known before.
@@ -199,7 +208,7 @@ def top_k(df: DataFrame, queries: Column, k: int, id: str = "vec_id", vector: st
         yield [value("node")], [value("q_block")], [value("block")], [at], [np.concatenate(found)]
 
     asked_for = asking.select("node", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
-    missing = left.filter("node >= 0").drop("parts").join(asked_for, ["node", "q_block"]).join(vectors, ["node", "block"])
+    missing = _met(_met(left.filter("node >= 0").drop("parts"), asked_for, ["node", "q_block"]), vectors, ["node", "block"])
     whole = left.filter("node < 0").union(_over_rows(missing, look_up, entry).select(*left.columns))
 
     def best(value):
@@ -212,8 +221,8 @@ def top_k(df: DataFrame, queries: Column, k: int, id: str = "vec_id", vector: st
         yield value("q_ids")[query[chosen]], ids[places[order][chosen] % len(ids)], whole[order][chosen]
 
     tiles = whole.groupBy("q_block", "block").agg(F.collect_list(F.struct("node", "at", "parts")).alias("sent"))
-    tiles = tiles.join(asked_for.filter("node = 0").select("q_block", "q_ids"), "q_block").join(vectors.filter("node = 0").select("block", "ids"), "block")
-    resolved = _over_rows(tiles, best, "query long, id long, score long").join(members.select("id", "first", "members"), "id")
+    tiles = _met(_met(tiles, asked_for.filter("node = 0").select("q_block", "q_ids"), "q_block"), vectors.filter("node = 0").select("block", "ids"), "block")
+    resolved = _met(_over_rows(tiles, best, "query long, id long, score long"), members.select("id", "first", "members"), "id")
     place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "first", "id"))
     ranked = resolved.withColumn("place", place).filter(F.col("place") <= need)
     listed = ranked.select("query", "score", F.explode("members").alias("vec_id"))
@@ -221,8 +230,8 @@ def top_k(df: DataFrame, queries: Column, k: int, id: str = "vec_id", vector: st
     # A list holds k + 1 classes at most, each with k + 1 ids at most; every asking row takes its class's, without itself.
     listed = listed.withColumn("place", F.row_number().over(by_id)).filter(F.col("place") <= need)
     lists = listed.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("place", "vec_id", "score"))).alias("best"))
-    lists = lists.join(members.select(F.col("id").alias("query"), "vec"), "query")
+    lists = _met(lists, members.select(F.col("id").alias("query"), "vec"), "query")
     asked = rows.filter("asks").select("id", "vec").distinct()
-    each = asked.join(lists, "vec").select("id", F.slice(F.filter("best", lambda b: b["vec_id"] != F.col("id")), 1, k).alias("best"))
+    each = _met(asked, lists, "vec").select("id", F.slice(F.filter("best", lambda b: b["vec_id"] != F.col("id")), 1, k).alias("best"))
     each = each.select(F.col("id").alias("query_id"), F.posexplode("best").alias("at", "b"))
     return each.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("b.vec_id").cast("long").alias("vec_id"), F.col("b.score").cast("long").alias("score"))

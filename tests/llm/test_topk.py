@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 import pytest
-from cases import rows
+from cases import plan, rows
 from millrace.llm import topk
 from pyspark.sql import functions as F
 
@@ -55,3 +55,22 @@ def test_nodes_read_their_dimensions_alone(spark):
     members = spark.createDataFrame([(n, n, [n, 10 * n, 100 * n]) for n in range(1, 4)], "first long, id long, vec array<long>")
     blocks, n = topk._blocks(members, 10, "blocks", topk._slices(3, 2))
     assert n == 1 and rows(blocks.select("node", "ids", "vectors")) == [(0, [1, 2, 3], [1, 2, 3]), (1, [1, 2, 3], [10, 100, 20, 200, 30, 300])]
+
+
+def test_nothing_that_grows_with_the_table_is_broadcast(spark, monkeypatch):
+    random.seed(9)
+    monkeypatch.setattr(topk, "BLOCK", 20)
+    data = [(i, [float(random.randint(-9, 9)) for _ in range(4)]) for i in range(100)]
+    frames, write = [], topk.materialise
+
+    def watched(df, label="rows", **options):
+        frames.append(df)
+        return write(df, label, **options)
+
+    monkeypatch.setattr(topk, "materialise", watched)
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<float>")
+    frame = frame.select("vec_id", topk.whole_vectors(frame).alias("vec"))
+    frames.append(topk.top_k(frame, F.col("vec_id") % 4 == 0, 5))
+    # These tables are far below the session's bound, so without a word Spark would broadcast them through the driver.
+    assert not any("Broadcast" in plan(df) for df in frames)
+    assert rows(frames[-1]) == brute(data, lambda i: i % 4 == 0, 5)
