@@ -2,14 +2,15 @@
 
 A vector's dimensions are dealt to nodes, rows that hold their own slice of the
 vectors and see no other, so a score is a sum of one part from each node. First
-every node lists each query's best parts; the few vectors listed are scored
-whole, and the k-th best score is a floor for the query. A vector that makes
-the top k has a part of at least floor / nodes at some node: second, every node
-lists the parts from that cutoff on. Parts that are missing are below the
-cutoff, which bounds the whole score from above; third, nodes look up the parts
-that are missing of what the bound leaves. Equal vectors are one, with their
-smallest ids. Vectors are met in blocks, never pair by pair in a join, and what
-a node says of two blocks is one row of lists.
+every node lists each query's best parts; nodes look up the few vectors listed,
+and the k-th best score is a floor for the query. A vector that makes the top k
+has a part of at least floor / nodes at some node: second, every node lists the
+parts from that cutoff on. Parts that are missing are below the cutoff, which
+bounds the whole score from above; third, nodes look up the parts that are
+missing of what the bound leaves, and what turns out below the floor stays
+there. Equal vectors are one, with their smallest ids. Vectors are met in
+blocks, never pair by pair in a join, and what a node says of two blocks is one
+row of lists.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,9 +28,14 @@ from millrace.llm.common import bound_batches, col
 from millrace.session import materialise
 
 NODES = 2
-#: Vectors that are scored against each other at once.
-QUERY_BLOCK, BLOCK = 1024, 8192
-_EXACT = float(1 << 53)
+#: Queries and vectors of a tile; vectors of a large table come in blocks of up to ``MORE`` times as many.
+QUERY_BLOCK, BLOCK, MORE = 1024, 8192, 2
+#: Scores that are held at once.
+CELLS = 1 << 23
+#: A node's list for a query holds so many times the vectors that are looked for; the more, the higher the floor.
+LISTED = 4
+#: Kinds of numbers, and the bound below which each holds all whole numbers.
+_EXACT = ((np.float32, 1 << 24), (np.float64, 1 << 53))
 
 
 def whole_vectors(df: DataFrame, vector: str = "embedding", scale: float = 64.0) -> Column:
@@ -41,12 +46,17 @@ def whole_vectors(df: DataFrame, vector: str = "embedding", scale: float = 64.0)
     return F.when(usable, F.transform(x, lambda v: F.floor(v * scale).cast("long")))
 
 
-def scores(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Integer inner products: by floating point where that is exact, else by whole numbers."""
+def scores(queries: np.ndarray, vectors: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Integer inner products of some queries after the other, with the number of the first of these.
+
+    By floating point where that is exact, and as such, else by whole numbers.
+    """
     top = float(np.abs(queries).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * queries.shape[1]
-    if top < _EXACT:
-        return (queries.astype(np.float64) @ vectors.T.astype(np.float64)).astype(np.int64)
-    return queries @ vectors.T
+    kind = next((kind for kind, bound in _EXACT if top < bound), np.int64)
+    step = max(1, CELLS // max(1, len(vectors)))
+    held = vectors.T.astype(kind)
+    for n in range(0, len(queries), step):
+        yield n, queries[n : n + step].astype(kind) @ held
 
 
 def _slices(width: int, nodes: int) -> list[tuple[int, int]]:
@@ -55,12 +65,13 @@ def _slices(width: int, nodes: int) -> list[tuple[int, int]]:
     return list(zip(edges, edges[1:]))
 
 
-def _blocks(df: DataFrame, size: int, label: str, slices: list[tuple[int, int]]) -> tuple[DataFrame, int]:
+def _blocks(df: DataFrame, size: int, label: str, slices: list[tuple[int, int]], more: int = 1) -> tuple[DataFrame, int]:
     """(node, block, ids, vectors) with ``size`` vectors a block about, and the number of blocks.
 
-    A block's vectors are in the order of their smallest members at every node; a node's slices of them are one list.
+    From 16 blocks on these get larger, up to ``more`` times, so that others are repeated for fewer. A block's vectors are in the order of their smallest members at every node; a node's slices of them are one list.
     """
-    blocks = max(1, -(-df.count() // size))
+    count = df.count()
+    blocks = max(1, -(-count // min(size * more, max(size, count // 16))))
     parts = F.array(*[F.struct(F.lit(n).alias("node"), F.slice("vec", a + 1, b - a).alias("part")) for n, (a, b) in enumerate(slices)])
     dealt = df.select("first", "id", F.pmod(F.xxhash64("vec"), F.lit(blocks)).cast("int").alias("block"), F.inline(parts))
     dealt = dealt.groupBy("node", "block").agg(F.array_sort(F.collect_list(F.struct("first", "id", "part"))).alias("all"))
@@ -80,7 +91,8 @@ def _met(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inn
 def _tiles(queries: DataFrame, vectors: DataFrame, blocks: int, nodes: int) -> DataFrame:
     """At every node, each block of queries beside each block of vectors: block numbers, not rows, are paired."""
     q = queries.select("node", *[F.col(c).alias(f"q_{c}") for c in queries.columns if c != "node"], F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    return _met(q.repartition(nodes * blocks, "node", "block"), vectors, ["node", "block"])
+    # With room to spare few tasks get two blocks.
+    return _met(q.repartition(4 * nodes * blocks, "node", "block"), vectors, ["node", "block"])
 
 
 def _over_rows(df: DataFrame, lists, schema: str) -> DataFrame:
@@ -137,32 +149,61 @@ def top_k(df: DataFrame, queries: Column, k: int, id: str = "vec_id", vector: st
     # A query class asks for one more, as its own row may be among the best.
     wanted = _met(rows.filter("asks").select("vec").distinct(), members, "vec")
     slices, need = _slices(width, nodes), k + 1
-    vectors, blocks = _blocks(members, BLOCK, "blocks", slices)
+    vectors, blocks = _blocks(members, BLOCK, "blocks", slices, MORE)
     asking, _ = _blocks(wanted, QUERY_BLOCK, "queries", slices)
+    entry = "node int, q_block int, block int, at array<int>, parts array<long>"
+    tile = ["q_block", "block"]
 
     def matrices(value) -> tuple[np.ndarray, np.ndarray]:
         """A node's slices of the queries and of the vectors of a tile."""
         a, b = slices[value("node")]
         return value("q_vectors").reshape(len(value("q_ids")), b - a), value("vectors").reshape(len(value("ids")), b - a)
 
-    def best_parts(value):
-        ids, qids = value("ids"), value("q_ids")
-        n, parts = min(need, len(ids)), scores(*matrices(value))
-        top = np.argpartition(-parts, n - 1, axis=1)[:, :n]
-        yield np.full(top.size, value("node"), np.int32), np.repeat(qids, n), ids[top].ravel(), np.take_along_axis(parts, top, 1).ravel()
+    # A place in a tile is a query's place times the number of vectors, plus the vector's.
+    def look_up(value):
+        """Adds a node's parts to the sums from ``done`` on; of the first ``whole``, those below the floor are left out."""
+        (q, v), at, sums, done, whole = matrices(value), value("at"), value("parts").copy(), value("done"), value("whole")
+        for n in range(done, len(at), 65536):
+            x = at[n : n + 65536]
+            sums[n : n + 65536] += np.einsum("ij,ij->i", q[x // len(v)], v[x % len(v)])
+        stays = np.ones(len(at), bool)
+        stays[:whole] = sums[:whole] >= value("q_floors")[at[:whole] // len(v)]
+        if stays.any():
+            yield [value("node")], [value("q_block")], [value("block")], [at[stays]], [sums[stays]]
+
+    def best(value):
+        ids, places, whole, _ = value("ids"), *_joined(value("sent"))
+        # By query, best scores first, then by smallest members; the first ``need`` of each query stay.
+        query = places // len(ids)
+        order = np.lexsort((places, -whole, query))
+        query, starts = query[order], np.searchsorted(query, query[order])
+        chosen = np.arange(len(order)) - starts < need
+        yield value("q_ids")[query[chosen]], ids[places[order][chosen] % len(ids)], whole[order][chosen]
+
+    def scored(places: DataFrame, asking: DataFrame) -> DataFrame:
+        """(query, id, score) of the best in each tile: every node looks up its parts of ``places``, which are then summed."""
+        q = asking.select("node", F.col("block").alias("q_block"), *[F.col(c).alias(f"q_{c}") for c in ("ids", "vectors", "floors")])
+        found = _over_rows(_met(_met(places, q, ["node", "q_block"]), vectors, ["node", "block"]), look_up, entry)
+        tiles = found.groupBy(*tile).agg(F.collect_list(F.struct("node", "at", "parts")).alias("sent"))
+        tiles = _met(_met(tiles, q.filter("node = 0").select("q_block", "q_ids"), "q_block"), vectors.filter("node = 0").select("block", "ids"), "block")
+        return _over_rows(tiles, best, "query long, id long, score long")
 
-    @F.pandas_udf("long")
-    def product(q: pd.Series, v: pd.Series) -> pd.Series:
-        if not len(q):
-            return pd.Series([], dtype="int64")
-        return pd.Series(np.einsum("ij,ij->i", np.stack(q.to_numpy()).astype(np.int64), np.stack(v.to_numpy()).astype(np.int64)))
+    def best_parts(value):
+        qids, size = value("q_ids"), len(value("ids"))
+        n = min(need, size)
+        for first, parts in scores(*matrices(value)):
+            top = np.argpartition(parts, size - n, axis=1)[:, size - n :]
+            at = top + np.arange(first, first + len(parts))[:, None] * size
+            here = [np.full(top.size, value(x), np.int32) for x in ("node", "q_block", "block")]
+            yield *here, np.repeat(qids[first : first + len(parts)], n), at.ravel().astype(np.int32), np.take_along_axis(parts, top, 1).ravel().astype(np.int64)
 
     # Phase 1: each node's best parts; the few vectors listed are scored, and the k-th best score is the floor. A class counts once for each member.
-    listed = _over_rows(_tiles(asking, vectors, blocks, nodes), best_parts, "node int, query long, id long, part long")
-    place = F.row_number().over(Window.partitionBy("node", "query").orderBy(F.desc("part"), "id"))
-    listed = listed.withColumn("place", place).filter(F.col("place") <= need).select("query", "id").distinct()
-    own = members.select(F.col("id").alias("query"), F.col("vec").alias("q"))
-    counted = _met(_met(listed, own, "query"), members.select("id", "vec", F.size("members").alias("n")), "id").select("query", "id", "n", product("q", "vec").alias("score"))
+    listed = _over_rows(_tiles(asking, vectors, blocks, nodes), best_parts, "node int, q_block int, block int, query long, at int, part long")
+    place = F.row_number().over(Window.partitionBy("node", "query").orderBy(F.desc("part"), "block", "at"))
+    listed = listed.withColumn("place", place).filter(F.col("place") <= LISTED * need).groupBy(*tile).agg(F.array_sort(F.collect_set("at")).alias("at"))
+    everywhere = F.explode(F.sequence(F.lit(0), F.lit(nodes - 1))).alias("node")
+    listed = listed.select(everywhere, *tile, F.lit(0).alias("done"), F.lit(0).alias("whole"), "at", F.transform("at", lambda _: F.lit(0).cast("long")).alias("parts"))
+    counted = _met(scored(listed, asking.withColumn("floors", F.array().cast("array<long>"))), members.select("id", F.size("members").alias("n")), "id")
     best_first = Window.partitionBy("query").orderBy(F.desc("score"), "id")
     counted = counted.withColumn("upto", F.sum("n").over(best_first.rowsBetween(Window.unboundedPreceding, 0)))
     floors = counted.groupBy("query").agg(F.max(F.when(F.col("upto") >= need, F.col("score"))).alias("floor"))
@@ -170,16 +211,18 @@ def top_k(df: DataFrame, queries: Column, k: int, id: str = "vec_id", vector: st
     held = _met(asking.filter("node = 0").select("block", F.posexplode("ids").alias("at", "query")), floors, "query", "left")
     held = held.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("at", F.coalesce("floor", F.lit(-(1 << 62))).alias("floor")))).alias("all"))
     floors = materialise(held.select("block", F.transform("all", lambda x: x["floor"]).alias("floors")), "floors")
+    asking = _met(asking, floors, "block")
 
-    # Phase 2: at each node, the parts from the cutoff on. A place in a tile is a query's place times the number of vectors, plus the vector's.
+    # Phase 2: at each node, the parts from the cutoff on. Rounded, a cutoff that a kind of number can't hold stays beyond all parts.
     def sufficient(value):
-        parts = scores(*matrices(value))
-        at = np.flatnonzero(parts >= -(-value("q_floors") // nodes)[:, None])
+        size, floors, found = len(value("ids")), value("q_floors"), []
+        for first, parts in scores(*matrices(value)):
+            least = -(-floors[first : first + len(parts), None] // nodes)
+            at = np.flatnonzero(parts >= least.astype(parts.dtype))
+            found.append(((at + first * size).astype(np.int32), parts.ravel()[at].astype(np.int64)))
+        at, parts = (np.concatenate(x) for x in zip(*found))
         if len(at):
-            yield [value("node")], [value("q_block")], [value("block")], [at.astype(np.int32)], [parts.ravel()[at]]
-
-    entry = "node int, q_block int, block int, at array<int>, parts array<long>"
-    entries = materialise(_over_rows(_tiles(_met(asking, floors, "block"), vectors, blocks, nodes), sufficient, entry), "entries")
+            yield [value("node")], [value("q_block")], [value("block")], [size], [floors], [at], [parts]
 
     # A node that sent nothing has less than the cutoff: at most the cutoff less one.
     def open_places(value):
@@ -188,41 +231,25 @@ def top_k(df: DataFrame, queries: Column, k: int, id: str = "vec_id", vector: st
         seen = np.zeros((nodes, len(places)), bool)
         for node, where in zip(sent.field("node").to_pylist(), lists):
             seen[node, where] = True
-        least = floor[places // size]
-        open_ = known + (nodes - seen.sum(0)) * (-(-least // nodes) - 1) >= least
-        for node in range(-1, nodes):
-            chosen = open_ if node < 0 else open_ & ~seen[node]
-            if chosen.any():
-                parts = known[chosen] if node < 0 else np.zeros(0, np.int64)
-                yield [node], [value("q_block")], [value("block")], [places[chosen]], [parts]
-
-    sent = entries.groupBy("q_block", "block").agg(F.collect_list(F.struct("node", "at", "parts")).alias("sent"))
-    sent = _met(sent, floors.select(F.col("block").alias("q_block"), F.col("floors").alias("q_floors")), "q_block")
-    sent = _met(sent, vectors.filter("node = 0").select("block", F.size("ids").alias("size")), "block")
-    left = materialise(_over_rows(sent, open_places, entry), "open")
-
-    # Phase 3: nodes look up the parts that are missing; node -1 stands for the sums known before.
-    def look_up(value):
-        (q, v), at = matrices(value), value("at")
-        found = [np.einsum("ij,ij->i", q[x // len(v)], v[x % len(v)]) for x in np.array_split(at, len(at) // 65536 + 1)]
-        yield [value("node")], [value("q_block")], [value("block")], [at], [np.concatenate(found)]
-
-    asked_for = asking.select("node", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
-    missing = _met(_met(left.filter("node >= 0").drop("parts"), asked_for, ["node", "q_block"]), vectors, ["node", "block"])
-    whole = left.filter("node < 0").union(_over_rows(missing, look_up, entry).select(*left.columns))
-
-    def best(value):
-        ids, places, whole, _ = value("ids"), *_joined(value("sent"))
-        # By query, best scores first, then by smallest members; the first ``need`` of each query stay.
-        query = places // len(ids)
-        order = np.lexsort((places, -whole, query))
-        query, starts = query[order], np.searchsorted(query, query[order])
-        chosen = np.arange(len(order)) - starts < need
-        yield value("q_ids")[query[chosen]], ids[places[order][chosen] % len(ids)], whole[order][chosen]
-
-    tiles = whole.groupBy("q_block", "block").agg(F.collect_list(F.struct("node", "at", "parts")).alias("sent"))
-    tiles = _met(_met(tiles, asked_for.filter("node = 0").select("q_block", "q_ids"), "q_block"), vectors.filter("node = 0").select("block", "ids"), "block")
-    resolved = _met(_over_rows(tiles, best, "query long, id long, score long"), members.select("id", "first", "members"), "id")
+        least, left = floor[places // size], nodes - seen.sum(0)
+        open_ = known + left * (-(-least // nodes) - 1) >= least
+        # Sums go with the first node that is asked, whole ones with node 0: ``done`` of these, then those that one part makes whole.
+        carrier = np.where(left > 0, np.argmin(seen, 0), 0)
+        for node in range(nodes):
+            lists = [np.flatnonzero(open_ & x) for x in ((left == 0) & (node == 0), (left == 1) & ~seen[node], (left > 1) & ~seen[node])]
+            chosen, done = np.concatenate(lists), len(lists[0])
+            if len(chosen):
+                parts = np.where(carrier[chosen] == node, known[chosen], 0)
+                yield [node], [value("q_block")], [value("block")], [done], [done + len(lists[1])], [places[chosen]], [parts]
+
+    # Lists bring the few numbers that are needed beside them, as they are what is large here.
+    entries = _over_rows(_tiles(asking, vectors, blocks, nodes), sufficient, entry.replace("at array", "size int, q_floors array<long>, at array"))
+    sent = entries.groupBy(*tile).agg(F.first("size").alias("size"), F.first("q_floors").alias("q_floors"), F.collect_list(F.struct("node", "at", "parts")).alias("sent"))
+
+    # Phase 3: nodes look up the parts that are missing.
+    left = _over_rows(sent, open_places, entry.replace("at array", "done int, whole int, at array"))
+    resolved = materialise(scored(left, asking), "scores")
+    resolved = _met(resolved, members.select("id", "first", "members"), "id")
     place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "first", "id"))
     ranked = resolved.withColumn("place", place).filter(F.col("place") <= need)
     listed = ranked.select("query", "score", F.explode("members").alias("vec_id"))

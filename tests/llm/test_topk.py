@@ -73,4 +73,16 @@ def test_nothing_that_grows_with_the_table_is_broadcast(spark, monkeypatch):
     frames.append(topk.top_k(frame, F.col("vec_id") % 4 == 0, 5))
     # These tables are far below the session's bound, so without a word Spark would broadcast them through the driver.
     assert not any("Broadcast" in plan(df) for df in frames)
+    # Lists of parts, whose number grows with the pairs, are read once and not written.
+    assert not any("parts" in df.columns for df in frames)
     assert rows(frames[-1]) == brute(data, lambda i: i % 4 == 0, 5)
+
+
+@pytest.mark.parametrize("top", [9, 10_000, 1 << 28])
+def test_scores_are_exact_in_every_kind_of_number(top, monkeypatch):
+    monkeypatch.setattr(topk, "CELLS", 12)
+    rng = np.random.default_rng(3)
+    q, v = rng.integers(-top, top + 1, (7, 5)), rng.integers(-top, top + 1, (6, 5))
+    pieces = list(topk.scores(q, v))
+    assert [n for n, _ in pieces] == [0, 2, 4, 6]
+    assert np.array_equal(np.concatenate([x.astype(np.int64) for _, x in pieces]), q @ v.T)
